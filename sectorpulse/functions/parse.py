@@ -11,7 +11,7 @@ from ..util import as_col
 def parse_registry_date(c) -> Column:
     """'yyyyMMdd' -> DATE; any other length or an invalid date -> NULL."""
     c = as_col(c)
-    return F.when(F.length(c) == 8, F.try_to_date(c, F.lit("yyyyMMdd")))
+    return F.when(F.length(c) == 8, F.try_to_date(c, "yyyyMMdd"))
 
 
 def lenient_short(c) -> Column:

@@ -64,3 +64,344 @@ SELECT * FROM stats"""
 ORACLE["growth_ranking"] = f"""WITH {STATS_G}
 SELECT posicao, cnae_codigo, codigo_municipio, ano_mes, total_aberturas, variacao_pct,
        cnae_descricao, municipio_nome FROM ranking_named"""
+
+
+def fmt_variation_sql(x: str) -> str:
+    """pt-BR signed percentage, one decimal, em dash for NULL."""
+    return (f"CASE WHEN {x} IS NULL THEN '—' ELSE "
+            f"(CASE WHEN {x} > 0 THEN '+' WHEN {x} < 0 THEN '-' ELSE '' END) || "
+            f"translate(format('{{:,.1f}}', CAST(abs(round({x}, 1)) AS DOUBLE)), ',.', '.,') || '%' END")
+
+
+def trunc_sql(x: str, n: int) -> str:
+    return f"CASE WHEN length({x}) > {n} THEN substr({x}, 1, {n - 1}) || '…' ELSE {x} END"
+
+
+def norm_sql(x: str) -> str:
+    """NFKD-to-ASCII, strip (Python whitespace), upper."""
+    ws = " || ".join(f"chr({c})" for c in (32, 9, 10, 11, 12, 13, 28, 29, 30, 31))
+    return f"upper(trim(regexp_replace(strip_accents({x}), '[^\\x00-\\x7F]', '', 'g'), {ws}))"
+
+
+REGION_IN = "('NATION_1', 'NATION_4', 'NATION_9', 'NATION_16', 'NATION_23', 'NATION_40')"
+
+ORACLE["format_variation"] = f"""WITH {STATS_G}
+SELECT cnae_codigo, codigo_municipio, ano_mes, variacao_pct,
+       {fmt_variation_sql('variacao_pct')} AS variacao_fmt FROM stats"""
+
+CHART = """chart AS (
+  SELECT posicao,
+         COALESCE(cnae_descricao, 'CNAE ' || CAST(cnae_codigo AS VARCHAR)) AS setor_completo,
+         COALESCE(municipio_nome, 'Município ' || CAST(codigo_municipio AS VARCHAR)) AS municipio,
+         COALESCE(variacao_pct, CAST(0 AS DECIMAL(6,2))) AS variacao_pct, total_aberturas
+  FROM ranking_named)"""
+
+ORACLE["growth_chart"] = f"""WITH {STATS_G}, {CHART}
+SELECT posicao, {trunc_sql('setor_completo', 26)} AS setor, setor_completo, municipio, variacao_pct,
+       total_aberturas, CASE WHEN variacao_pct >= 0 THEN 'up' ELSE 'down' END AS direcao,
+       {fmt_variation_sql('variacao_pct')} AS rotulo
+FROM chart"""
+
+ORACLE["growth_axis_bound"] = f"""WITH {STATS_G}, {CHART}
+SELECT CAST(ceil(greatest(CAST(1 AS DECIMAL(10,2)), COALESCE(max(abs(variacao_pct)), CAST(1 AS DECIMAL(10,2))))
+                 * CAST(1.15 AS DECIMAL(3,2))) AS BIGINT) AS eixo_max FROM chart"""
+
+ORACLE["dashboard_kpis"] = f"""WITH {STATS_G},
+k AS (SELECT count(*) AS total, count(DISTINCT codigo_municipio) AS mc FROM est_g WHERE situacao_cadastral = 2),
+f AS (SELECT * FROM ranking_named WHERE posicao = 1)
+SELECT k.total AS total_estabelecimentos, replace(format('{{:,}}', k.total), ',', '.') AS total_fmt,
+       COALESCE((SELECT {trunc_sql('cnae_descricao', 22)} FROM f), '—') AS setor_destaque,
+       (SELECT {fmt_variation_sql('variacao_pct')} FROM f) AS variacao_destaque,
+       k.mc AS municipios_cobertos, least(k.total, 500) AS leads_carregados
+FROM k"""
+
+TOP5 = """top5 AS (
+  SELECT row_number() OVER (ORDER BY variacao_pct DESC, st.cnae_codigo, st.codigo_municipio, ano_mes) AS posicao,
+         c.descricao AS setor, mu.nome AS municipio, total_aberturas, variacao_pct,
+         st.cnae_codigo, st.codigo_municipio, ano_mes
+  FROM stats st JOIN cnaes_g c ON c.codigo = st.cnae_codigo
+                JOIN mun_g mu ON mu.codigo_municipio = st.codigo_municipio
+  WHERE ano_mes = (SELECT max(ano_mes) FROM stats) AND variacao_pct IS NOT NULL
+  ORDER BY posicao LIMIT 5)"""
+
+ORACLE["latest_month_top5"] = f"""WITH {STATS_G}, {TOP5}
+SELECT * FROM top5"""
+
+ORACLE["insight_snapshot"] = f"""WITH {STATS_G}, {TOP5}
+SELECT posicao, setor, municipio, total_aberturas, CAST(variacao_pct AS VARCHAR) AS variacao_pct FROM top5"""
+
+ORACLE["lead_ranking"] = f"""WITH {STATS_G}
+SELECT e.cnpj, s_name AS razao_social, mu.nome AS municipio, st.cnae_codigo, st.codigo_municipio,
+       st.ano_mes, st.variacao_pct
+FROM est_g e JOIN supplier ON s_suppkey = e.cnpj_basico
+             JOIN mun_g mu ON mu.codigo_municipio = e.codigo_municipio
+             JOIN stats st ON st.cnae_codigo = e.cnae_principal AND st.codigo_municipio = e.codigo_municipio
+WHERE e.situacao_cadastral = 2
+ORDER BY st.variacao_pct DESC NULLS LAST, st.cnae_codigo, st.codigo_municipio, st.ano_mes,
+         e.cnpj, s_name, mu.nome
+LIMIT 50"""
+
+ORACLE["companies_keep_first"] = """SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+    ORDER BY l_partkey NULLS FIRST, l_suppkey NULLS FIRST, l_quantity NULLS FIRST,
+             l_extendedprice NULLS FIRST, l_discount NULLS FIRST, l_tax NULLS FIRST,
+             l_returnflag NULLS FIRST, l_linestatus NULLS FIRST, l_shipdate NULLS FIRST) AS rn
+  FROM lineitem) WHERE rn = 1"""
+
+ORACLE["pk_violations"] = f"""WITH {STATS_G}
+SELECT 'estabelecimentos' AS tabela, 'cnpj' AS coluna, cnpj AS valor, count(*) AS ocorrencias
+FROM est_g GROUP BY cnpj HAVING count(*) > 1
+UNION ALL
+SELECT 'estatisticas_crescimento', 'cnae_codigo,codigo_municipio,ano_mes',
+       concat_ws('|', cnae_codigo, CAST(codigo_municipio AS VARCHAR), CAST(ano_mes AS VARCHAR)), count(*)
+FROM stats GROUP BY cnae_codigo, codigo_municipio, ano_mes HAVING count(*) > 1"""
+
+ORACLE["region_filter"] = f"""WITH {EST_G}
+SELECT * FROM est_g WHERE codigo_municipio IN (
+  SELECT n_nationkey FROM nation WHERE {norm_sql('n_name')} IN {REGION_IN})"""
+
+ORACLE["parquet_roundtrip"] = f"""WITH {EST_G} SELECT * FROM est_g"""
+
+ORACLE["union_shards"] = f"""WITH {EST_G} SELECT *, 'shard=' || CAST(shard AS VARCHAR) AS shard_nome FROM est_g"""
+
+ORACLE["shard_counts"] = f"""WITH {EST_G}
+SELECT shard_nome, count(*) AS linhas
+FROM (SELECT 'shard=' || CAST(shard AS VARCHAR) AS shard_nome FROM est_g)
+GROUP BY ROLLUP (shard_nome)"""
+
+ORACLE["load_overwrite"] = f"""WITH {EST_G}
+SELECT cnpj, cnpj_basico, situacao_cadastral, data_inicio_atividade, cnae_principal, codigo_municipio
+FROM est_g WHERE situacao_cadastral = 2"""
+
+# ------------------------------------------------------------------ orders (O)
+RAW_O = """raw_o AS (
+  SELECT lpad(CAST(o_custkey AS VARCHAR), 8, '0') AS cnpj_basico,
+         lpad(CAST(o_orderkey % 10000 AS VARCHAR), 4, '0') AS cnpj_ordem,
+         CASE WHEN o_orderkey % 50 = 7 THEN NULL
+              ELSE lpad(CAST((o_orderkey // 10000) % 100 AS VARCHAR), 2, '0') END AS cnpj_dv,
+         CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE 'PEDIDO ' || CAST(o_orderkey AS VARCHAR) END AS nome_fantasia,
+         CASE WHEN o_orderstatus = 'O' THEN '02' WHEN o_orderstatus = 'F' THEN '08' ELSE '04' END
+           AS situacao_cadastral,
+         strftime(o_orderdate, '%Y%m%d') AS data_situacao_cadastral,
+         CASE WHEN o_orderkey % 10 = 3 THEN '0' WHEN o_orderkey % 100 = 9 THEN '20240231'
+              WHEN o_orderkey % 100 = 19 THEN '00000000' WHEN o_orderkey % 100 = 29 THEN ''
+              ELSE strftime(o_orderdate, '%Y%m%d') END AS data_inicio_atividade,
+         o_orderpriority AS cnae_principal,
+         lpad(CAST(o_orderkey % 100000000 AS VARCHAR), 8, '0') AS cep,
+         lpad(CAST(c_nationkey AS VARCHAR), 4, '0') AS codigo_municipio
+  FROM orders JOIN customer ON o_custkey = c_custkey)"""
+
+
+def parse_date_sql(x: str) -> str:
+    return f"CASE WHEN length({x}) = 8 THEN CAST(try_strptime({x}, '%Y%m%d') AS DATE) END"
+
+
+BASE_O = RAW_O + f""",
+est_o AS (
+  SELECT cnpj_basico || cnpj_ordem || cnpj_dv AS cnpj, cnpj_basico, nome_fantasia,
+         TRY_CAST(situacao_cadastral AS SMALLINT) AS situacao_cadastral,
+         {parse_date_sql('data_situacao_cadastral')} AS data_situacao,
+         {parse_date_sql('data_inicio_atividade')} AS data_inicio_atividade,
+         cnae_principal, codigo_municipio,
+         CAST(NULL AS VARCHAR) AS logradouro, CAST(NULL AS VARCHAR) AS numero,
+         CAST(NULL AS VARCHAR) AS bairro, cep,
+         CAST(NULL AS VARCHAR) AS telefone, CAST(NULL AS VARCHAR) AS email
+  FROM raw_o WHERE TRY_CAST(situacao_cadastral AS SMALLINT) = 2),
+raw_c AS (
+  SELECT lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS cnpj_basico, c_name AS razao_social,
+         lpad(CAST(c_nationkey AS VARCHAR), 4, '0') AS natureza_juridica,
+         replace(CAST(CAST(c_acctbal AS DECIMAL(15,2)) AS VARCHAR), '.', ',')
+           || CASE WHEN c_custkey % 13 = 5 THEN ',00' ELSE '' END AS capital_social,
+         CASE WHEN c_custkey % 17 = 3 THEN '07' WHEN c_mktsegment = 'BUILDING' THEN '01'
+              WHEN c_mktsegment = 'FURNITURE' THEN '03' WHEN c_mktsegment = 'HOUSEHOLD' THEN '05'
+              ELSE 'x' END AS porte
+  FROM customer WHERE c_mktsegment <> 'AUTOMOBILE'),
+comp_typed AS (
+  SELECT cnpj_basico, razao_social, natureza_juridica, TRY_CAST(porte AS SMALLINT) AS porte,
+         TRY_CAST(regexp_replace(capital_social, '^([^,]*),', '\\1.') AS DECIMAL(15,2)) AS capital_social
+  FROM raw_c),
+comp_o AS (SELECT * FROM comp_typed c WHERE EXISTS (SELECT 1 FROM est_o e WHERE e.cnpj_basico = c.cnpj_basico)),
+cnaes_o AS (SELECT DISTINCT o_orderpriority AS codigo, split_part(o_orderpriority, '-', 2) AS descricao FROM orders),
+mun_o AS (SELECT lpad(CAST(n_nationkey AS VARCHAR), 4, '0') AS codigo_municipio, n_name AS nome FROM nation),
+cand AS (
+  SELECT lpad(CAST(user_id AS VARCHAR), 8, '0') AS cnpj_basico, event_id, ts, event_type, user_id,
+         CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
+  FROM events),
+first_cand AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cnpj_basico ORDER BY ts, event_id) AS rn FROM cand)
+  WHERE rn = 1)"""
+
+
+def enrichment_sql(cand: str) -> str:
+    return f"""SELECT e.cnpj, CAST(c.event_id AS VARCHAR) AS place_id,
+         'Rua ' || c.event_type || ', ' || CAST(c.user_id AS VARCHAR) AS endereco_formatado,
+         c.event_type AS telefone_places,
+         CASE WHEN c.event_type = 'purchase' THEN 'site-' || CAST(c.event_id AS VARCHAR) END AS website,
+         CAST(c.k / 10 AS DECIMAL(2,1)) AS rating_google, c.k AS total_avaliacoes
+  FROM est_o e JOIN {cand} c ON c.cnpj_basico = e.cnpj_basico"""
+
+
+def first_of(event_type: str) -> str:
+    return (f"(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cnpj_basico ORDER BY ts, event_id) AS rn "
+            f"FROM cand WHERE event_type = '{event_type}') WHERE rn = 1)")
+
+
+RECENT_O = BASE_O + f""",
+enr_o AS ({enrichment_sql('first_cand')}),
+top_o AS (
+  SELECT cnpj, cnpj_basico, nome_fantasia, data_inicio_atividade, situacao_cadastral, cnae_principal,
+         codigo_municipio FROM est_o
+  ORDER BY data_inicio_atividade DESC NULLS LAST, cnpj ASC NULLS LAST LIMIT 500),
+recent AS (
+  SELECT t.cnpj, t.nome_fantasia, t.data_inicio_atividade, t.situacao_cadastral,
+         c.razao_social AS empresa_razao_social, c.porte AS empresa_porte,
+         s.descricao AS cnae_descricao, m.nome AS municipio_nome,
+         r.endereco_formatado AS enr_endereco, r.telefone_places AS enr_telefone,
+         r.website AS enr_website, r.rating_google AS enr_rating
+  FROM top_o t LEFT JOIN comp_o c ON c.cnpj_basico = t.cnpj_basico
+               LEFT JOIN cnaes_o s ON s.codigo = t.cnae_principal
+               LEFT JOIN mun_o m ON m.codigo_municipio = t.codigo_municipio
+               LEFT JOIN enr_o r ON r.cnpj = t.cnpj),
+display AS (
+  SELECT cnpj, data_inicio_atividade,
+         COALESCE(empresa_razao_social, nome_fantasia, '—') AS empresa,
+         COALESCE(cnae_descricao, '—') AS setor,
+         COALESCE(municipio_nome, '—') AS municipio,
+         strftime(data_inicio_atividade, '%d/%m/%Y') AS aberta_em,
+         COALESCE(enr_telefone, 'Não enriquecido') AS contato
+  FROM recent),
+found AS (
+  SELECT * FROM display
+  WHERE COALESCE(contains(lower(empresa), 'nation_2'), false) OR COALESCE(contains(lower(setor), 'nation_2'), false)
+     OR COALESCE(contains(lower(municipio), 'nation_2'), false)
+     OR COALESCE(contains(lower(aberta_em), 'nation_2'), false)
+     OR COALESCE(contains(lower(contato), 'nation_2'), false))"""
+
+ORACLE["establishments_final"] = f"WITH {BASE_O} SELECT * FROM est_o"
+
+ORACLE["compose_key"] = f"""WITH {RAW_O}
+SELECT cnpj_basico, cnpj_ordem, cnpj_dv, cnpj_basico || cnpj_ordem || cnpj_dv AS cnpj FROM raw_o"""
+
+ORACLE["parse_registry_date"] = f"""WITH {RAW_O}
+SELECT data_inicio_atividade AS data_raw, CAST(length(data_inicio_atividade) AS INTEGER) AS tamanho,
+       {parse_date_sql('data_inicio_atividade')} AS data FROM raw_o"""
+
+ORACLE["parse_capital"] = f"""WITH {BASE_O}
+SELECT r.cnpj_basico, r.capital_social AS capital_raw, t.capital_social
+FROM raw_c r JOIN comp_typed t ON t.cnpj_basico = r.cnpj_basico"""
+
+ORACLE["companies_semi"] = f"WITH {BASE_O} SELECT * FROM comp_o"
+
+ORACLE["place_first_match"] = f"WITH {BASE_O} {enrichment_sql('first_cand')}"
+
+ORACLE["enrichment_upsert"] = f"""WITH {BASE_O},
+ex AS ({enrichment_sql(first_of('click'))}),
+inc AS ({enrichment_sql(first_of('purchase'))})
+SELECT * FROM inc
+UNION ALL
+SELECT * FROM ex WHERE NOT EXISTS (SELECT 1 FROM inc WHERE inc.cnpj = ex.cnpj)"""
+
+ORACLE["reference_upsert"] = f"""WITH {BASE_O},
+inc AS (
+  SELECT codigo_municipio, nome FROM (
+    SELECT lpad(CAST(c_nationkey AS VARCHAR), 4, '0') AS codigo_municipio,
+           n_name || ' / ' || c_mktsegment AS nome,
+           row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey DESC) AS rn
+    FROM customer JOIN nation ON c_nationkey = n_nationkey) WHERE rn = 1)
+SELECT codigo_municipio, nome, 'RS' AS uf FROM inc
+UNION ALL
+SELECT codigo_municipio, nome, 'RS' AS uf FROM mun_o m
+WHERE NOT EXISTS (SELECT 1 FROM inc WHERE inc.codigo_municipio = m.codigo_municipio)"""
+
+ORACLE["recent_leads"] = f"WITH {RECENT_O} SELECT * FROM recent"
+
+ORACLE["leads_display"] = f"WITH {RECENT_O} SELECT * FROM display"
+
+ORACLE["leads_search"] = f"WITH {RECENT_O} SELECT * FROM found"
+
+ORACLE["leads_search_count"] = f"WITH {RECENT_O} SELECT count(*) AS total FROM found"
+
+ORACLE["leads_sorted"] = f"""WITH {RECENT_O}
+SELECT *, row_number() OVER (ORDER BY empresa ASC NULLS LAST, cnpj ASC NULLS LAST) AS posicao FROM display"""
+
+ORACLE["leads_export"] = f"""WITH {RECENT_O}
+SELECT cnpj, empresa_razao_social AS razao_social, cnae_descricao AS setor, municipio_nome AS municipio,
+       CAST(data_inicio_atividade AS VARCHAR) AS data_abertura, enr_telefone AS telefone,
+       concat_ws(';', COALESCE(cnpj, ''), COALESCE(empresa_razao_social, ''), COALESCE(cnae_descricao, ''),
+                 COALESCE(municipio_nome, ''), COALESCE(CAST(data_inicio_atividade AS VARCHAR), ''),
+                 COALESCE(enr_telefone, '')) AS linha
+FROM recent"""
+
+ORACLE["lead_search_text"] = f"""WITH {BASE_O}
+SELECT e.cnpj, c.razao_social || ', ' || m.nome || ', RS, Brasil' AS texto_busca
+FROM est_o e JOIN comp_o c ON c.cnpj_basico = e.cnpj_basico
+             JOIN mun_o m ON m.codigo_municipio = e.codigo_municipio"""
+
+ORACLE["region_codes"] = f"""WITH {BASE_O}
+SELECT DISTINCT e.codigo_municipio FROM est_o e JOIN mun_o m ON m.codigo_municipio = e.codigo_municipio
+WHERE {norm_sql('m.nome')} IN {REGION_IN}"""
+
+ORACLE["region_missing"] = f"""WITH {BASE_O},
+wl AS (SELECT unnest(['NATION_1', 'NATION_4', 'NATION_9', 'NATION_16', 'NATION_23', 'NATION_40'])
+       AS nome_normalizado),
+fnd AS (SELECT DISTINCT {norm_sql('m.nome')} AS nome_normalizado
+        FROM est_o e JOIN mun_o m ON m.codigo_municipio = e.codigo_municipio)
+SELECT nome_normalizado FROM wl WHERE nome_normalizado NOT IN (SELECT nome_normalizado FROM fnd)"""
+
+
+def fk_sql(table: str, child: str, fk: str, parent: str, pk: str) -> str:
+    return (f"SELECT '{table}' AS tabela, '{fk}' AS coluna, CAST(x.{fk} AS VARCHAR) AS valor, count(*) AS ocorrencias "
+            f"FROM {child} x WHERE x.{fk} IS NOT NULL "
+            f"AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{pk} = x.{fk}) GROUP BY x.{fk}")
+
+
+ORACLE["fk_violations"] = f"""WITH {BASE_O}, enr_o AS ({enrichment_sql('first_cand')})
+{fk_sql('estabelecimentos', 'est_o', 'cnpj_basico', 'comp_o', 'cnpj_basico')}
+UNION ALL {fk_sql('estabelecimentos', 'est_o', 'cnae_principal', 'cnaes_o', 'codigo')}
+UNION ALL {fk_sql('estabelecimentos', 'est_o', 'codigo_municipio', 'mun_o', 'codigo_municipio')}
+UNION ALL {fk_sql('leads_enriquecidos', 'enr_o', 'cnpj', 'est_o', 'cnpj')}"""
+
+
+def nn_sql(table: str, src: str, col: str) -> str:
+    return (f"SELECT '{table}' AS tabela, '{col}' AS coluna, CAST(NULL AS VARCHAR) AS valor, n AS ocorrencias "
+            f"FROM (SELECT count(*) FILTER (WHERE {col} IS NULL) AS n FROM {src}) WHERE n > 0")
+
+
+ORACLE["not_null_violations"] = f"""WITH {BASE_O}
+{' UNION ALL '.join([nn_sql('estabelecimentos', 'est_o', c) for c in
+                     ('cnpj', 'cnpj_basico', 'situacao_cadastral', 'data_inicio_atividade', 'codigo_municipio')]
+                    + [nn_sql('empresas', 'comp_o', c) for c in ('cnpj_basico', 'razao_social')])}"""
+
+
+def dom_sql(table: str, src: str, col: str, bad: str) -> str:
+    return (f"SELECT '{table}' AS tabela, '{col}' AS coluna, CAST({col} AS VARCHAR) AS valor, count(*) AS ocorrencias "
+            f"FROM {src} WHERE {bad} GROUP BY CAST({col} AS VARCHAR)")
+
+
+ORACLE["domain_violations"] = f"""WITH {BASE_O},
+typed AS (SELECT TRY_CAST(situacao_cadastral AS SMALLINT) AS situacao_cadastral FROM raw_o)
+{dom_sql('estabelecimentos', 'est_o', 'cnpj', 'length(cnpj) > 14')}
+UNION ALL {dom_sql('estabelecimentos', 'est_o', 'cep', 'length(cep) > 8')}
+UNION ALL {dom_sql('estabelecimentos', 'est_o', 'codigo_municipio', 'length(codigo_municipio) > 7')}
+UNION ALL {dom_sql('estabelecimentos', 'typed', 'situacao_cadastral',
+                   'situacao_cadastral IS NOT NULL AND situacao_cadastral NOT IN (1, 2, 3, 4, 8)')}
+UNION ALL {dom_sql('empresas', 'comp_o', 'natureza_juridica', 'length(natureza_juridica) > 4')}
+UNION ALL {dom_sql('empresas', 'comp_o', 'porte', 'porte IS NOT NULL AND porte NOT IN (1, 3, 5)')}
+UNION ALL {dom_sql('empresas', 'comp_o', 'capital_social',
+                   'capital_social IS NOT NULL AND TRY_CAST(capital_social AS DECIMAL(15,2)) IS NULL')}"""
+
+INSIGHT_LOG = """SELECT event_id AS id, event_type AS titulo, props AS conteudo, props AS baseado_em,
+       event_type AS modelo, ts AS gerado_em FROM events"""
+
+ORACLE["insight_log_append"] = INSIGHT_LOG
+
+ORACLE["latest_insight"] = """SELECT event_id AS id, event_type AS titulo, ts AS gerado_em FROM events
+ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST LIMIT 1"""
+
+# --------------------------------------------------------------- documents (D)
+ORACLE["normalize_name"] = f"SELECT doc_id, {norm_sql('text')} AS nome_normalizado FROM documents"
+ORACLE["normalize_name_udf"] = ORACLE["normalize_name"]
+ORACLE["truncate_label"] = (f"SELECT doc_id, {trunc_sql('text', 26)} AS rotulo_26, "
+                            f"{trunc_sql('text', 22)} AS rotulo_22 FROM documents")
+ORACLE["scan_delimited"] = "SELECT doc_id, text, lang, source, n_chars FROM documents"
+ORACLE["scan_zip"] = ORACLE["scan_delimited"]

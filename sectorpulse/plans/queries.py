@@ -8,9 +8,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.sql import types as T
+
 from .. import bindings as B
+from .. import schemas
+from ..operators import dashboard as D
 from ..operators import growth as G
-from ..session import configure
+from ..operators import insight as I
+from ..operators import leads as L
+from ..operators import quality as Q
+from ..operators import region as RG
+from ..operators import registry as R
+from ..session import configure, scratch_path
+from ..sinks import writes as W
+from ..sources import shards as S
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -56,3 +67,367 @@ def growth_ranking(t):
     return r.select("posicao", "cnae_codigo", "codigo_municipio", "ano_mes", "total_aberturas",
                     "variacao_pct", F.col("cnaes.descricao").alias("cnae_descricao"),
                     F.col("municipios.nome").alias("municipio_nome"))
+
+
+@query
+def format_variation(t):
+    from ..functions.fmt import format_variation as fmt
+    return _stats_g(t).select("cnae_codigo", "codigo_municipio", "ano_mes", "variacao_pct",
+                              fmt("variacao_pct").alias("variacao_fmt"))
+
+
+@query
+def growth_chart(t):
+    return D.growth_chart(_ranking_g(t))
+
+
+@query
+def growth_axis_bound(t):
+    return D.growth_axis_bound(D.growth_chart(_ranking_g(t)))
+
+
+@query
+def dashboard_kpis(t):
+    est = B.growth_establishments(t).where(F.col("situacao_cadastral") == 2)
+    return D.dashboard_kpis(est, _ranking_g(t))
+
+
+def _top5_g(t):
+    return G.latest_month_top(_stats_g(t), B.growth_sectors(t), B.growth_municipalities(t))
+
+
+@query
+def latest_month_top5(t):
+    return _top5_g(t)
+
+
+@query
+def insight_snapshot(t):
+    return I.snapshot_rows(I.insight_snapshot(_top5_g(t)))
+
+
+@query
+def lead_ranking(t):
+    return L.lead_ranking(B.growth_establishments(t), B.growth_companies(t),
+                          B.growth_municipalities(t), _stats_g(t))
+
+
+@query
+def companies_keep_first(t):
+    li = t.lineitem
+    key = ["l_orderkey", "l_linenumber"]
+    return R.keep_first(li, key, [c for c in li.columns if c not in key])
+
+
+@query
+def pk_violations(t):
+    return Q.union_checks(
+        Q.pk_violations(B.growth_establishments(t), ["cnpj"], "estabelecimentos"),
+        Q.pk_violations(_stats_g(t), ["cnae_codigo", "codigo_municipio", "ano_mes"],
+                        "estatisticas_crescimento"))
+
+
+@query
+def region_filter(t):
+    codes = RG.region_codes(B.growth_municipalities(t), B.DRIVER_REGION)
+    return RG.filter_region(B.growth_establishments(t), codes)
+
+
+def _staged_shards(t) -> str:
+    path = scratch_path(t.spark, "estabelecimentos_shards")
+    W.counted_write(B.growth_establishments(t), path, partition_by=["shard"])
+    return path
+
+
+@query
+def parquet_roundtrip(t):
+    return t.spark.read.parquet(_staged_shards(t))
+
+
+@query
+def union_shards(t):
+    return S.union_shards(t.spark, _staged_shards(t)).drop("linha")
+
+
+@query
+def shard_counts(t):
+    return S.shard_counts(S.union_shards(t.spark, _staged_shards(t)))
+
+
+@query
+def load_overwrite(t):
+    root = scratch_path(t.spark, "warehouse")
+    est = B.growth_establishments(t).where(F.col("situacao_cadastral") == 2)
+    cols = ["cnpj", "cnpj_basico", "situacao_cadastral", "data_inicio_atividade",
+            "cnae_principal", "codigo_municipio"]
+    W.refresh(t.spark, root, {"estabelecimentos": est, "empresas": B.growth_companies(t)},
+              columns={"estabelecimentos": cols}, cascade={"leads_enriquecidos": schemas.ENRICHMENT})
+    return W.read_current(t.spark, root, "estabelecimentos")
+
+
+# ------------------------------------------------------------------ orders (O)
+
+def _est_o(t):
+    return R.establishments_final(B.orders_raw_establishments(t))
+
+
+def _companies_o(t):
+    return R.companies_final(B.orders_raw_companies(t), _est_o(t))
+
+
+def _enrichment_o(t, event_type: str | None = None):
+    cand = B.orders_place_candidates(t)
+    if event_type is not None:
+        cand = cand.where(F.col("event_type") == event_type)
+    return L.place_first_match(_est_o(t), cand, key="cnpj_basico", rank=("ordem_ts", "ordem_id"))
+
+
+def _recent_o(t):
+    return L.recent_leads(_est_o(t), _companies_o(t), B.orders_sectors(t),
+                          B.orders_municipalities(t), _enrichment_o(t))
+
+
+def _display_o(t):
+    return L.leads_display(_recent_o(t))
+
+
+# Search text of the leads-search queries (a user's input).
+SEARCH_TEXT = "nation_2"
+
+
+@query
+def establishments_final(t):
+    return _est_o(t)
+
+
+@query
+def compose_key(t):
+    from ..functions.parse import compose_key as ck
+    raw = B.orders_raw_establishments(t)
+    return raw.select("cnpj_basico", "cnpj_ordem", "cnpj_dv",
+                      ck("cnpj_basico", "cnpj_ordem", "cnpj_dv").alias("cnpj"))
+
+
+@query
+def parse_registry_date(t):
+    from ..functions.parse import parse_registry_date as prd
+    raw = B.orders_raw_establishments(t)
+    return raw.select(F.col("data_inicio_atividade").alias("data_raw"),
+                      F.length("data_inicio_atividade").alias("tamanho"),
+                      prd("data_inicio_atividade").alias("data"))
+
+
+@query
+def parse_capital(t):
+    from ..functions.parse import parse_capital as pc
+    raw = B.orders_raw_companies(t)
+    return raw.select("cnpj_basico", F.col("capital_social").alias("capital_raw"),
+                      pc("capital_social").alias("capital_social"))
+
+
+@query
+def companies_semi(t):
+    return R.companies_semi(R.typed_companies(B.orders_raw_companies(t)), _est_o(t))
+
+
+@query
+def place_first_match(t):
+    return _enrichment_o(t)
+
+
+@query
+def enrichment_upsert(t):
+    root = scratch_path(t.spark, "enrichment")
+    for event_type in ("click", "purchase"):
+        out = W.upsert_table(t.spark, root, "leads_enriquecidos", _enrichment_o(t, event_type), "cnpj",
+                             schemas.ENRICHMENT_STORED, touch="enriquecido_em")
+    # the clock column is left out of the comparable result
+    return out.select(*schemas.ENRICHMENT.fieldNames())
+
+
+@query
+def reference_upsert(t):
+    from ..constants import STATE_DEFAULT
+    root = scratch_path(t.spark, "reference")
+    schema = "codigo_municipio string, nome string, uf string"
+    existing = W.with_defaults(B.orders_municipalities(t), {"uf": STATE_DEFAULT})
+    W.upsert_table(t.spark, root, "municipios", existing, "codigo_municipio", T.StructType.fromDDL(schema))
+    c = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    incoming = W.with_defaults(c.select(
+        F.lpad(F.col("c_nationkey").cast("string"), 4, "0").alias("codigo_municipio"),
+        F.concat(F.col("n_name"), F.lit(" / "), F.col("c_mktsegment")).alias("nome"),
+        F.col("c_custkey").alias("seq")), {"uf": STATE_DEFAULT})
+    return W.upsert_table(t.spark, root, "municipios", incoming, "codigo_municipio",
+                          T.StructType.fromDDL(schema), seq="seq")
+
+
+@query
+def recent_leads(t):
+    r = _recent_o(t)
+    return r.select("cnpj", "nome_fantasia", "data_inicio_atividade", "situacao_cadastral",
+                    F.col("empresas.razao_social").alias("empresa_razao_social"),
+                    F.col("empresas.porte").alias("empresa_porte"),
+                    F.col("cnaes.descricao").alias("cnae_descricao"),
+                    F.col("municipios.nome").alias("municipio_nome"),
+                    F.col("leads_enriquecidos.endereco_formatado").alias("enr_endereco"),
+                    F.col("leads_enriquecidos.telefone_places").alias("enr_telefone"),
+                    F.col("leads_enriquecidos.website").alias("enr_website"),
+                    F.col("leads_enriquecidos.rating_google").alias("enr_rating"))
+
+
+@query
+def leads_display(t):
+    return _display_o(t)
+
+
+@query
+def leads_search(t):
+    return L.leads_search(_display_o(t), SEARCH_TEXT)
+
+
+@query
+def leads_search_count(t):
+    return L.leads_search(_display_o(t), SEARCH_TEXT).agg(F.count(F.lit(1)).alias("total"))
+
+
+@query
+def leads_sorted(t):
+    return L.leads_sorted(_display_o(t), "empresa", ascending=True)
+
+
+@query
+def leads_export(t):
+    folder = scratch_path(t.spark, "exports")
+    frame = L.leads_export_frame(_recent_o(t))
+    path = W.export_csv(frame.drop("linha"), folder)
+    back = (t.spark.read.option("sep", ";").option("header", True).option("quote", '"')
+                  .option("escape", '"').csv(path))
+    names = ["cnpj", "razao_social", "setor", "municipio", "data_abertura", "telefone"]
+    back = back.select(*[F.col(f"`{h}`").alias(n) for h, n in zip(schemas.EXPORT_HEADER, names)])
+    line = F.array_join(F.array(*[F.coalesce(F.col(n), F.lit("")) for n in names]), ";")
+    return back.withColumn("linha", line)
+
+
+@query
+def lead_search_text(t):
+    return L.search_texts(_est_o(t), _companies_o(t), B.orders_municipalities(t))
+
+
+def _municipality_names_o(t):
+    # Municipality rows as the establishments see them (derived, so the
+    # resolution reads data that grows with the tables).
+    return _est_o(t).join(B.orders_municipalities(t), "codigo_municipio").select("codigo_municipio", "nome")
+
+
+@query
+def region_codes(t):
+    return RG.region_codes(_municipality_names_o(t), B.DRIVER_REGION)
+
+
+@query
+def region_missing(t):
+    return RG.region_missing(_municipality_names_o(t), B.DRIVER_REGION)
+
+
+@query
+def fk_violations(t):
+    est, comp = _est_o(t), _companies_o(t)
+    return Q.union_checks(
+        Q.fk_violations(est, "cnpj_basico", comp, "cnpj_basico", "estabelecimentos"),
+        Q.fk_violations(est, "cnae_principal", B.orders_sectors(t), "codigo", "estabelecimentos"),
+        Q.fk_violations(est, "codigo_municipio", B.orders_municipalities(t), "codigo_municipio",
+                        "estabelecimentos"),
+        Q.fk_violations(_enrichment_o(t), "cnpj", est, "cnpj", "leads_enriquecidos"))
+
+
+@query
+def not_null_violations(t):
+    return Q.union_checks(
+        Q.not_null_violations(_est_o(t), ["cnpj", "cnpj_basico", "situacao_cadastral",
+                                          "data_inicio_atividade", "codigo_municipio"], "estabelecimentos"),
+        Q.not_null_violations(_companies_o(t), ["cnpj_basico", "razao_social"], "empresas"))
+
+
+@query
+def domain_violations(t):
+    from ..constants import SIZE_DOMAIN, STATUS_DOMAIN
+    est = _est_o(t)
+    typed = R.typed_establishments(B.orders_raw_establishments(t))
+    comp = _companies_o(t)
+    return Q.union_checks(
+        Q.length_violations(est, "cnpj", 14, "estabelecimentos"),
+        Q.length_violations(est, "cep", 8, "estabelecimentos"),
+        Q.length_violations(est, "codigo_municipio", 7, "estabelecimentos"),
+        Q.domain_violations(typed, "situacao_cadastral", STATUS_DOMAIN, "estabelecimentos"),
+        Q.length_violations(comp, "natureza_juridica", 4, "empresas"),
+        Q.domain_violations(comp, "porte", SIZE_DOMAIN, "empresas"),
+        Q.precision_violations(comp, "capital_social", 15, 2, "empresas"))
+
+
+def _insight_log(t):
+    e = t.events
+    return e.select(F.col("event_id").alias("id"), F.col("event_type").alias("titulo"),
+                    F.col("props").alias("conteudo"), F.col("props").alias("baseado_em"),
+                    F.col("event_type").alias("modelo"), F.col("ts").alias("gerado_em"))
+
+
+@query
+def insight_log_append(t):
+    path = scratch_path(t.spark, "insights_ia")
+    log = _insight_log(t)
+    W.append(log.where(F.col("id") % 2 == 0), path)
+    W.append(log.where(F.col("id") % 2 == 1), path)
+    return t.spark.read.parquet(path)
+
+
+@query
+def latest_insight(t):
+    return I.latest_insight(_insight_log(t)).select("id", "titulo", "gerado_em")
+
+
+# --------------------------------------------------------------- documents (D)
+
+@query
+def normalize_name(t):
+    from ..functions.text import normalize_name as nn
+    return t.documents.select("doc_id", nn("text").alias("nome_normalizado"))
+
+
+@query
+def normalize_name_udf(t):
+    from ..functions.text import normalize_name_udf as nnu
+    return t.documents.select("doc_id", nnu("text").alias("nome_normalizado"))
+
+
+@query
+def truncate_label(t):
+    from ..functions.text import truncate_label as tl
+    from ..constants import CHART_LABEL_WIDTH, KPI_LABEL_WIDTH
+    return t.documents.select("doc_id", tl("text", CHART_LABEL_WIDTH).alias("rotulo_26"),
+                              tl("text", KPI_LABEL_WIDTH).alias("rotulo_22"))
+
+
+DOC_LAYOUT = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _doc_types(df):
+    return df.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", "lang", "source",
+                     F.col("n_chars").cast("bigint").alias("n_chars"))
+
+
+@query
+def scan_delimited(t):
+    from ..sources.delimited import scan_delimited as scan, write_delimited
+    path = scratch_path(t.spark, "documentos_csv")
+    write_delimited(t.documents.select(*[F.col(c).cast("string") for c in DOC_LAYOUT]), path)
+    return _doc_types(scan(t.spark, path, DOC_LAYOUT))
+
+
+@query
+def scan_zip(t):
+    from ..session import local_dir
+    from ..sources.zipsource import scan_zip as scan, write_zip_shards
+    folder = local_dir(scratch_path(t.spark, "documentos_zip"))
+    write_zip_shards(t.documents.select(*[F.col(c).cast("string") for c in DOC_LAYOUT]), folder,
+                     "Documentos", 4)
+    return _doc_types(scan(t.spark, folder, DOC_LAYOUT))

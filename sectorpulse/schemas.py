@@ -60,6 +60,8 @@ ENRICHMENT = T.StructType([
     T.StructField("total_avaliacoes", T.IntegerType(), True),
 ])
 
+ENRICHMENT_STORED = T.StructType(ENRICHMENT.fields + [T.StructField("enriquecido_em", T.TimestampType(), True)])
+
 # Place search result fields read from a candidate's JSON payload.
 PLACE_PAYLOAD = T.StructType([
     T.StructField("id", T.StringType(), True),

@@ -7,6 +7,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,6 +45,29 @@ def build_session(master: str | None = None, app: str = "sectorpulse",
     return spark
 
 
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers (data source,
+    pandas UDFs), as ``--py-files`` would: zip it once per context."""
+    sc = spark.sparkContext
+    key = id(sc._jsc)
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="sectorpulse-code-")
+    archive = os.path.join(folder, "sectorpulse.zip")
+    with zipfile.ZipFile(archive, "w") as zf:
+        for base, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(archive)
+    _SHIPPED.add(key)
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime SQL settings the operators assume (idempotent)."""
     for k, v in SESSION_DEFAULTS.items():
@@ -51,6 +75,7 @@ def configure(spark: SparkSession) -> SparkSession:
             spark.conf.set(k, v)
         except Exception:  # pragma: no cover - conf locked by the launcher
             pass
+    ship_package(spark)
     return spark
 
 
