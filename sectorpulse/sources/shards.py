@@ -19,8 +19,8 @@ def union_shards(spark: SparkSession, paths: str | Sequence[str], fmt: str = "pa
     df = spark.read.format(fmt).load(paths if isinstance(paths, str) else list(paths))
     if batch is not None:
         df = df.where(F.col("lote") == batch)
-    path = F.col("_metadata.file_path")
-    name = F.regexp_extract(path, r"([^/]+)/[^/]+$", 1)
+    # parent folder of the file: a linear split, not a backtracking regex
+    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
     cols = [F.col(c) for c in df.columns]
     extra = [name.alias("shard_nome")]
     if fmt == "parquet":
