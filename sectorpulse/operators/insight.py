@@ -47,4 +47,7 @@ def insight_record(snapshot: DataFrame, content, model: str, title: str = INSIGH
 
 def latest_insight(log: DataFrame, time_col: str = "gerado_em", id_col: str = "id") -> DataFrame:
     """T5: the newest record, or nothing when the log is empty."""
-    return log.orderBy(F.col(time_col).desc_nulls_last(), F.col(id_col).desc_nulls_last()).limit(1)
+    order = [F.col(time_col).desc_nulls_last()]
+    if id_col in log.columns:
+        order.append(F.col(id_col).desc_nulls_last())
+    return log.orderBy(*order).limit(1)
