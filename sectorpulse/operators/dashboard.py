@@ -37,18 +37,24 @@ def dashboard_kpis(establishments: DataFrame, ranking: DataFrame, page: int = LE
     """Total establishments, top sector and its variation,
     municipalities covered (counted, not a literal), leads on the page.
 
-    One aggregate over the establishments; the top ranking row is attached
-    with scalar subqueries (each runs once), not a join."""
-    first = ranking.where(F.col("posicao") == 1)
-    sector = first.select(F.max(F.col("cnaes.descricao"))).scalar()
-    variation = first.select(F.max("variacao_pct")).scalar()
-    has_first = first.select(F.count(F.lit(1)) > 0).scalar()
-    base = establishments.agg(F.count(F.lit(1)).alias("total_estabelecimentos"),
-                              F.count_distinct("codigo_municipio").alias("municipios_cobertos"))
-    return base.select(
+    One aggregate over the union of the establishments (municipality only)
+    and the top ranking row: one pass, no join, no subquery."""
+    mun_type = establishments.schema["codigo_municipio"].dataType
+    est = establishments.select(
+        F.col("codigo_municipio"), F.lit(None).cast("string").alias("descricao"),
+        F.lit(None).cast("decimal(6,2)").alias("variacao_pct"), F.lit(True).alias("is_est"))
+    top = ranking.where(F.col("posicao") == 1).select(
+        F.lit(None).cast(mun_type).alias("codigo_municipio"), F.col("cnaes.descricao").alias("descricao"),
+        F.col("variacao_pct").cast("decimal(6,2)").alias("variacao_pct"), F.lit(False).alias("is_est"))
+    one = est.unionByName(top).agg(
+        F.count_if(F.col("is_est")).alias("total_estabelecimentos"),
+        F.count_distinct("codigo_municipio").alias("municipios_cobertos"),
+        F.max("descricao").alias("descricao"), F.max("variacao_pct").alias("variacao_pct"),
+        F.count_if(~F.col("is_est")).alias("n_top"))
+    return one.select(
         "total_estabelecimentos",
         format_int_br("total_estabelecimentos").alias("total_fmt"),
-        F.coalesce(truncate_label(sector, KPI_LABEL_WIDTH), F.lit(EMPTY_MARK)).alias("setor_destaque"),
-        F.when(has_first, format_variation(variation)).alias("variacao_destaque"),
+        F.coalesce(truncate_label("descricao", KPI_LABEL_WIDTH), F.lit(EMPTY_MARK)).alias("setor_destaque"),
+        F.when(F.col("n_top") > 0, format_variation("variacao_pct")).alias("variacao_destaque"),
         "municipios_cobertos",
         F.least(F.col("total_estabelecimentos"), F.lit(page).cast("bigint")).alias("leads_carregados"))
