@@ -40,7 +40,7 @@ stats AS (
 cnaes_g AS (SELECT DISTINCT p_type AS codigo, lower(p_type) AS descricao FROM part),
 mun_g AS (SELECT n_nationkey AS codigo_municipio, n_name AS nome FROM nation),
 ranking AS (
-  SELECT row_number() OVER (ORDER BY variacao_pct DESC, cnae_codigo, codigo_municipio, ano_mes) AS posicao, *
+  SELECT CAST(row_number() OVER (ORDER BY variacao_pct DESC, cnae_codigo, codigo_municipio, ano_mes) AS INTEGER) AS posicao, *
   FROM stats WHERE variacao_pct IS NOT NULL AND total_aberturas >= 5
   ORDER BY variacao_pct DESC, cnae_codigo, codigo_municipio, ano_mes LIMIT 8),
 ranking_named AS (
@@ -116,7 +116,7 @@ SELECT k.total AS total_estabelecimentos, replace(format('{{:,}}', k.total), ','
 FROM k"""
 
 TOP5 = """top5 AS (
-  SELECT row_number() OVER (ORDER BY variacao_pct DESC, st.cnae_codigo, st.codigo_municipio, ano_mes) AS posicao,
+  SELECT CAST(row_number() OVER (ORDER BY variacao_pct DESC, st.cnae_codigo, st.codigo_municipio, ano_mes) AS INTEGER) AS posicao,
          c.descricao AS setor, mu.nome AS municipio, total_aberturas, variacao_pct,
          st.cnae_codigo, st.codigo_municipio, ano_mes
   FROM stats st JOIN cnaes_g c ON c.codigo = st.cnae_codigo
@@ -322,7 +322,7 @@ ORACLE["leads_search"] = f"WITH {RECENT_O} SELECT * FROM found"
 ORACLE["leads_search_count"] = f"WITH {RECENT_O} SELECT count(*) AS total FROM found"
 
 ORACLE["leads_sorted"] = f"""WITH {RECENT_O}
-SELECT *, row_number() OVER (ORDER BY empresa ASC NULLS LAST, cnpj ASC NULLS LAST) AS posicao FROM display"""
+SELECT *, CAST(row_number() OVER (ORDER BY empresa ASC NULLS LAST, cnpj ASC NULLS LAST) AS INTEGER) AS posicao FROM display"""
 
 ORACLE["leads_export"] = f"""WITH {RECENT_O}
 SELECT cnpj, empresa_razao_social AS razao_social, cnae_descricao AS setor, municipio_nome AS municipio,

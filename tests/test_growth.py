@@ -75,3 +75,13 @@ def test_ranking_uses_top_k(spark):
     r = G.growth_ranking(stats, n=8, min_openings=5)
     assert "TakeOrderedAndProject" in r._jdf.queryExecution().executedPlan().toString()
     assert [x.posicao for x in r.collect()] == [1, 2]
+
+
+def test_stored_table_pushes_status_and_date(spark, tmp_dir):
+    est = _establishments(spark, [(1, 2), (2, 3)])
+    est.write.parquet(tmp_dir)
+    df = G.growth_stats(spark.read.parquet(tmp_dir))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(situacao_cadastral,2)" in plan
+    assert "IsNotNull(data_inicio_atividade)" in plan
+    assert "cnpj" not in plan.split("ReadSchema:")[1].split("\n")[0]  # pruned
