@@ -63,6 +63,32 @@ def domain_violations(df: DataFrame, col: str, domain: Sequence, table: str) ->
     return _grouped(df, c.isNotNull() & ~c.isin(list(domain)), c, table, col)
 
 
+def row_checks(df: DataFrame, table: str, checks: Sequence[tuple[str, object]]) -> DataFrame:
+    """Q4/Q5 in one pass over ``df``: ``checks`` are (column, bad-row
+    condition); each failing (column, value) is counted by one aggregate."""
+    hits = F.filter(F.array(*[F.when(bad, F.struct(F.lit(c).alias("coluna"),
+                                                    F.col(c).cast("string").alias("valor")))
+                              for c, bad in checks]), lambda x: x.isNotNull())
+    return (df.select(F.explode(hits).alias("h"))
+              .groupBy(F.col("h.coluna").alias("coluna"), F.col("h.valor").alias("valor"))
+              .agg(F.count(F.lit(1)).alias("ocorrencias"))
+              .select(F.lit(table).alias("tabela"), "coluna", "valor", "ocorrencias"))
+
+
+def too_long(col: str, max_len: int):
+    return F.length(col) > max_len
+
+
+def not_numeric(col: str, precision: int, scale: int):
+    c = F.col(col)
+    return c.isNotNull() & c.try_cast(f"decimal({precision},{scale})").isNull()
+
+
+def outside(col: str, domain: Sequence):
+    c = F.col(col)
+    return c.isNotNull() & ~c.isin(list(domain))
+
+
 def union_checks(*checks: DataFrame) -> DataFrame:
     out = checks[0]
     for c in checks[1:]:

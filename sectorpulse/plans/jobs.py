@@ -146,11 +146,7 @@ def dashboard(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except Exception:  # noqa: BLE001
-        return False
+    return W.path_exists(spark, path)
 
 
 def run_batch(spark: SparkSession, batch_dir: str, root: str, whitelist=REGION_MUNICIPALITIES) -> dict:

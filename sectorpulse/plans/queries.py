@@ -355,13 +355,14 @@ def domain_violations(t):
     typed = R.typed_establishments(B.orders_raw_establishments(t))
     comp = _companies_o(t)
     return Q.union_checks(
-        Q.length_violations(est, "cnpj", 14, "estabelecimentos"),
-        Q.length_violations(est, "cep", 8, "estabelecimentos"),
-        Q.length_violations(est, "codigo_municipio", 7, "estabelecimentos"),
-        Q.domain_violations(typed, "situacao_cadastral", STATUS_DOMAIN, "estabelecimentos"),
-        Q.length_violations(comp, "natureza_juridica", 4, "empresas"),
-        Q.domain_violations(comp, "porte", SIZE_DOMAIN, "empresas"),
-        Q.precision_violations(comp, "capital_social", 15, 2, "empresas"))
+        Q.row_checks(est, "estabelecimentos", [("cnpj", Q.too_long("cnpj", 14)),
+                                               ("cep", Q.too_long("cep", 8)),
+                                               ("codigo_municipio", Q.too_long("codigo_municipio", 7))]),
+        Q.row_checks(typed, "estabelecimentos", [("situacao_cadastral",
+                                                  Q.outside("situacao_cadastral", STATUS_DOMAIN))]),
+        Q.row_checks(comp, "empresas", [("natureza_juridica", Q.too_long("natureza_juridica", 4)),
+                                        ("porte", Q.outside("porte", SIZE_DOMAIN)),
+                                        ("capital_social", Q.not_numeric("capital_social", 15, 2))]))
 
 
 def _insight_log(t):

@@ -39,11 +39,18 @@ def _version() -> str:
     return dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f") + "-" + uuid.uuid4().hex[:6]
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence through the cluster's file system client (any scheme)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def current_version(spark: SparkSession, root: str, table: str) -> str | None:
-    try:
-        row = spark.read.text(f"{root}/{table}/{POINTER}").first()
-    except Exception:  # noqa: BLE001 - no pointer yet
+    pointer = f"{root}/{table}/{POINTER}"
+    if not path_exists(spark, pointer):
         return None
+    row = spark.read.text(pointer).first()
     return row[0] if row else None
 
 
