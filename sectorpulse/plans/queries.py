@@ -38,8 +38,12 @@ def query(fn):
 
 # ------------------------------------------------------------------ growth (G)
 
+def _active_g(t: B.Tables) -> DataFrame:
+    return B.growth_establishments(t, active_only=True)
+
+
 def _stats_g(t: B.Tables) -> DataFrame:
-    return G.growth_stats(B.growth_establishments(t))
+    return G.growth_stats(_active_g(t))
 
 
 def _ranking_g(t: B.Tables) -> DataFrame:
@@ -48,12 +52,12 @@ def _ranking_g(t: B.Tables) -> DataFrame:
 
 @query
 def monthly_openings(t):
-    return G.monthly_openings(B.growth_establishments(t))
+    return G.monthly_openings(_active_g(t))
 
 
 @query
 def trailing_mean(t):
-    return G.trailing_mean(G.monthly_openings(B.growth_establishments(t)))
+    return G.trailing_mean(G.monthly_openings(_active_g(t)))
 
 
 @query
@@ -88,8 +92,7 @@ def growth_axis_bound(t):
 
 @query
 def dashboard_kpis(t):
-    est = B.growth_establishments(t).where(F.col("situacao_cadastral") == 2)
-    return D.dashboard_kpis(est, _ranking_g(t))
+    return D.dashboard_kpis(_active_g(t), _ranking_g(t))
 
 
 def _top5_g(t):
@@ -108,7 +111,7 @@ def insight_snapshot(t):
 
 @query
 def lead_ranking(t):
-    return L.lead_ranking(B.growth_establishments(t), B.growth_companies(t),
+    return L.lead_ranking(_active_g(t), B.growth_companies(t),
                           B.growth_municipalities(t), _stats_g(t))
 
 
@@ -157,7 +160,7 @@ def shard_counts(t):
 @query
 def load_overwrite(t):
     root = scratch_path(t.spark, "warehouse")
-    est = B.growth_establishments(t).where(F.col("situacao_cadastral") == 2)
+    est = _active_g(t)
     cols = ["cnpj", "cnpj_basico", "situacao_cadastral", "data_inicio_atividade",
             "cnae_principal", "codigo_municipio"]
     W.refresh(t.spark, root, {"estabelecimentos": est, "empresas": B.growth_companies(t)},
