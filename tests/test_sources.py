@@ -53,3 +53,26 @@ def test_list_archives_errors_when_empty(tmp_dir):
     os.makedirs(d, exist_ok=True)
     with pytest.raises(FileNotFoundError):
         list_archives(os.path.join(d, "Estabelecimentos*.zip"))
+
+
+def test_union_shards_prunes_batch_partition(spark, tmp_dir):
+    from sectorpulse.sources.shards import union_shards
+    df = spark.createDataFrame([("a", "2026-05"), ("b", "2026-06"), ("c", "2026-06")], "k string, lote string")
+    df.write.partitionBy("lote").parquet(tmp_dir)
+    out = union_shards(spark, tmp_dir, batch="2026-06")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(lote" in plan and "2026-06" in plan
+    assert sorted(r.k for r in out.collect()) == ["b", "c"]
+    assert {r.shard_nome for r in out.collect()} == {"lote=2026-06"}
+
+
+def test_malformed_rows_permissive_and_strict(spark, tmp_dir):
+    import pytest
+    d = local_dir(tmp_dir)
+    _write(d, "bad.csv", '"1";"a";"x"\n"2";"b";"y";"extra"\n')
+    df = scan_delimited(spark, d, LAYOUT, keep_corrupt=True).cache()
+    rows = {r.codigo: r for r in df.collect()}
+    assert rows["1"]._corrupt_record is None
+    assert rows["2"]._corrupt_record is not None  # kept, flagged, countable
+    with pytest.raises(Exception):
+        scan_delimited(spark, d, LAYOUT, strict=True).collect()
