@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, mix_pivotal, pack_cutting_stock, shard_rendezvous
+from . import chat_format, dedup_cpsjoin, mix_pivotal, pack_cutting_stock, quality_pu, shard_rendezvous
 from .common import prepare, read_table, staged
 
 SHARDS = 16
@@ -19,6 +19,12 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality_pu.score_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", quality_pu.held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= quality_pu.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_table(spark, sf_dir, "conversations").select(
         F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
@@ -46,6 +52,11 @@ def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_cpsjoin.near_duplicates(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id", "kept")
+
+
 def op10_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.col("text")
     docs = read_table(spark, sf_dir, "documents").select(
@@ -57,6 +68,6 @@ def op10_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slotted.select("doc_id", "size", "text_crc32", F.lit(LAW).alias("law"), "shard", "slot", "grown_shard")
 
 
-QUERIES = {"op2_chat_format": op2_chat_format, "op3_mix": op3_mix, "op5_pack": op5_pack,
-           "op10_shard": op10_shard}
+QUERIES = {"op1_quality": op1_quality, "op2_chat_format": op2_chat_format, "op3_mix": op3_mix, "op5_pack": op5_pack,
+           "op8_near_dedup": op8_near_dedup, "op10_shard": op10_shard}
 ORACLE: dict[str, str] = {}
