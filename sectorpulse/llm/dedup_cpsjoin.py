@@ -1,8 +1,9 @@
 """Near-duplicate documents by a chosen-path set similarity join.
 
 A document is the set of its distinct five-word shingles. Documents with equal
-sets form a class first; one representative each goes on. A representative is
-sketched by ``TOKENS`` minwise values; value i of the sketch is its token i.
+sets form a class first; one representative each goes on. ``TOKENS`` minwise
+values of a representative are its tokens, and the low 16 bits of ``SKETCH``
+values its sketch, by which similarity is estimated.
 
 A tree starts with all representatives in its root. A node hands a document to
 one child for each token of it that the node's hash selects; a token is
@@ -10,18 +11,18 @@ selected with probability 1 / (similarity * TOKENS), so a pair at the
 threshold shares one child per node in the mean. Documents that share no token
 part at once. Recursion ends where a node is small: its documents are compared
 exhaustively by sketch. In a large node every document is compared to
-``PIVOTS`` members; a document close to one of them is done there, the others
-go on down. Large nodes still there at the last level are compared
-exhaustively too, in pairs of blocks, so nothing is capped. ``TREES``
-independent trees bring a pair at the threshold to a recall above 0.99 even
-several levels down (at the first level: 1 - exp(-TREES)).
+``PIVOTS`` members; a document as close to one as the threshold is done there,
+the others go on down. ``TREES`` independent trees bring a pair at the
+threshold to a recall of 1 - exp(-TREES) at the first level and above 0.99 three
+levels down.
 
 Of a small node's likely pairs only a spanning forest is kept, highest
 estimates first. Every kept pair is confirmed on the full shingle sets of the
-whole texts. Where a pair fails, a second round takes all likely pairs
-of the nodes whose documents then still lie in different components, so no
-link that joins components is lost to the forest. Components are found by
-alternating star contraction of the confirmed links.
+whole texts. A second round takes all likely pairs of all nodes, the large
+ones in pairs of blocks, whose documents then still lie in different
+components, so neither a failed pair of the forest nor a document done early
+costs a link that joins components, and nothing is capped. Components are
+found by alternating star contraction of the confirmed links.
 
 Defined cases: a text that is null, empty or blank has no shingles and stays
 alone, kept; equal texts share a class whatever the number; a null doc_id takes
@@ -44,57 +45,65 @@ from .common import shuffle_width, staged
 from .shingles import mix, shingle_sets, similar
 
 PERCENT = 75
-TOKENS = 64
-TREES = 16
-LEAF = 96             # a node of at most so many documents is compared exhaustively
+TOKENS = 32           # minwise values a path is chosen from
+SKETCH = 128          # minwise values a similarity is estimated from
+TREES = 10
+LEAF = 2048           # a node of at most so many documents is compared exhaustively
 PIVOTS = 8
 LEVELS = 6
-LIKELY = 35           # shared tokens (of 64) of a pair worth confirming: 3.7 deviations below the threshold's 48
-CLOSE = 58            # shared tokens at which a document is done in a large node
+LIKELY = 82           # shared values (of 128) of a pair worth confirming: 2.9 deviations below the threshold's 96
+CLOSE = 96            # shared values at which a document is done in a large node
+FILTER_BITS = 25      # size of the bit map that spares shuffling texts no pair needs: 4 MB, whatever the input
 SELECT = np.uint64(int(2 ** 64 / (PERCENT / 100 * TOKENS)))
 
 _rng = np.random.default_rng(20240229)
-_FACTORS = _rng.integers(0, 2 ** 63, TOKENS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_FACTORS = _rng.integers(0, 2 ** 63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SALTS = mix(np.arange(1, TOKENS + 1, dtype=np.uint64))
 
 
-def sketch(shingles: np.ndarray) -> np.ndarray:
-    """Minwise values (upper 32 bits of a multiplied hash) of a non-empty set."""
-    least = np.full(TOKENS, 2 ** 32 - 1, dtype=np.uint32)
-    for at in range(0, len(shingles), 1024):
-        block = (shingles[at:at + 1024, None] * _FACTORS) >> np.uint64(32)
-        np.minimum(least, block.min(axis=0).astype(np.uint32), out=least)
+def minwise(shingles: np.ndarray) -> np.ndarray:
+    """Least multiplied hash of a non-empty set, for each factor."""
+    least = np.full(SKETCH, 2 ** 64 - 1, dtype=np.uint64)
+    for at in range(0, len(shingles), 512):
+        np.minimum(least, (shingles[at:at + 512, None] * _FACTORS).min(axis=0), out=least)
     return least
 
 
 def class_rows(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, n_shingles, set_key, sketch) of every document; null set_key and sketch without shingles."""
-    schema = f"`{key}` {docs.schema[key].dataType.simpleString()}, n_shingles long, set_key binary, sketch binary"
+    """(key, n_shingles, set_key, tokens, sketch) of every document; the last three are null without shingles."""
+    schema = (f"`{key}` {docs.schema[key].dataType.simpleString()}, n_shingles long, set_key binary, "
+              "tokens binary, sketch binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, keys, sketches = [], [], []
+            made: list[tuple] = []
             for s in shingle_sets(t.as_py() for t in batch.column(1)):
-                sizes.append(len(s))
-                keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
-                sketches.append(sketch(s).tobytes() if len(s) else None)
+                if len(s):
+                    values = minwise(s)
+                    made.append((len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(),
+                                 mix(values[:TOKENS]).tobytes(), mix(values).astype(np.uint16).tobytes()))
+                else:
+                    made.append((0, None, None, None))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
-                 pa.array(sketches, pa.binary())], names=[key, "n_shingles", "set_key", "sketch"])
+                [batch.column(0), *(pa.array([m[i] for m in made], kind) for i, kind in
+                                    enumerate((pa.int64(), pa.binary(), pa.binary(), pa.binary())))],
+                names=[key, "n_shingles", "set_key", "tokens", "sketch"])
 
     return docs.select(key, F.col(text).alias("__text")).mapInArrow(run, schema)
 
 
 def selected(paths: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(row, child path) for each token that its node selects; ``paths`` is one per row of ``tokens``."""
-    mixed = mix(tokens.astype(np.uint64) + _SALTS)
+    mixed = mix(tokens + _SALTS)
     child = mix(mixed ^ (paths[:, None] * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1)))
     rows, at = np.nonzero(mix(child) < SELECT)
     return rows, child[rows, at]
 
 
-def _tokens(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint32).reshape(len(column), TOKENS)
+def _values(column: pa.Array, kind: type) -> np.ndarray:
+    """Tokens (64 bits) or sketches (16 bits) of a column, one row each."""
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=kind).reshape(
+        len(column), TOKENS if kind is np.uint64 else SKETCH)
 
 
 def first_level(reps: DataFrame, trees: int) -> DataFrame:
@@ -103,13 +112,13 @@ def first_level(reps: DataFrame, trees: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            tokens, ids = _tokens(batch.column("sketch")), batch.column("rep").to_numpy()
+            tokens, ids = _values(batch.column("tokens"), np.uint64), batch.column("rep").to_numpy()
             for root in roots:
                 rows, child = selected(np.full(len(ids), root), tokens)
                 yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), pa.array(ids[rows])],
                                                  names=["path", "rep"])
 
-    return reps.select("rep", "sketch").mapInArrow(run, "path long, rep long")
+    return reps.select("rep", "tokens").mapInArrow(run, "path long, rep long")
 
 
 def node_table(members: DataFrame) -> DataFrame:
@@ -129,11 +138,11 @@ def pivot_step(large: DataFrame, reps: DataFrame, pivots: int) -> DataFrame:
     chosen = (large.withColumn("__n", F.row_number().over(first)).where(F.col("__n") <= pivots)
                    .join(reps.select("rep", "sketch"), "rep")
                    .groupBy("path").agg(F.collect_list(F.struct("rep", "sketch")).alias("pivots")))
-    rows = large.join(chosen, "path").join(reps.select("rep", "sketch"), "rep")
+    rows = large.join(chosen, "path").join(reps.select("rep", "tokens", "sketch"), "rep")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            tokens = _tokens(batch.column("sketch"))
+            tokens, sketches = _values(batch.column("tokens"), np.uint64), _values(batch.column("sketch"), np.uint16)
             paths, ids = batch.column("path").to_numpy(), batch.column("rep").to_numpy()
             pivot_lists = batch.column("pivots")
             best, closest = np.zeros(len(ids), dtype=np.int64), np.zeros(len(ids), dtype=np.int64)
@@ -141,8 +150,8 @@ def pivot_step(large: DataFrame, reps: DataFrame, pivots: int) -> DataFrame:
                 at = np.flatnonzero(paths == path)
                 listed = pivot_lists[int(at[0])].as_py()
                 held = np.array([p["rep"] for p in listed])
-                known = np.frombuffer(b"".join(p["sketch"] for p in listed), dtype=np.uint32).reshape(-1, TOKENS)
-                shared = (tokens[at][:, None, :] == known[None, :, :]).sum(axis=2)
+                known = np.frombuffer(b"".join(p["sketch"] for p in listed), dtype=np.uint16).reshape(-1, SKETCH)
+                shared = (sketches[at][:, None, :] == known[None, :, :]).sum(axis=2)
                 shared[ids[at][:, None] == held[None, :]] = -1
                 best[at], closest[at] = shared.max(axis=1), held[shared.argmax(axis=1)]
             likely, going = best >= LIKELY, best < CLOSE
@@ -155,7 +164,7 @@ def pivot_step(large: DataFrame, reps: DataFrame, pivots: int) -> DataFrame:
                  pa.array(np.concatenate([a, child.view(np.int64)])), pa.array(np.concatenate([b, deeper]))],
                 names=["kind", "x", "y"])
 
-    return rows.select("path", "rep", "sketch", "pivots").mapInArrow(run, "kind string, x long, y long")
+    return rows.select("path", "rep", "tokens", "sketch", "pivots").mapInArrow(run, "kind string, x long, y long")
 
 
 def _by_group(work: Callable, names: list[str]) -> Callable:
@@ -184,9 +193,9 @@ def _by_group(work: Callable, names: list[str]) -> Callable:
     return run
 
 
-def spanning_forest(tokens: np.ndarray) -> list[tuple[int, int]]:
+def spanning_forest(sketches: np.ndarray) -> list[tuple[int, int]]:
     """Highest-estimate spanning forest of the likely pairs."""
-    n = len(tokens)
+    n = len(sketches)
     best, parent = np.full(n, -1), np.full(n, -1)
     waiting = np.ones(n, dtype=bool)
     edges = []
@@ -195,7 +204,7 @@ def spanning_forest(tokens: np.ndarray) -> list[tuple[int, int]]:
         waiting[at] = False
         if parent[at] >= 0:
             edges.append((int(parent[at]), at))
-        shared = (tokens == tokens[at]).sum(axis=1)
+        shared = (sketches == sketches[at]).sum(axis=1)
         better = waiting & (shared >= LIKELY) & (shared > best)
         best[better], parent[better] = shared[better], at
     return edges
@@ -208,17 +217,17 @@ def _pairs(a: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
 
 def _forest(table: pa.Table) -> Iterator[pa.RecordBatch]:
     ids = table["rep"].to_numpy()
-    edges = np.array(spanning_forest(_tokens(table["sketch"].combine_chunks())), dtype=np.int64).reshape(-1, 2)
+    edges = np.array(spanning_forest(_values(table["sketch"].combine_chunks(), np.uint16)), dtype=np.int64).reshape(-1, 2)
     yield from _pairs(ids[edges[:, 0]], ids[edges[:, 1]])
 
 
 def _crossing(table: pa.Table) -> Iterator[pa.RecordBatch]:
     """All likely pairs whose documents lie in different components."""
     ids, labels = table["rep"].to_numpy(), table["label"].to_numpy()
-    tokens = _tokens(table["sketch"].combine_chunks())
+    sketches = _values(table["sketch"].combine_chunks(), np.uint16)
     for i in range(len(ids) - 1):
         other = np.flatnonzero(labels[i + 1:] != labels[i]) + i + 1
-        other = other[(tokens[other] == tokens[i]).sum(axis=1) >= LIKELY]
+        other = other[(sketches[other] == sketches[i]).sum(axis=1) >= LIKELY]
         yield from _pairs(np.full(len(other), ids[i]), ids[other])
 
 
@@ -240,29 +249,38 @@ def compare_groups(groups: DataFrame, work: Callable) -> DataFrame:
                   .mapInArrow(_by_group(work, keys), "a long, b long").distinct())
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str, percent: int) -> DataFrame:
-    """The pairs whose full shingle sets reach the similarity. Only texts of
-    documents in a pair are joined on, once for each end."""
-    pairs = staged(pairs, "dedup-pairs")
-    ends = pairs.select(F.col("a").alias("__rep")).unionByName(pairs.select(F.col("b").alias("__rep"))).distinct()
-    texts = staged(docs.select(F.col(key).cast("long").alias("__rep"), F.col(text).alias("__text"))
-                       .join(ends, "__rep", "left_semi"), "dedup-texts")
-    left = texts.select(F.col("__rep").alias("a"), F.col("__text").alias("text_a"))
-    right = texts.select(F.col("__rep").alias("b"), F.col("__text").alias("text_b"))
+def texts_of(ids: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(rep, text) for the distinct ids in ``ids`` (rep). A bit map of hashed
+    ids, of fixed size and so safe to send to every task, first drops nearly
+    all other texts before the join shuffles them."""
+    bit = F.pmod(F.xxhash64("rep"), F.lit(2 ** FILTER_BITS))
+    bits = (ids.select(F.floor(bit / 32768).cast("long").alias("__page"), F.pmod(bit, F.lit(32768)).alias("__bit"))
+               .groupBy("__page").agg(F.bitmap_construct_agg("__bit").alias("__bits")))
+    byte = F.conv(F.hex(F.expr("substring(__bits, cast(__bit div 8 as int) + 1, 1)")), 16, 10).cast("int")
+    hit = F.expr("shiftright(__byte, cast(__bit % 8 as int)) & 1") == 1
+    found = (docs.select(F.col(key).cast("long").alias("rep"), F.col(text).alias("text")).where("rep is not null")
+                 .withColumn("__page", F.floor(bit / 32768).cast("long"))
+                 .withColumn("__bit", F.pmod(bit, F.lit(32768)))
+                 .join(F.broadcast(bits), "__page").withColumn("__byte", byte).where(hit).select("rep", "text"))
+    return found.join(ids, "rep", "left_semi")
+
+
+def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose full shingle sets reach the similarity."""
+    left = texts.select(F.col("rep").alias("a"), F.col("text").alias("text_a"))
+    right = texts.select(F.col("rep").alias("b"), F.col("text").alias("text_b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            a_sets, b_sets = (_memo_sets(batch.column(i), batch.column(t)) for i, t in ((0, 2), (1, 3)))
-            for x, y in zip(a_sets, b_sets):
-                keep.append(similar(x, y, percent))
+            both = zip(_memo_sets(batch.column(2)), _memo_sets(batch.column(3)))
+            keep = [similar(x, y, percent) for x, y in both]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(
         run, "a long, b long").distinct()
 
 
-def _memo_sets(ids: pa.Array, texts: pa.Array) -> Iterator[np.ndarray]:
+def _memo_sets(texts: pa.Array) -> Iterator[np.ndarray]:
     """Shingle sets row by row; a text that repeats from the row before is hashed once."""
     before, value = None, None
     for text in texts:
@@ -294,8 +312,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     edges = staged(edges.where("a <> b").distinct(), "dedup-edges")
     now = state(edges)
-    while True:
-        edges = staged(star(staged(star(edges, True), "dedup-large"), False), "dedup-small")
+    while now[0]:
+        edges = staged(star(star(edges, True), False), "dedup-stars")
         before, now = now, state(edges)
         if now == before:
             break
@@ -304,44 +322,52 @@ def components(edges: DataFrame) -> DataFrame:
                              .join(found.select("node"), "node", "left_anti"))
 
 
-def similar_links(reps: DataFrame, docs: DataFrame, key: str, text: str, percent: int = PERCENT,
-                  trees: int = TREES, leaf: int = LEAF, levels: int = LEVELS) -> DataFrame:
-    """Confirmed links (a, b) between representatives (staged: rep, sketch)
-    that connect every component of the links found."""
+def linked_components(reps: DataFrame, docs: DataFrame, key: str, text: str, percent: int = PERCENT,
+                      trees: int = TREES, leaf: int = LEAF, levels: int = LEVELS) -> DataFrame:
+    """(node, label) of the representatives (staged: rep, tokens, sketch) that
+    confirmed links join; others are left out."""
     members = staged(first_level(reps, trees), "dedup-paths")
     groups, edges = [], None
     for level in range(levels):
         nodes = staged(node_table(members), f"dedup-nodes{level}")
         sized = members.join(nodes, "path").distinct()
-        last = level == levels - 1
-        groups.append(staged(in_blocks(sized if last else sized.where(F.col("size") <= leaf), leaf),
-                             f"dedup-groups{level}"))
-        if last or nodes.where(F.col("size") > leaf).isEmpty():
+        groups.append(staged(in_blocks(sized, leaf).join(nodes, "path"), f"dedup-groups{level}"))
+        if level == levels - 1 or nodes.where(F.col("size") > leaf).isEmpty():
             break
-        large = staged(sized.where(F.col("size") > leaf).select("path", "rep"), f"dedup-big{level}")
-        step = staged(pivot_step(large, reps, PIVOTS), f"dedup-pivots{level}")
+        large = sized.where(F.col("size") > leaf).select("path", "rep")
+        step = staged(pivot_step(staged(large, f"dedup-big{level}"), reps, PIVOTS), f"dedup-pivots{level}")
         found = step.where("kind = 'edge'").select(F.col("x").alias("a"), F.col("y").alias("b"))
         edges = found if edges is None else edges.unionByName(found)
         members = step.where("kind = 'child'").select(F.col("x").alias("path"), F.col("y").alias("rep"))
-    grouped = groups[0]
-    for more in groups[1:]:
-        grouped = grouped.unionByName(more)
+    grouped = groups[0].where(F.col("size") <= leaf) if len(groups) > 1 else groups[0]
+    everything = groups[0]
+    for i, more in enumerate(groups[1:], 1):
+        everything = everything.unionByName(more)
+        grouped = grouped.unionByName(more if i == len(groups) - 1 else more.where(F.col("size") <= leaf))
     sketches = reps.select("rep", "sketch")
+    texts = staged(texts_of(everything.select("rep").distinct(), docs, key, text), "dedup-texts")
     likely = compare_groups(grouped.join(sketches, "rep"), _forest)
-    if edges is not None:
-        likely = likely.unionByName(edges).distinct()
-    links = staged(confirmed(likely, docs, key, text, percent), "dedup-links")
+    likely = staged(likely if edges is None else likely.unionByName(edges).distinct(), "dedup-likely")
+    labels = staged(components(confirmed(likely, texts, percent)), "dedup-labels")
     # Second round: nodes whose documents are still apart although some pair of them is likely.
-    labels = staged(components(links), "dedup-labels")
-    labelled = (grouped.join(labels, grouped["rep"] == labels["node"], "left")
-                       .withColumn("label", F.coalesce("label", "rep")).drop("node"))
     keys = ["path", "first", "second"]
+    labelled = (everything.join(labels, everything["rep"] == labels["node"], "left")
+                          .select(*keys, "rep", F.coalesce("label", "rep").alias("label")))
     apart = (labelled.groupBy(*keys).agg(F.min("label").alias("__l"), F.max("label").alias("__h"))
                      .where("__l <> __h").select(*keys))
     rest = compare_groups(labelled.join(apart, keys).join(sketches, "rep"), _crossing)
-    tried = likely.select("a", "b")
-    more = confirmed(rest.join(staged(tried, "dedup-tried"), ["a", "b"], "left_anti"), docs, key, text, percent)
-    return links.unionByName(staged(more, "dedup-links2"))
+    more = staged(confirmed(rest.join(likely, ["a", "b"], "left_anti"), texts, percent), "dedup-links")
+    if more.isEmpty():
+        return labels
+    # The links found late join whole components: contract the graph to their labels.
+    of = labels.select(F.col("node").alias("__n"), "label")
+    joined = more
+    for end in ("a", "b"):
+        joined = (joined.join(of, joined[end] == of["__n"], "left")
+                        .withColumn(end, F.coalesce("label", end)).drop("__n", "label"))
+    top = components(joined).select(F.col("node").alias("label"), F.col("label").alias("__top"))
+    known = labels.unionByName(top.select(F.col("label").alias("node"), "label")).distinct()
+    return known.join(top, "label", "left").select("node", F.coalesce("__top", "label").alias("label"))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT,
@@ -351,9 +377,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     rows = staged(class_rows(docs, key, text), "dedup-classes")
     known = rows.where(F.col("set_key").isNotNull() & F.col(key).isNotNull())
     classes = staged(known.groupBy("set_key").agg(F.min(F.col(key).cast("long")).alias("rep"),
+                                                  F.min("tokens").alias("tokens"),
                                                   F.min("sketch").alias("sketch")), "dedup-reps")
-    links = similar_links(classes.select("rep", "sketch"), docs, key, text, percent, trees)
-    labels = components(links)
+    labels = linked_components(classes.select("rep", "tokens", "sketch"), docs, key, text, percent, trees)
     per_class = (classes.select("set_key", "rep").join(labels, F.col("rep") == F.col("node"), "left")
                         .select("set_key", F.coalesce("label", "rep").alias("component_id")))
     out = rows.select(key, "n_shingles", "set_key").join(per_class, "set_key", "left")
