@@ -2,7 +2,7 @@
 
 A document is the set of its distinct five-word shingles. Documents with equal
 sets form a class first; one representative each goes on. ``TOKENS`` minwise
-values of a representative are its tokens, and the low 16 bits of ``SKETCH``
+values of a representative are its tokens, and the low 8 bits of ``SKETCH``
 values its sketch, by which similarity is estimated.
 
 A tree starts with all representatives in its root. A node hands a document to
@@ -46,13 +46,13 @@ from .shingles import mix, shingle_sets, similar
 
 PERCENT = 75
 TOKENS = 32           # minwise values a path is chosen from
-SKETCH = 128          # minwise values a similarity is estimated from
+SKETCH = 256          # minwise values a similarity is estimated from
 TREES = 10
 LEAF = 2048           # a node of at most so many documents is compared exhaustively
 PIVOTS = 8
 LEVELS = 6
-LIKELY = 82           # shared values (of 128) of a pair worth confirming: 2.9 deviations below the threshold's 96
-CLOSE = 96            # shared values at which a document is done in a large node
+LIKELY = 172          # shared values (of 256) of a pair worth confirming: 2.9 deviations below the threshold's 192
+CLOSE = 192           # shared values at which a document is done in a large node
 FILTER_BITS = 25      # size of the bit map that spares shuffling texts no pair needs: 4 MB, whatever the input
 SELECT = np.uint64(int(2 ** 64 / (PERCENT / 100 * TOKENS)))
 
@@ -81,7 +81,7 @@ def class_rows(docs: DataFrame, key: str, text: str) -> DataFrame:
                 if len(s):
                     values = minwise(s)
                     made.append((len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(),
-                                 mix(values[:TOKENS]).tobytes(), mix(values).astype(np.uint16).tobytes()))
+                                 mix(values[:TOKENS]).tobytes(), mix(values).astype(np.uint8).tobytes()))
                 else:
                     made.append((0, None, None, None))
             yield pa.RecordBatch.from_arrays(
@@ -101,7 +101,7 @@ def selected(paths: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def _values(column: pa.Array, kind: type) -> np.ndarray:
-    """Tokens (64 bits) or sketches (16 bits) of a column, one row each."""
+    """Tokens (64 bits) or sketches (8 bits) of a column, one row each."""
     return np.frombuffer(b"".join(column.to_pylist()), dtype=kind).reshape(
         len(column), TOKENS if kind is np.uint64 else SKETCH)
 
@@ -142,7 +142,7 @@ def pivot_step(large: DataFrame, reps: DataFrame, pivots: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            tokens, sketches = _values(batch.column("tokens"), np.uint64), _values(batch.column("sketch"), np.uint16)
+            tokens, sketches = _values(batch.column("tokens"), np.uint64), _values(batch.column("sketch"), np.uint8)
             paths, ids = batch.column("path").to_numpy(), batch.column("rep").to_numpy()
             pivot_lists = batch.column("pivots")
             best, closest = np.zeros(len(ids), dtype=np.int64), np.zeros(len(ids), dtype=np.int64)
@@ -150,7 +150,7 @@ def pivot_step(large: DataFrame, reps: DataFrame, pivots: int) -> DataFrame:
                 at = np.flatnonzero(paths == path)
                 listed = pivot_lists[int(at[0])].as_py()
                 held = np.array([p["rep"] for p in listed])
-                known = np.frombuffer(b"".join(p["sketch"] for p in listed), dtype=np.uint16).reshape(-1, SKETCH)
+                known = np.frombuffer(b"".join(p["sketch"] for p in listed), dtype=np.uint8).reshape(-1, SKETCH)
                 shared = (sketches[at][:, None, :] == known[None, :, :]).sum(axis=2)
                 shared[ids[at][:, None] == held[None, :]] = -1
                 best[at], closest[at] = shared.max(axis=1), held[shared.argmax(axis=1)]
@@ -193,7 +193,12 @@ def _by_group(work: Callable, names: list[str]) -> Callable:
     return run
 
 
-def spanning_forest(sketches: np.ndarray) -> list[tuple[int, int]]:
+def _likely(shared: np.ndarray, size: int, sizes: np.ndarray) -> np.ndarray:
+    """Pairs worth confirming: enough shared values, and sizes that can reach the threshold at all."""
+    return (shared >= LIKELY) & (100 * np.minimum(size, sizes) >= PERCENT * np.maximum(size, sizes))
+
+
+def spanning_forest(sketches: np.ndarray, sizes: np.ndarray) -> list[tuple[int, int]]:
     """Highest-estimate spanning forest of the likely pairs."""
     n = len(sketches)
     best, parent = np.full(n, -1), np.full(n, -1)
@@ -205,7 +210,7 @@ def spanning_forest(sketches: np.ndarray) -> list[tuple[int, int]]:
         if parent[at] >= 0:
             edges.append((int(parent[at]), at))
         shared = (sketches == sketches[at]).sum(axis=1)
-        better = waiting & (shared >= LIKELY) & (shared > best)
+        better = waiting & (shared > best) & _likely(shared, sizes[at], sizes)
         best[better], parent[better] = shared[better], at
     return edges
 
@@ -217,17 +222,18 @@ def _pairs(a: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
 
 def _forest(table: pa.Table) -> Iterator[pa.RecordBatch]:
     ids = table["rep"].to_numpy()
-    edges = np.array(spanning_forest(_values(table["sketch"].combine_chunks(), np.uint16)), dtype=np.int64).reshape(-1, 2)
+    found = spanning_forest(_values(table["sketch"].combine_chunks(), np.uint8), table["n_shingles"].to_numpy())
+    edges = np.array(found, dtype=np.int64).reshape(-1, 2)
     yield from _pairs(ids[edges[:, 0]], ids[edges[:, 1]])
 
 
 def _crossing(table: pa.Table) -> Iterator[pa.RecordBatch]:
     """All likely pairs whose documents lie in different components."""
-    ids, labels = table["rep"].to_numpy(), table["label"].to_numpy()
-    sketches = _values(table["sketch"].combine_chunks(), np.uint16)
+    ids, labels, sizes = (table[n].to_numpy() for n in ("rep", "label", "n_shingles"))
+    sketches = _values(table["sketch"].combine_chunks(), np.uint8)
     for i in range(len(ids) - 1):
         other = np.flatnonzero(labels[i + 1:] != labels[i]) + i + 1
-        other = other[(sketches[other] == sketches[i]).sum(axis=1) >= LIKELY]
+        other = other[_likely((sketches[other] == sketches[i]).sum(axis=1), sizes[i], sizes[other])]
         yield from _pairs(np.full(len(other), ids[i]), ids[other])
 
 
@@ -250,25 +256,28 @@ def compare_groups(groups: DataFrame, work: Callable) -> DataFrame:
 
 
 def texts_of(ids: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(rep, text) for the distinct ids in ``ids`` (rep). A bit map of hashed
-    ids, of fixed size and so safe to send to every task, first drops nearly
-    all other texts before the join shuffles them."""
+    """(rep, text) of at least the documents in ``ids`` (rep). A bit map of
+    hashed ids, of fixed size and so safe to send to every task, drops nearly
+    all other texts in place; the join that follows is exact."""
     bit = F.pmod(F.xxhash64("rep"), F.lit(2 ** FILTER_BITS))
     bits = (ids.select(F.floor(bit / 32768).cast("long").alias("__page"), F.pmod(bit, F.lit(32768)).alias("__bit"))
                .groupBy("__page").agg(F.bitmap_construct_agg("__bit").alias("__bits")))
     byte = F.conv(F.hex(F.expr("substring(__bits, cast(__bit div 8 as int) + 1, 1)")), 16, 10).cast("int")
     hit = F.expr("shiftright(__byte, cast(__bit % 8 as int)) & 1") == 1
-    found = (docs.select(F.col(key).cast("long").alias("rep"), F.col(text).alias("text")).where("rep is not null")
-                 .withColumn("__page", F.floor(bit / 32768).cast("long"))
-                 .withColumn("__bit", F.pmod(bit, F.lit(32768)))
-                 .join(F.broadcast(bits), "__page").withColumn("__byte", byte).where(hit).select("rep", "text"))
-    return found.join(ids, "rep", "left_semi")
+    return (docs.select(F.col(key).cast("long").alias("rep"), F.col(text).alias("text")).where("rep is not null")
+                .withColumn("__page", F.floor(bit / 32768).cast("long"))
+                .withColumn("__bit", F.pmod(bit, F.lit(32768)))
+                .join(F.broadcast(bits), "__page").withColumn("__byte", byte).where(hit).select("rep", "text"))
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose full shingle sets reach the similarity."""
-    left = texts.select(F.col("rep").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("rep").alias("b"), F.col("text").alias("text_b"))
+def confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str, percent: int) -> DataFrame:
+    """The pairs (staged) whose full shingle sets reach the similarity. The
+    texts meet their pairs by sort-merge joins at every size: a hot document's
+    pairs are then split by AQE and nothing is sent whole to every task."""
+    ends = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep")))
+    texts = texts_of(ends, docs, key, text)
+    left = texts.select(F.col("rep").alias("a"), F.col("text").alias("text_a")).hint("merge")
+    right = texts.select(F.col("rep").alias("b"), F.col("text").alias("text_b")).hint("merge")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -324,7 +333,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 def linked_components(reps: DataFrame, docs: DataFrame, key: str, text: str, percent: int = PERCENT,
                       trees: int = TREES, leaf: int = LEAF, levels: int = LEVELS) -> DataFrame:
-    """(node, label) of the representatives (staged: rep, tokens, sketch) that
+    """(node, label) of the representatives (staged: rep, n_shingles, tokens, sketch) that
     confirmed links join; others are left out."""
     members = staged(first_level(reps, trees), "dedup-paths")
     groups, edges = [], None
@@ -344,11 +353,11 @@ def linked_components(reps: DataFrame, docs: DataFrame, key: str, text: str, per
     for i, more in enumerate(groups[1:], 1):
         everything = everything.unionByName(more)
         grouped = grouped.unionByName(more if i == len(groups) - 1 else more.where(F.col("size") <= leaf))
-    sketches = reps.select("rep", "sketch")
-    texts = staged(texts_of(everything.select("rep").distinct(), docs, key, text), "dedup-texts")
+    sketches = staged(reps.select("rep", "n_shingles", "sketch").join(everything.select("rep").distinct(), "rep"),
+                      "dedup-sketches")
     likely = compare_groups(grouped.join(sketches, "rep"), _forest)
     likely = staged(likely if edges is None else likely.unionByName(edges).distinct(), "dedup-likely")
-    labels = staged(components(confirmed(likely, texts, percent)), "dedup-labels")
+    labels = staged(components(confirmed(likely, docs, key, text, percent)), "dedup-labels")
     # Second round: nodes whose documents are still apart although some pair of them is likely.
     keys = ["path", "first", "second"]
     labelled = (everything.join(labels, everything["rep"] == labels["node"], "left")
@@ -356,7 +365,8 @@ def linked_components(reps: DataFrame, docs: DataFrame, key: str, text: str, per
     apart = (labelled.groupBy(*keys).agg(F.min("label").alias("__l"), F.max("label").alias("__h"))
                      .where("__l <> __h").select(*keys))
     rest = compare_groups(labelled.join(apart, keys).join(sketches, "rep"), _crossing)
-    more = staged(confirmed(rest.join(likely, ["a", "b"], "left_anti"), texts, percent), "dedup-links")
+    rest = staged(rest.join(likely, ["a", "b"], "left_anti"), "dedup-rest")
+    more = staged(confirmed(rest, docs, key, text, percent), "dedup-links")
     if more.isEmpty():
         return labels
     # The links found late join whole components: contract the graph to their labels.
@@ -377,9 +387,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     rows = staged(class_rows(docs, key, text), "dedup-classes")
     known = rows.where(F.col("set_key").isNotNull() & F.col(key).isNotNull())
     classes = staged(known.groupBy("set_key").agg(F.min(F.col(key).cast("long")).alias("rep"),
+                                                  F.min("n_shingles").alias("n_shingles"),
                                                   F.min("tokens").alias("tokens"),
                                                   F.min("sketch").alias("sketch")), "dedup-reps")
-    labels = linked_components(classes.select("rep", "tokens", "sketch"), docs, key, text, percent, trees)
+    labels = linked_components(classes.select("rep", "n_shingles", "tokens", "sketch"), docs, key, text, percent, trees)
     per_class = (classes.select("set_key", "rep").join(labels, F.col("rep") == F.col("node"), "left")
                         .select("set_key", F.coalesce("label", "rep").alias("component_id")))
     out = rows.select(key, "n_shingles", "set_key").join(per_class, "set_key", "left")

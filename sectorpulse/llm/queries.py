@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, dedup_cpsjoin, mix_pivotal, pack_cutting_stock, quality_pu, shard_rendezvous
+from . import (ann_rpforest, chat_format, dedup_cpsjoin, html_mincut, license_tfidf, mix_pivotal, pack_cutting_stock,
+               quality_pu, shard_rendezvous, topk_columnar)
 from .common import prepare, read_table, staged
 
 SHARDS = 16
@@ -47,16 +48,51 @@ def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    return html_mincut.extract(pages, ["page_id", "url"]).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op5_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_cutting_stock.pack(read_table(spark, sf_dir, "documents"), vocabulary()).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").cast("long").alias("id"), F.col("embedding").cast("array<double>").alias("vector"))
+
+
+def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _vectors(spark, sf_dir).where(ann_rpforest.searchable(F.col("vector")) & F.col("id").isNotNull())
+    found = ann_rpforest.nearest(rows.where("id % 100 = 0"), rows, 10)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+def op7_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files: the path is source/lang/doc_id; in a source and language, a document that is
+    nothing but a license notice stands for its directory's license file."""
+    docs = read_table(spark, sf_dir, "documents")
+    notice = F.length(F.trim("text")) <= 200
+    name = F.concat(F.when(notice, F.lit("LICENSE-")).otherwise(F.lit("doc-")), F.col("doc_id").cast("string"))
+    files = docs.select("doc_id", F.concat_ws("/", F.coalesce("source", F.lit("unknown")),
+                                              F.coalesce("lang", F.lit("unknown")),
+                                              F.coalesce(name, F.lit("doc-"))).alias("path"), "text")
+    return license_tfidf.scan(files, "doc_id", "path", "text")
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_cpsjoin.near_duplicates(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_shingles", "component_id", "kept")
 
 
+def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _vectors(spark, sf_dir).where(topk_columnar.usable(F.col("vector")) & F.col("id").isNotNull())
+    rows = rows.withColumn("vector", topk_columnar.integral(F.col("vector")))
+    found = topk_columnar.top_k(rows.where("id % 20 = 0"), rows, 20)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op10_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.col("text")
     docs = read_table(spark, sf_dir, "documents").select(
@@ -68,6 +104,40 @@ def op10_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slotted.select("doc_id", "size", "text_crc32", F.lit(LAW).alias("law"), "shard", "slot", "grown_shard")
 
 
-QUERIES = {"op1_quality": op1_quality, "op2_chat_format": op2_chat_format, "op3_mix": op3_mix, "op5_pack": op5_pack,
-           "op8_near_dedup": op8_near_dedup, "op10_shard": op10_shard}
-ORACLE: dict[str, str] = {}
+QUERIES = {
+    "op1_quality": op1_quality, "op2_chat_format": op2_chat_format, "op3_mix": op3_mix, "op4_html": op4_html,
+    "op5_pack": op5_pack, "op6_ann": op6_ann, "op7_license": op7_license, "op8_near_dedup": op8_near_dedup,
+    "op9_top_k": op9_top_k, "op10_shard": op10_shard}
+
+CONTROL = r"<\\*(\|\w*\|>|/?s>|</?SYS>>)|\[\\*/?INST\]"
+ORACLE: dict[str, str] = {
+    # Each turn adds its text and escapes; each run of one role a header and an end mark.
+    "op2_chat_format": rf"""
+        WITH rows AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+        marked AS (
+            SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS before,
+                   length(text) + len(regexp_extract_all(text, '{CONTROL}')) AS shown,
+                   length(role) + len(regexp_extract_all(role, '{CONTROL}')) AS shown_role FROM rows)
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+               sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), ''))
+                   AS loss_sha256,
+               CAST(sum(shown + CASE WHEN before IS NOT DISTINCT FROM role THEN 11
+                                     ELSE 12 + shown_role + 10 + 11 END) AS BIGINT) AS formatted_chars
+        FROM marked GROUP BY conv_id""",
+    "op9_top_k": """
+        WITH good AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+            FROM good q JOIN good c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v))
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+               vec_id, score
+        FROM scored QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20""",
+}
