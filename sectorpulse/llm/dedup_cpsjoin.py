@@ -228,24 +228,37 @@ def _forest(table: pa.Table) -> Iterator[pa.RecordBatch]:
 
 
 def _crossing(table: pa.Table) -> Iterator[pa.RecordBatch]:
-    """All likely pairs whose documents lie in different components."""
-    ids, labels, sizes = (table[n].to_numpy() for n in ("rep", "label", "n_shingles"))
+    """All likely pairs whose documents lie in different components. A pair
+    that meets in several groups is told by the first node they share, and
+    there by its own block or by the one pair of its two blocks."""
+    ids, labels, sizes, own = (table[n].to_numpy() for n in ("rep", "label", "n_shingles", "own"))
     sketches = _values(table["sketch"].combine_chunks(), np.uint8)
+    path, meet = table["path"][0].as_py(), table["first"][0].as_py() != table["second"][0].as_py()
+    listed = table["paths"].to_pylist()
+    lists = np.full((len(ids), max(map(len, listed))), -1, dtype=np.int64)
+    for i, paths in enumerate(listed):
+        lists[i, :len(paths)] = paths                 # ascending; a repeated last one changes nothing
+        lists[i, len(paths):] = paths[-1]
     for i in range(len(ids) - 1):
         other = np.flatnonzero(labels[i + 1:] != labels[i]) + i + 1
+        if meet:
+            other = other[own[other] != own[i]]
         other = other[_likely((sketches[other] == sketches[i]).sum(axis=1), sizes[i], sizes[other])]
-        yield from _pairs(np.full(len(other), ids[i]), ids[other])
+        if len(other):
+            shared = (lists[other][:, :, None] == lists[i][None, None, :]).any(axis=2)
+            other = other[lists[other, shared.argmax(axis=1)] == path]
+            yield from _pairs(np.full(len(other), ids[i]), ids[other])
 
 
 def in_blocks(members: DataFrame, leaf: int) -> DataFrame:
-    """(path, first, second, rep): a node of at most ``leaf`` documents is one
+    """(path, first, second, own, rep): a node of at most ``leaf`` documents is one
     group, a larger one is dealt into blocks and every pair of blocks meets once."""
     blocks = F.ceil(F.col("size") / leaf).cast("int")
     own = F.pmod(F.xxhash64("rep", F.lit(3)), blocks).cast("int")
-    return (members.withColumn("__own", own)
+    return (members.withColumn("own", own)
                    .withColumn("__other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-                   .select("path", F.least("__own", "__other").alias("first"),
-                           F.greatest("__own", "__other").alias("second"), "rep"))
+                   .select("path", F.least("own", "__other").alias("first"),
+                           F.greatest("own", "__other").alias("second"), "own", "rep"))
 
 
 def compare_groups(groups: DataFrame, work: Callable) -> DataFrame:
@@ -361,10 +374,12 @@ def linked_components(reps: DataFrame, docs: DataFrame, key: str, text: str, per
     # Second round: nodes whose documents are still apart although some pair of them is likely.
     keys = ["path", "first", "second"]
     labelled = (everything.join(labels, everything["rep"] == labels["node"], "left")
-                          .select(*keys, "rep", F.coalesce("label", "rep").alias("label")))
+                          .select(*keys, "own", "rep", F.coalesce("label", "rep").alias("label")))
+    # At most trees * levels selected paths a document.
+    paths = everything.groupBy("rep").agg(F.sort_array(F.collect_set("path")).alias("paths"))
     apart = (labelled.groupBy(*keys).agg(F.min("label").alias("__l"), F.max("label").alias("__h"))
                      .where("__l <> __h").select(*keys))
-    rest = compare_groups(labelled.join(apart, keys).join(sketches, "rep"), _crossing)
+    rest = compare_groups(labelled.join(apart, keys).join(paths, "rep").join(sketches, "rep"), _crossing)
     rest = staged(rest.join(likely, ["a", "b"], "left_anti"), "dedup-rest")
     more = staged(confirmed(rest, docs, key, text, percent), "dedup-links")
     if more.isEmpty():
