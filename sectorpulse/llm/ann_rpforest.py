@@ -39,11 +39,11 @@ from .common import shuffle_width, staged
 from .topk_columnar import usable
 
 SAMPLE = 16_384
-TREES = 10
-LEAF_ROWS = 256
+TREES = 6
+LEAF_ROWS = 128
 LEAST_IN_LEAF = 8         # sampled vectors a leaf is fitted on at least
 BLOCK_ROWS = 4096
-SHARE = 0.30              # of the table's rows that a query's leaves may hold, all trees together
+SHARE = 1.2               # rows that a query's leaves hold, all trees together, over the rows of the table
 LEAST = 4096
 SEED = 11
 
