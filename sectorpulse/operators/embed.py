@@ -11,17 +11,16 @@ def embed_left(bounded: DataFrame, dim: DataFrame, keys: dict[str, str], name: s
                fields: list[str]) -> DataFrame:
     """Left join ``bounded`` (a top-k result: its size is the k) to ``dim``.
 
-    Written as ``dim RIGHT JOIN broadcast(bounded)``: the broadcast side is
-    the one with a proven bound, the dimension is only streamed and never
-    collected, whatever its size. ``keys`` maps bounded columns to dim
-    columns.
+    The keys of ``bounded`` are broadcast and the dimension, only streamed, is
+    semi-joined to them; the few rows left, at most one per key, are broadcast
+    to ``bounded``. Neither join shuffles the dimension, whatever its size.
+    ``keys`` maps bounded columns to dim columns, which are unique there.
     """
-    d = dim.select(*[F.col(dk).alias(f"__k_{bk}") for bk, dk in keys.items()],
+    on = [f"__k_{bk}" for bk in keys]
+    wanted = bounded.select(*[F.col(bk).alias(k) for bk, k in zip(keys, on)]).distinct()
+    d = dim.select(*[F.col(dk).alias(k) for dk, k in zip(keys.values(), on)],
                    F.struct(*[F.col(f) for f in fields]).alias(name))
-    cond = None
-    for bk in keys:
-        c = d[f"__k_{bk}"] == bounded[bk]
-        cond = c if cond is None else cond & c
-    joined = d.join(F.broadcast(bounded), cond, "right")
+    few = d.join(F.broadcast(wanted), on, "left_semi")
+    cond = [F.col(bk) == F.col(k) for bk, k in zip(keys, on)]
     # An unmatched row gets a NULL struct, not a struct of NULLs.
-    return joined.select(*[bounded[c] for c in bounded.columns], d[name])
+    return bounded.join(F.broadcast(few), cond, "left").select(*bounded.columns, name)

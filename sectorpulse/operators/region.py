@@ -38,7 +38,8 @@ def region_missing(municipalities: DataFrame, whitelist=REGION_MUNICIPALITIES,
     whitelist is a parameter (a few dozen names), so it is a literal table."""
     spark = municipalities.sparkSession
     wanted = spark.createDataFrame([(n,) for n in dict.fromkeys(whitelist)], "nome_normalizado string")
-    found = region_municipalities(municipalities, whitelist, code_col, name_col).select("nome_normalizado")
+    found = (region_municipalities(municipalities, whitelist, code_col, name_col)
+             .select("nome_normalizado").distinct())
     return wanted.join(found, "nome_normalizado", "left_anti").orderBy("nome_normalizado")
 
 

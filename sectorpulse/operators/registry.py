@@ -50,7 +50,10 @@ def keep_first(df: DataFrame, key: str | Sequence[str], order: Sequence[str] | N
     """
     keys = [key] if isinstance(key, str) else list(key)
     rest = [c for c in df.columns if c not in keys]
-    order = list(order) if order else rest
+    if not order:
+        # Ordered by all columns the first row is the least struct: each row is carried once.
+        picked = df.groupBy(*keys).agg(F.min(F.struct(*[F.col(c) for c in rest])).alias("__row"))
+        return picked.select(*keys, *[F.col(f"__row.{c}").alias(c) for c in rest])
     picked = (df.groupBy(*keys)
                 .agg(F.min_by(F.struct(*[F.col(c) for c in rest]),
                               F.struct(*[F.col(c) for c in order])).alias("__row")))
@@ -58,9 +61,10 @@ def keep_first(df: DataFrame, key: str | Sequence[str], order: Sequence[str] | N
 
 
 def companies_semi(companies: DataFrame, establishments: DataFrame) -> DataFrame:
-    """Companies with at least one establishment (left semi join;
-    the distinct of the keys is implied)."""
-    return companies.join(establishments.select("cnpj_basico"), "cnpj_basico", "left_semi")
+    """Companies with at least one establishment (left semi join). The
+    keys are made distinct first: combined map-side, so a company with a third
+    of all establishments reaches the join as one row per task."""
+    return companies.join(establishments.select("cnpj_basico").distinct(), "cnpj_basico", "left_semi")
 
 
 def companies_final(raw_companies: DataFrame, establishments: DataFrame,

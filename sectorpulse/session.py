@@ -1,6 +1,5 @@
 """Session helpers: building a session for local runs, the shared scratch
-folder taken from ``spark.checkpoint.dir``, and the size guard used before
-any explicit broadcast."""
+folder taken from ``spark.checkpoint.dir``, and a bounded size check."""
 
 from __future__ import annotations
 
@@ -10,7 +9,6 @@ import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Settings every session of this library relies on. Dates are DATE or
 # TIMESTAMP_NTZ, so the zone only matters for ``current_timestamp``.
@@ -19,6 +17,7 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.ansi.enabled": "true",
 }
 
 
@@ -83,14 +82,16 @@ def shared_root(spark: SparkSession) -> str:
     """Root of the shared folder for written tables and lineage cuts.
 
     Taken from the session (``spark.checkpoint.dir`` or the context's
-    checkpoint directory). Only when neither is set, as in local tests, a
-    fresh folder is created and registered as the checkpoint directory.
+    checkpoint directory). Only a local master may go without: a fresh folder
+    is then created and registered as the checkpoint directory.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
         root = sc.getCheckpointDir()
     if not root:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="sectorpulse-ckpt-")
         sc.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)
@@ -103,10 +104,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/sectorpulse/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
 def local_dir(path: str) -> str:
     """Filesystem path for a ``file:`` or bare path (used by the zip writer)."""
     return path[len("file:"):] if path.startswith("file:") else path
@@ -116,16 +113,3 @@ def bounded(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows. Reads at most
     ``max_rows + 1`` rows, so the check itself is bounded."""
     return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast hint only behind a proven row bound; beyond it the join is
-    left to the planner (shuffled join, AQE may still switch at run time)."""
-    return F.broadcast(df) if bounded(df, max_rows) else df
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default

@@ -3,7 +3,7 @@ switch, upsert, append and the semicolon CSV export.
 
 Plain Parquet has no transactions, so a refresh or upsert never
 overwrites the folder being read: it writes a new version folder and then
-switches a one-line pointer. A job that dies before the switch leaves the
+adds a one-line marker of it; the newest marker holds. A job that dies before the switch leaves the
 previous version current; Spark's output committer makes each version
 folder all-or-nothing for lost executors.
 """
@@ -50,19 +50,22 @@ def current_version(spark: SparkSession, root: str, table: str) -> str | None:
     pointer = f"{root}/{table}/{POINTER}"
     if not path_exists(spark, pointer):
         return None
-    row = spark.read.text(pointer).first()
-    return row[0] if row else None
+    # Markers are only ever added; versions sort by time, so the newest complete one holds.
+    newest = spark.read.text(pointer).agg(F.max("value")).first()[0]
+    if newest is None:
+        raise FileNotFoundError(f"{pointer} holds no version")
+    return newest
 
 
 def _switch(spark: SparkSession, root: str, table: str, version: str) -> None:
     (spark.createDataFrame([(version,)], "value string").coalesce(1)
-          .write.mode("overwrite").text(f"{root}/{table}/{POINTER}"))
+          .write.mode("append").text(f"{root}/{table}/{POINTER}"))
 
 
 def read_current(spark: SparkSession, root: str, table: str, schema: T.StructType | None = None) -> DataFrame:
     v = current_version(spark, root, table)
     if v is None:
-        if schema is None:
+        if schema is None or path_exists(spark, f"{root}/{table}"):
             raise FileNotFoundError(f"no current version of {table} under {root}")
         return spark.createDataFrame([], schema)
     return spark.read.parquet(f"{root}/{table}/{v}")
@@ -101,12 +104,21 @@ def keep_last(df: DataFrame, key: Sequence[str], seq: str) -> DataFrame:
 def upsert(existing: DataFrame, incoming: DataFrame, key: str | Sequence[str],
            seq: str | None = None, touch: str | None = None) -> DataFrame:
     """K7/K8: insert new keys, replace the non-key columns of existing
-    keys; ``seq`` orders duplicates in ``incoming``; ``touch`` names a
+    keys; ``seq`` orders duplicates in ``incoming`` (without it the greatest row wins); ``touch`` names a
     clock column set to now for every incoming row."""
     keys = [key] if isinstance(key, str) else list(key)
-    inc = keep_last(incoming, keys, seq) if seq else incoming
     if seq:
-        inc = inc.drop(seq)
+        inc = keep_last(incoming, keys, seq).drop(seq)
+    else:
+        # Without an order the greatest of a key's rows wins: one row per key in any
+        # case. A NULL key equals no other, so such rows are all inserted.
+        rest = [c for c in incoming.columns if c not in keys]
+        keyed = F.lit(True)
+        for k in keys:
+            keyed = keyed & F.col(k).isNotNull()
+        inc = (incoming.where(keyed).groupBy(*keys).agg(F.max(F.struct(*rest)).alias("__r"))
+                       .select(*keys, *[F.col(f"__r.{c}").alias(c) for c in rest])
+                       .unionByName(incoming.where(~keyed).select(*keys, *rest)))
     if touch:
         inc = inc.withColumn(touch, F.current_timestamp())
     kept = existing.join(inc.select(*keys), keys, "left_anti")

@@ -55,11 +55,13 @@ class ZipTextReader(DataSourceReader):
         self.layout = _layout(options)
         self.encoding = options.get("encoding", "ISO-8859-1")
         self.sep = options.get("sep", ";")
+        self.strict = options.get("mode", "PERMISSIVE").upper() == "FAILFAST"
 
     def partitions(self):
         return [ArchivePartition(p) for p in list_archives(self.options["path"])]
 
     def read(self, partition) -> Iterator[pa.RecordBatch]:
+        csv.field_size_limit(2 ** 31 - 1)  # a field may be as long as its record
         width = len(self.layout)
         names = [*self.layout, "shard", "linha"]
         shard = os.path.basename(partition.path)
@@ -75,6 +77,8 @@ class ZipTextReader(DataSourceReader):
                 for n, rec in enumerate(rows):
                     if not rec:
                         continue
+                    if self.strict and len(rec) != width:
+                        raise ValueError(f"{shard} record {n}: {len(rec)} fields, {width} expected")
                     for i in range(width):
                         v = rec[i] if i < len(rec) else None
                         cols[i].append(v if v != "" else None)  # empty -> NULL (C8)
@@ -96,7 +100,8 @@ class ZipTextReader(DataSourceReader):
 
 class ZipTextDataSource(DataSource):
     """Options: ``path`` (archive, folder or glob), ``layout`` (comma
-    separated column names), ``encoding`` (ISO-8859-1), ``sep`` (';')."""
+    separated column names), ``encoding`` (ISO-8859-1), ``sep`` (';'), ``mode``
+    (FAILFAST refuses records with another number of fields)."""
 
     @classmethod
     def name(cls) -> str:
