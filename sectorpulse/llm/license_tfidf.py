@@ -85,9 +85,10 @@ def candidate_lines(text: Column, templates: Sequence[tuple[str, str]]) -> Colum
     idf, vectors = template_vectors(templates)
     marks = set()
     for vector in vectors:
-        # Words in falling weight until the rest's squared weight is below the threshold's square.
+        # Words in falling weight, long ones first (prose is full of short ones), until the
+        # rest's squared weight is below the threshold's square.
         left = 1.0
-        for w, x in sorted(vector.items(), key=lambda i: (-i[1], i[0])):
+        for w, x in sorted(vector.items(), key=lambda i: (-round(i[1], 9), -len(i[0]), i[0])):
             if left < THRESHOLD ** 2:
                 break
             marks.add(w)
@@ -104,7 +105,8 @@ def stated(files: DataFrame, key: str, text: str, templates: Sequence[tuple[str,
     weights = F.broadcast(weights_table(files.sparkSession, templates))    # as small as the templates
     outside = math.log(1 + len(templates)) + 1                              # idf of a word in no template
     lines = (files.select(F.col(key).alias("__key"), F.explode(candidate_lines(F.col(text), templates)).alias("__line"))
-                  .withColumn("__words", F.regexp_extract_all(F.lower("__line"), F.lit(TOKEN), 0)))
+                  .withColumn("__words", F.regexp_extract_all(F.lower("__line"), F.lit(TOKEN), 0))
+                  .withColumn("__line", F.xxhash64("__line")))    # the words go on, the line's text does not
     counted = (lines.withColumn("__word", F.explode("__words"))
                     .groupBy("__key", "__line", "__word").agg(F.count(F.lit(1)).alias("__tf")))
     idf_of = weights.select("__word", "__idf").distinct()
