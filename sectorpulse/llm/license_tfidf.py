@@ -13,8 +13,10 @@ ancestor directories, joined to the licensed directories by equality and the
 deepest hit is kept by a map-side aggregate.
 
 The template vectors are a fixed small table and the only broadcast side. The
-corpus is read once; only lines that hold a word of some template are kept
-(matching lines, a few words each), so texts are never shuffled.
+corpus is read for its words once; only lines whose words could reach the
+threshold at all (an exact bound) are exploded into words, so prose and texts
+are never shuffled. What files state is written to the shared folder before
+directories inherit it.
 
 Defined cases: a null or empty text states nothing but may inherit; a null path
 has no directory, so it only states; ties between licenses go to the higher
@@ -31,6 +33,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import staged
+
 # Notices by license id (fixed values: public license names and their usual wording).
 TEMPLATES: tuple[tuple[str, str], ...] = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -98,15 +102,38 @@ def candidate_lines(text: Column, templates: Sequence[tuple[str, str]]) -> Colum
     return F.when(text.rlike(pattern), F.array_distinct(F.filter(lines, lambda x: x.rlike(pattern))))
 
 
+def plausible(words: Column, templates: Sequence[tuple[str, str]], threshold: float) -> Column:
+    """Whether a line can reach the threshold against any template at all.
+
+    Only words of the templates add to a cosine, so its square is at most their share of
+    the line's squared length. A word outside counts once per place here, which is no more
+    than it does in the length, so no line is lost; the margin covers the score's rounding."""
+    idf, _ = template_vectors(templates)
+    outside = math.log(1 + len(templates)) + 1
+    table = F.array(*[F.struct(F.lit(w).alias("w"), F.lit(x).alias("x")) for w, x in sorted(idf.items())])
+
+    def enough(inner: Column) -> Column:
+        inside = F.aggregate(table, F.lit(0.0), lambda total, e: total + F.pow(
+            F.size(F.filter(inner, lambda x: x == e["w"])) * e["x"], F.lit(2.0)))
+        others = (F.size(words) - F.size(inner)) * outside ** 2
+        return F.transform(F.array(inside), lambda i: i >= (threshold ** 2 - 1e-8) * (i + others))[0]
+
+    # The words inside are bound to a lambda variable, so that they are looked up once a line.
+    return F.transform(F.array(F.filter(words, lambda x: x.isin(*sorted(idf)))), enough)[0]
+
+
 def stated(files: DataFrame, key: str, text: str, templates: Sequence[tuple[str, str]] = TEMPLATES,
            threshold: float = THRESHOLD) -> DataFrame:
     """(key, license, score): the license each file states itself, files without one left out.
     ``key`` tells files apart."""
     weights = F.broadcast(weights_table(files.sparkSession, templates))    # as small as the templates
     outside = math.log(1 + len(templates)) + 1                              # idf of a word in no template
-    lines = (files.select(F.col(key).alias("__key"), F.explode(candidate_lines(F.col(text), templates)).alias("__line"))
-                  .withColumn("__words", F.regexp_extract_all(F.lower("__line"), F.lit(TOKEN), 0))
-                  .withColumn("__line", F.xxhash64("__line")))    # the words go on, the line's text does not
+    # A line goes on as its hash and words, not as its text.
+    worded = F.transform(candidate_lines(F.col(text), templates), lambda x: F.struct(
+        F.xxhash64(x).alias("line"), F.regexp_extract_all(F.lower(x), F.lit(TOKEN), F.lit(0)).alias("words")))
+    lines = (files.select(F.col(key).alias("__key"), F.explode(worded).alias("__l"))
+                  .where(plausible(F.col("__l.words"), templates, threshold))
+                  .select("__key", F.col("__l.line").alias("__line"), F.col("__l.words").alias("__words")))
     counted = (lines.withColumn("__word", F.explode("__words"))
                     .groupBy("__key", "__line", "__word").agg(F.count(F.lit(1)).alias("__tf")))
     idf_of = weights.select("__word", "__idf").distinct()
@@ -141,7 +168,7 @@ def scan(files: DataFrame, key: str, path: str, text: str, templates: Sequence[t
     ``stated``, ``inherited`` or ``none``."""
     own = stated(files, key, text, templates, threshold)
     named = files.select(F.col(key).alias(key), F.col(path).alias("path"))
-    known = named.join(own, key, "left")
+    known = staged(named.join(own, key, "left"), "license-stated")
     licensed = (known.where(F.col("license").isNotNull() & file_name(F.col("path")).rlike(LICENSE_FILE))
                      .withColumn("__dir", F.element_at(directories(F.col("path")), -1))
                      .groupBy("__dir").agg(F.min(F.struct((-F.col("score")).alias("s"), F.col("license").alias("l")))
