@@ -2,9 +2,10 @@
 
 The trees are fitted on a bounded sample (``SAMPLE`` vectors, those of least
 hashed id): a node is split at the median of the projections on the line
-between two of its vectors. A tree ends at leaves of about ``LEAF_ROWS`` rows of
-the whole table, so its size is bounded by the sample. Every vector is then
-filed into its leaf of every tree.
+between two of its vectors. A tree ends at about ``LEAVES`` leaves whatever the
+size of the table, so the rows that say which leaves a query opens, and the
+partial results of the leaves, grow with the queries alone. Every vector is
+then filed into its leaf of every tree.
 
 A query searches all trees through one priority queue: the node whose worst
 margin on the way is best is opened next, whichever tree it is in, until the
@@ -40,9 +41,9 @@ from .topk_columnar import usable
 
 SAMPLE = 16_384
 TREES = 6
-LEAF_ROWS = 128
+LEAVES = 128              # leaves of a tree, about
 LEAST_IN_LEAF = 8         # sampled vectors a leaf is fitted on at least
-BLOCK_ROWS = 4096
+BLOCK_ROWS = 65_536
 SHARE = 1.2               # rows that a query's leaves hold, all trees together, over the rows of the table
 LEAST = 4096
 SEED = 11
@@ -103,8 +104,8 @@ def build_tree(sample: np.ndarray, leaf: int, rng: np.random.Generator) -> Tree:
                 np.array(children, dtype=np.int64).reshape(-1, 2), leaves)
 
 
-def build_forest(sample: np.ndarray, total: int, trees: int = TREES, seed: int = SEED) -> list[Tree]:
-    leaf = max(LEAST_IN_LEAF, round(LEAF_ROWS * len(sample) / max(1, total)))
+def build_forest(sample: np.ndarray, trees: int = TREES, seed: int = SEED, leaves: int = LEAVES) -> list[Tree]:
+    leaf = max(LEAST_IN_LEAF, -(-len(sample) // leaves))
     rng = np.random.default_rng(seed)
     return [build_tree(sample, leaf, rng) for _ in range(trees)]
 
@@ -194,7 +195,7 @@ def _rerank(k: int):
 def _of_one_length(queries: DataFrame, vectors: DataFrame, k: int, total: int, trees: int, share: float,
                    least: int) -> DataFrame:
     drawn = vectors.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).toArrow()
-    forest = build_forest(_vectors(drawn["vector"].combine_chunks()), total, trees)
+    forest = build_forest(_vectors(drawn["vector"].combine_chunks()), trees)
     filed = staged(file_vectors(vectors, forest), "ann-filed")
     # Rows per leaf: as many numbers as the forest has leaves, which the sample bounds.
     counts = filed.groupBy("tree", "leaf").agg(F.count(F.lit(1)).alias("rows"))

@@ -92,6 +92,13 @@ def test_ann_recall_with_a_partial_budget(spark):
     assert hits / total >= 0.9
 
 
+def test_ann_leaves_do_not_grow_with_the_sample():
+    rng = np.random.default_rng(3)
+    for n in (2_000, 16_384):
+        for tree in ann_rpforest.build_forest(rng.normal(size=(n, 8)), trees=2):
+            assert tree.leaves <= 2 * ann_rpforest.LEAVES
+
+
 def test_ann_defined_cases(spark):
     nan = float("nan")
     rows = [(0, [1.0, 0.0]), (1, [0.0, 0.0]), (2, None), (3, [nan, 1.0]), (4, [1.0, 0.0]), (5, [1.0]), (6, [4.0, 4.0]),
