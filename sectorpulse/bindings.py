@@ -30,7 +30,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 ACTIVE_STATUS_G = "O"           # l_linestatus of an active establishment
 ACTIVE_STATUS_O = "O"           # o_orderstatus of an active establishment
 SHARDS_G = 4                    # shard of a growth row = l_orderkey % 4
-DROPPED_SEGMENT_O = "AUTOMOBILE"  # customers of this segment are not loaded as companies
+DROPPED_SEGMENT_O = "AUTOMOBILE"  # customers the foreign-key check leaves out of its parent table
 # Region whitelist for the driver tables (normalised names, one absent).
 DRIVER_REGION = ("NATION_1", "NATION_4", "NATION_9", "NATION_16", "NATION_23", "NATION_40")
 
@@ -139,10 +139,12 @@ def orders_raw_establishments(t: Tables) -> DataFrame:
     return o.join(c, o.o_custkey == c.c_custkey).select(*out)
 
 
-def orders_raw_companies(t: Tables) -> DataFrame:
-    """Binding O companies in the raw layout; one segment is left out so the
-    foreign-key checks and the nullable embeds have real misses."""
-    c = t.customer.where(F.col("c_mktsegment") != DROPPED_SEGMENT_O)
+def orders_raw_companies(t: Tables, without_segment: str | None = None) -> DataFrame:
+    """Binding O companies in the raw layout: every customer. A segment is
+    left out only where a check needs references that miss."""
+    c = t.customer
+    if without_segment is not None:
+        c = c.where(~F.col("c_mktsegment").eqNullSafe(without_segment))
     key = F.col("c_custkey")
     cap = F.replace(_s(F.col("c_acctbal").cast("decimal(15,2)")), F.lit("."), F.lit(","))
     cols = {
@@ -173,17 +175,22 @@ def orders_municipalities(t: Tables) -> DataFrame:
 
 def orders_place_candidates(t: Tables) -> DataFrame:
     """Place candidates keyed by company (``user_id`` = customer key), ranked
-    by (ts, event_id); the payload is a JSON document like a place search's."""
+    by (ts, event_id); the payload is a place search's response: no place for
+    every seventh event, else the place followed by another."""
     e = t.events
     k = F.get_json_object("props", "$.k").cast("int")
-    payload = F.to_json(F.struct(
+    place = F.struct(
         _s(F.col("event_id")).alias("id"),
         F.concat(F.lit("Rua "), F.col("event_type"), F.lit(", "), _s(F.col("user_id"))).alias("formattedAddress"),
         F.col("event_type").alias("internationalPhoneNumber"),
         F.when(F.col("event_type") == "purchase", F.concat(F.lit("site-"), _s(F.col("event_id"))))
          .alias("websiteUri"),
         (k / 10).alias("rating"),
-        k.alias("userRatingCount")))
+        k.alias("userRatingCount"))
+    other = place.withField("id", F.concat(F.lit("other-"), _s(F.col("event_id"))))
+    places = F.when(F.col("event_id") % 7 == 3, F.filter(F.array(place), lambda p: F.lit(False))) \
+              .otherwise(F.array(place, other))
+    payload = F.to_json(F.struct(places.alias("places")))
     return e.select(F.lpad(_s(F.col("user_id")), 8, "0").alias("cnpj_basico"),
                     F.col("ts").alias("ordem_ts"), F.col("event_id").alias("ordem_id"),
                     F.col("event_type"), payload.alias("payload"))

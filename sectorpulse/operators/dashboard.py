@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import (CHART_LABEL_WIDTH, EMPTY_MARK, KPI_LABEL_WIDTH, LEADS_PAGE,
-                         MUNICIPALITY_FALLBACK, SECTOR_FALLBACK)
+                         MUNICIPALITY_FALLBACK, SECTOR_FALLBACK, STATUS_ACTIVE)
 from ..functions.fmt import format_int_br, format_variation, growth_direction
 from ..functions.growth_math import axis_bound
 from ..functions.text import truncate_label
@@ -35,19 +35,23 @@ def growth_axis_bound(chart: DataFrame) -> DataFrame:
 
 def dashboard_kpis(establishments: DataFrame, ranking: DataFrame, page: int = LEADS_PAGE) -> DataFrame:
     """Total establishments, top sector and its variation,
-    municipalities covered (counted, not a literal), leads on the page.
+    municipalities covered (counted, not a literal), leads on the page (active
+    establishments, counted up to the page size).
 
-    One aggregate over the union of the establishments (municipality only)
-    and the top ranking row: one pass, no join, no subquery."""
+    One aggregate over the union of the establishments (municipality and
+    status only) and the top ranking row: one pass, no join, no subquery."""
     mun_type = establishments.schema["codigo_municipio"].dataType
     est = establishments.select(
         F.col("codigo_municipio"), F.lit(None).cast("string").alias("descricao"),
-        F.lit(None).cast("decimal(6,2)").alias("variacao_pct"), F.lit(True).alias("is_est"))
+        F.lit(None).cast("decimal(6,2)").alias("variacao_pct"), F.lit(True).alias("is_est"),
+        (F.col("situacao_cadastral") == STATUS_ACTIVE).alias("is_lead"))
     top = ranking.where(F.col("posicao") == 1).select(
         F.lit(None).cast(mun_type).alias("codigo_municipio"), F.col("cnaes.descricao").alias("descricao"),
-        F.col("variacao_pct").cast("decimal(6,2)").alias("variacao_pct"), F.lit(False).alias("is_est"))
+        F.col("variacao_pct").cast("decimal(6,2)").alias("variacao_pct"), F.lit(False).alias("is_est"),
+        F.lit(False).alias("is_lead"))
     one = est.unionByName(top).agg(
         F.count_if(F.col("is_est")).alias("total_estabelecimentos"),
+        F.count_if(F.col("is_lead")).alias("n_leads"),
         F.count_distinct("codigo_municipio").alias("municipios_cobertos"),
         F.max("descricao").alias("descricao"), F.max("variacao_pct").alias("variacao_pct"),
         F.count_if(~F.col("is_est")).alias("n_top"))
@@ -57,4 +61,4 @@ def dashboard_kpis(establishments: DataFrame, ranking: DataFrame, page: int = LE
         F.coalesce(truncate_label("descricao", KPI_LABEL_WIDTH), F.lit(EMPTY_MARK)).alias("setor_destaque"),
         F.when(F.col("n_top") > 0, format_variation("variacao_pct")).alias("variacao_destaque"),
         "municipios_cobertos",
-        F.least(F.col("total_estabelecimentos"), F.lit(page).cast("bigint")).alias("leads_carregados"))
+        F.least(F.col("n_leads"), F.lit(page).cast("bigint")).alias("leads_carregados"))

@@ -9,15 +9,11 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..constants import (EMPTY_MARK, ENRICHMENT_LIMIT, LEADS_PAGE, NOT_ENRICHED,
                          STATUS_ACTIVE)
-from ..functions.fmt import date_br
+from ..functions.fmt import date_br, iso_date
 from ..functions.text import lead_search_text
 from .embed import embed_left
 from .growth import ranking_order
 
-# Broadcast of the top stats rows is used up to this many rows (they are
-# bounded by the requested n); a larger n joins by shuffle.
-MAX_BROADCAST_TOP = 100_000
-
 
 def _active(establishments: DataFrame) -> DataFrame:
     return establishments.where(F.col("situacao_cadastral") == STATUS_ACTIVE)
@@ -53,8 +49,8 @@ def lead_ranking(establishments: DataFrame, companies: DataFrame, municipalities
     1. count joinable leads per cell (an aggregate over the lead side);
     2. keep the top ``n`` stats rows among cells with leads -- each has at
        least one lead, so the first ``n`` pairs come from them;
-    3. join the leads to those <= n rows (broadcast, bound proven by n) and
-       take the top ``n`` pairs (per-partition top-k, no global sort).
+    3. join the leads to those <= n rows (the limit tells the planner their
+       size) and take the top ``n`` pairs (per-partition top-k, no global sort).
     """
     leads = lead_candidates(establishments, companies, municipalities)
     if best_month_only:
@@ -64,8 +60,6 @@ def lead_ranking(establishments: DataFrame, companies: DataFrame, municipalities
                       ["cnae_codigo", "codigo_municipio"], "left_semi")
                 .orderBy(*ranking_order()).limit(n)
                 .select("cnae_codigo", "codigo_municipio", "ano_mes", "variacao_pct"))
-    if n <= MAX_BROADCAST_TOP:
-        top = F.broadcast(top)
     pairs = leads.join(top, (leads.cnae_principal == top.cnae_codigo)
                        & (leads.codigo_municipio == top.codigo_municipio))
     return (pairs.select("cnpj", "razao_social", "municipio", top.cnae_codigo, top.codigo_municipio,
@@ -77,12 +71,15 @@ def recent_leads(establishments: DataFrame, companies: DataFrame, sectors: DataF
                  municipalities: DataFrame, enrichment: DataFrame | None,
                  n: int = LEADS_PAGE) -> DataFrame:
     """The ``n`` newest active establishments (ties by key), then
-    the four nullable embeds on those ``n`` rows only (limit before embeds)."""
+    the four nullable embeds on those ``n`` rows only (limit before embeds).
+    ``posicao`` is the row's place on the page, newest first."""
+    newest = [F.col("data_inicio_atividade").desc_nulls_last(), F.col("cnpj").asc_nulls_last()]
     top = (_active(establishments)
            .select("cnpj", "cnpj_basico", "nome_fantasia", "data_inicio_atividade",
                    "situacao_cadastral", "cnae_principal", "codigo_municipio")
-           .orderBy(F.col("data_inicio_atividade").desc_nulls_last(), F.col("cnpj").asc_nulls_last())
-           .limit(n))
+           .orderBy(*newest).limit(n)
+           # One page of at most n rows: numbering it in one task is bounded.
+           .withColumn("posicao", F.row_number().over(Window.orderBy(*newest))))
     out = embed_left(top, companies, {"cnpj_basico": "cnpj_basico"}, "empresas", ["razao_social", "porte"])
     out = embed_left(out, sectors, {"cnae_principal": "codigo"}, "cnaes", ["descricao"])
     out = embed_left(out, municipalities, {"codigo_municipio": "codigo_municipio"}, "municipios", ["nome"])
@@ -101,7 +98,7 @@ DISPLAY_COLUMNS = ("empresa", "setor", "municipio", "aberta_em", "contato")
 def leads_display(leads: DataFrame) -> DataFrame:
     """The five displayed values with their fallbacks."""
     return leads.select(
-        "cnpj", "data_inicio_atividade",
+        "posicao", "cnpj", "data_inicio_atividade",
         F.coalesce(F.col("empresas.razao_social"), F.col("nome_fantasia"), F.lit(EMPTY_MARK)).alias("empresa"),
         F.coalesce(F.col("cnaes.descricao"), F.lit(EMPTY_MARK)).alias("setor"),
         F.coalesce(F.col("municipios.nome"), F.lit(EMPTY_MARK)).alias("municipio"),
@@ -119,26 +116,27 @@ def leads_search(display: DataFrame, text: str) -> DataFrame:
     return display.where(cond)
 
 
-def leads_sorted(display: DataFrame, column: str, ascending: bool = True) -> DataFrame:
+def leads_sorted(display: DataFrame, column: str, ascending: bool = True, page: int = LEADS_PAGE) -> DataFrame:
     """Order by one displayed column (the date by its date value), key
-    as tie-break; ``posicao`` numbers the order."""
+    as tie-break; ``posicao`` numbers the order. The result is one page of at
+    most ``page`` rows, as many as the display it sorts holds."""
     if column not in DISPLAY_COLUMNS:
         raise ValueError(f"unknown display column {column!r}")
     value = F.col("data_inicio_atividade") if column == "aberta_em" else F.col(column)
     o = value.asc_nulls_last() if ascending else value.desc_nulls_last()
-    # The page sorts the rows it holds (bounded by the page size).
-    return display.withColumn("posicao", F.row_number().over(Window.orderBy(o, F.col("cnpj").asc_nulls_last())))
+    order = [o, F.col("cnpj").asc_nulls_last()]
+    return display.orderBy(*order).limit(page).withColumn("posicao", F.row_number().over(Window.orderBy(*order)))
 
 
 def leads_export_frame(leads: DataFrame) -> DataFrame:
     """K9/F16 columns: key, company, sector, municipality, ISO date, phone;
-    NULL becomes '' in the joined line."""
+    NULL becomes '' in the joined line; ``posicao`` keeps the page order."""
     cols = [F.col("cnpj"), F.col("empresas.razao_social"), F.col("cnaes.descricao"),
-            F.col("municipios.nome"), F.col("data_inicio_atividade").cast("string"),
+            F.col("municipios.nome"), iso_date("data_inicio_atividade"),
             F.col("leads_enriquecidos.telefone_places")]
     names = ["cnpj", "razao_social", "setor", "municipio", "data_abertura", "telefone"]
     line = F.array_join(F.array(*[F.coalesce(c, F.lit("")) for c in cols]), ";")
-    return leads.select(*[c.alias(n) for c, n in zip(cols, names)], line.alias("linha"))
+    return leads.select("posicao", *[c.alias(n) for c, n in zip(cols, names)], line.alias("linha"))
 
 
 def search_texts(establishments: DataFrame, companies: DataFrame,
@@ -150,16 +148,24 @@ def search_texts(establishments: DataFrame, companies: DataFrame,
 
 def place_first_match(leads: DataFrame, candidates: DataFrame, key: str = "cnpj",
                       rank: tuple[str, ...] = ("rank",), payload: str = "payload") -> DataFrame:
-    """The first candidate per key, parsed; leads with no
-    candidate are skipped (inner join).
+    """The first place of the first response per key; leads with
+    no response, or with one that holds no place, are skipped (inner join).
+
+    ``payload`` is a search response, ``{"places": [...]}``, of which the first
+    element counts; a bare place object with an id is taken as it is.
 
     The first candidate is taken per key *before* the join (``min_by``,
     combined map-side), so a key with many candidates never fans out.
     """
     first = (candidates.groupBy(key)
                        .agg(F.min_by(F.col(payload), F.struct(*[F.col(r) for r in rank])).alias("payload")))
-    p = F.from_json("payload", schemas.PLACE_PAYLOAD)
+    places = F.from_json("payload", schemas.PLACE_RESPONSE).getField("places")
+    bare = F.from_json("payload", schemas.PLACE_PAYLOAD)
+    place = (F.when(places.isNotNull(), F.get(places, F.lit(0)))
+              .when(bare.getField("id").isNotNull(), bare))
+    first = first.select(key, place.alias("place")).where(F.col("place").isNotNull())
     matched = leads.select("cnpj", *([key] if key != "cnpj" else [])).join(first, key)
+    p = F.col("place")
     return matched.select(
         "cnpj",
         p.getField("id").alias("place_id"),

@@ -40,29 +40,6 @@ def not_null_violations(df: DataFrame, cols: Sequence[str], table: str) -> DataF
         F.lit(table).alias("tabela"), "coluna", F.lit(None).cast("string").alias("valor"), "ocorrencias")
 
 
-def _grouped(df: DataFrame, bad, value, table: str, column: str) -> DataFrame:
-    return (df.where(bad).groupBy(value.cast("string").alias("valor"))
-              .agg(F.count(F.lit(1)).alias("ocorrencias"))
-              .select(F.lit(table).alias("tabela"), F.lit(column).alias("coluna"), "valor", "ocorrencias"))
-
-
-def length_violations(df: DataFrame, col: str, max_len: int, table: str) -> DataFrame:
-    """Q4: text longer than VARCHAR(n)/CHAR(n)."""
-    return _grouped(df, F.length(col) > max_len, F.col(col), table, col)
-
-
-def precision_violations(df: DataFrame, col: str, precision: int, scale: int, table: str) -> DataFrame:
-    """Q4: values that do not fit NUMERIC(p, s)."""
-    c = F.col(col)
-    return _grouped(df, c.isNotNull() & c.try_cast(f"decimal({precision},{scale})").isNull(), c, table, col)
-
-
-def domain_violations(df: DataFrame, col: str, domain: Sequence, table: str) -> DataFrame:
-    """Q5: codes outside their documented domain (NULL is allowed)."""
-    c = F.col(col)
-    return _grouped(df, c.isNotNull() & ~c.isin(list(domain)), c, table, col)
-
-
 def row_checks(df: DataFrame, table: str, checks: Sequence[tuple[str, object]]) -> DataFrame:
     """Q4/Q5 in one pass over ``df``: ``checks`` are (column, bad-row
     condition); each failing (column, value) is counted by one aggregate."""

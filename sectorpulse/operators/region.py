@@ -19,6 +19,11 @@ def _named(municipalities: DataFrame, code_col: str, name_col: str) -> DataFrame
                                  normalize_name(F.col(name_col)).alias("nome_normalizado"))
 
 
+def in_region(municipalities: DataFrame, whitelist=REGION_MUNICIPALITIES, name_col: str = "nome") -> DataFrame:
+    """Municipality rows, as they are, whose normalised name is in ``whitelist``."""
+    return municipalities.where(normalize_name(F.col(name_col)).isin(list(whitelist)))
+
+
 def region_municipalities(municipalities: DataFrame, whitelist=REGION_MUNICIPALITIES,
                           code_col: str = "codigo_municipio", name_col: str = "nome") -> DataFrame:
     """Municipality rows whose normalised name is in ``whitelist``."""

@@ -15,6 +15,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 from ..constants import ENRICHMENT_LIMIT, INSIGHT_SIZE, REGION_MUNICIPALITIES, STATE_DEFAULT
@@ -22,6 +23,7 @@ from ..operators import dashboard as D
 from ..operators import growth as G
 from ..operators import insight as I
 from ..operators import leads as L
+from ..operators import quality as Q
 from ..operators import region as RG
 from ..operators import registry as R
 from ..sinks import writes as W
@@ -42,16 +44,17 @@ def load_reference(spark: SparkSession, batch_dir: str, warehouse: str,
     """Legal natures, sectors and the region's municipalities, upserted
     by key (idempotent); the municipality state defaults to 'RS'."""
     code = schemas.CODE_LAYOUT
-    nat = _zip(spark, batch_dir, "Naturezas.zip", code).select(*code)
-    cnae = _zip(spark, batch_dir, "Cnaes.zip", code).select(*code)
-    mun = (RG.region_municipalities(municipalities(spark, batch_dir), whitelist)
-             .select("codigo_municipio").join(municipalities(spark, batch_dir).select(*schemas.MUNICIPALITY_LAYOUT),
-                                              "codigo_municipio"))
-    mun = W.with_defaults(mun, {"uf": STATE_DEFAULT})
+    nat = _zip(spark, batch_dir, "Naturezas.zip", code)
+    cnae = _zip(spark, batch_dir, "Cnaes.zip", code)
+    mun = RG.in_region(municipalities(spark, batch_dir), whitelist)
     out = {}
-    for name, df, key in (("natureza_juridica", nat, "codigo"), ("cnaes", cnae, "codigo"),
-                          ("municipios", mun, "codigo_municipio")):
-        out[name] = W.upsert_table(spark, warehouse, name, df, key, df.schema)
+    for name, df, key, stored in (("natureza_juridica", nat, "codigo", {}), ("cnaes", cnae, "codigo", {}),
+                                  ("municipios", mun, "codigo_municipio", {"uf": STATE_DEFAULT})):
+        # The last record of a code wins, in (archive, record) order.
+        listed = [c for c in df.columns if c not in ("shard", "linha")]
+        incoming = df.select(*listed, F.struct("shard", "linha").alias("__seq"))
+        schema = T.StructType([T.StructField(c, T.StringType(), True) for c in [*listed, *stored]])
+        out[name] = W.upsert_table(spark, warehouse, name, incoming, key, schema, seq="__seq", defaults=stored)
     return out
 
 
@@ -79,18 +82,49 @@ def transform(spark: SparkSession, batch_dir: str, staging: str) -> dict[str, in
     return {"estabelecimentos": n_est, "empresas": n_comp}
 
 
-ESTABLISHMENT_COLUMNS = ["cnpj", "cnpj_basico", "nome_fantasia", "situacao_cadastral", "data_situacao",
-                         "data_inicio_atividade", "cnae_principal", "codigo_municipio", "logradouro",
-                         "numero", "bairro", "cep", "telefone", "email"]
+ESTABLISHMENT_COLUMNS = [schemas.ESTABLISHMENT_RENAME.get(c, c) for c in schemas.ESTABLISHMENT_FINAL]
+SHOWN_VIOLATIONS = 20
 
 
-def load(spark: SparkSession, staging: str, warehouse: str) -> dict[str, int]:
+class LoadRefused(ValueError):
+    """Rows break the constraints of the tables they were to be loaded into."""
+
+
+def load_violations(spark: SparkSession, warehouse: str, companies: DataFrame,
+                    establishments: DataFrame) -> DataFrame:
+    """Q1-Q3 on the rows of a load: keys, references and NOT NULL columns."""
+    t = lambda name: table(spark, warehouse, name)
+    return Q.union_checks(
+        Q.pk_violations(companies, ["cnpj_basico"], "empresas"),
+        Q.pk_violations(establishments, ["cnpj"], "estabelecimentos"),
+        Q.fk_violations(companies, "natureza_juridica", t("natureza_juridica"), "codigo", "empresas"),
+        Q.fk_violations(establishments, "cnpj_basico", companies, "cnpj_basico", "estabelecimentos"),
+        Q.fk_violations(establishments, "cnae_principal", t("cnaes"), "codigo", "estabelecimentos"),
+        Q.fk_violations(establishments, "codigo_municipio", t("municipios"), "codigo_municipio",
+                        "estabelecimentos"),
+        Q.not_null_violations(companies, ["cnpj_basico", "razao_social"], "empresas"),
+        Q.not_null_violations(establishments, ["cnpj", "cnpj_basico", "situacao_cadastral",
+                                               "data_inicio_atividade", "codigo_municipio"],
+                              "estabelecimentos"))
+
+
+def load(spark: SparkSession, staging: str, warehouse: str, waive: Sequence[str] = ()) -> dict[str, int]:
     """Full refresh of companies and establishments together; the
-    enrichment table is emptied as by a cascading truncate (C10)."""
+    enrichment table is emptied as by a cascading truncate (C10).
+
+    Rows that break a key, a reference or NOT NULL refuse the whole load, and
+    the old tables stay. ``waive`` names columns (``table.column``) whose
+    violations are let through."""
+    companies = spark.read.parquet(f"{staging}/empresas_final")
+    establishments = spark.read.parquet(f"{staging}/estabelecimentos_final")
+    broken = (load_violations(spark, warehouse, companies, establishments)
+              .where(~F.concat_ws(".", "tabela", "coluna").isin(list(waive)))
+              .limit(SHOWN_VIOLATIONS).collect())
+    if broken:
+        raise LoadRefused("; ".join(f"{r.tabela}.{r.coluna}={r.valor!r} ({r.ocorrencias} rows)" for r in broken))
     return W.refresh(
         spark, warehouse,
-        {"empresas": spark.read.parquet(f"{staging}/empresas_final"),
-         "estabelecimentos": spark.read.parquet(f"{staging}/estabelecimentos_final")},
+        {"empresas": companies, "estabelecimentos": establishments},
         columns={"empresas": list(schemas.COMPANY_FINAL), "estabelecimentos": ESTABLISHMENT_COLUMNS},
         cascade={"leads_enriquecidos": schemas.ENRICHMENT_STORED})
 
@@ -149,13 +183,14 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return W.path_exists(spark, path)
 
 
-def run_batch(spark: SparkSession, batch_dir: str, root: str, whitelist=REGION_MUNICIPALITIES) -> dict:
-    """R0-R4 end to end for one batch folder."""
+def run_batch(spark: SparkSession, batch_dir: str, root: str, whitelist=REGION_MUNICIPALITIES,
+              waive: Sequence[str] = ()) -> dict:
+    """R0-R4 end to end for one batch folder (``waive``: see :func:`load`)."""
     staging, warehouse = f"{root}/staging", f"{root}/warehouse"
     load_reference(spark, batch_dir, warehouse, whitelist)
     counts = filter_region(spark, batch_dir, staging, whitelist)
     loaded = transform(spark, batch_dir, staging)
-    load(spark, staging, warehouse)
+    load(spark, staging, warehouse, waive)
     cells = compute_growth(spark, warehouse)
     return {"shards": {r[0]: r[1] for r in counts.collect()}, **loaded, "estatisticas": cells}
 

@@ -148,14 +148,6 @@ ORACLE["companies_keep_first"] = """SELECT * EXCLUDE (rn) FROM (
              l_returnflag NULLS FIRST, l_linestatus NULLS FIRST, l_shipdate NULLS FIRST) AS rn
   FROM lineitem) WHERE rn = 1"""
 
-ORACLE["pk_violations"] = f"""WITH {STATS_G}
-SELECT 'estabelecimentos' AS tabela, 'cnpj' AS coluna, cnpj AS valor, count(*) AS ocorrencias
-FROM est_g GROUP BY cnpj HAVING count(*) > 1
-UNION ALL
-SELECT 'estatisticas_crescimento', 'cnae_codigo,codigo_municipio,ano_mes',
-       concat_ws('|', cnae_codigo, CAST(codigo_municipio AS VARCHAR), CAST(ano_mes AS VARCHAR)), count(*)
-FROM stats GROUP BY cnae_codigo, codigo_municipio, ano_mes HAVING count(*) > 1"""
-
 ORACLE["region_filter"] = f"""WITH {EST_G}
 SELECT * FROM est_g WHERE codigo_municipio IN (
   SELECT n_nationkey FROM nation WHERE {norm_sql('n_name')} IN {REGION_IN})"""
@@ -164,6 +156,9 @@ ORACLE["parquet_roundtrip"] = f"""WITH {EST_G} SELECT * FROM est_g"""
 
 ORACLE["union_shards"] = f"""WITH {EST_G} SELECT *, 'shard=' || CAST(shard AS VARCHAR) AS shard_nome FROM est_g"""
 
+ORACLE["scan_batch"] = f"""WITH {EST_G}
+SELECT *, '1997' AS lote, 'lote=1997' AS shard_nome FROM est_g WHERE year(data_inicio_atividade) = 1997"""
+
 ORACLE["shard_counts"] = f"""WITH {EST_G}
 SELECT shard_nome, count(*) AS linhas
 FROM (SELECT 'shard=' || CAST(shard AS VARCHAR) AS shard_nome FROM est_g)
@@ -215,7 +210,7 @@ raw_c AS (
          CASE WHEN c_custkey % 17 = 3 THEN '07' WHEN c_mktsegment = 'BUILDING' THEN '01'
               WHEN c_mktsegment = 'FURNITURE' THEN '03' WHEN c_mktsegment = 'HOUSEHOLD' THEN '05'
               ELSE 'x' END AS porte
-  FROM customer WHERE c_mktsegment <> 'AUTOMOBILE'),
+  FROM customer),
 comp_typed AS (
   SELECT cnpj_basico, razao_social, natureza_juridica, TRY_CAST(porte AS SMALLINT) AS porte,
          TRY_CAST(regexp_replace(capital_social, '^([^,]*),', '\\1.') AS DECIMAL(15,2)) AS capital_social
@@ -238,12 +233,13 @@ def enrichment_sql(cand: str) -> str:
          c.event_type AS telefone_places,
          CASE WHEN c.event_type = 'purchase' THEN 'site-' || CAST(c.event_id AS VARCHAR) END AS website,
          CAST(c.k / 10 AS DECIMAL(2,1)) AS rating_google, c.k AS total_avaliacoes
-  FROM est_o e JOIN {cand} c ON c.cnpj_basico = e.cnpj_basico"""
+  FROM est_o e JOIN {cand} c ON c.cnpj_basico = e.cnpj_basico
+  WHERE c.event_id % 7 <> 3"""
 
 
-def first_of(event_type: str) -> str:
+def first_of(half: int) -> str:
     return (f"(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cnpj_basico ORDER BY ts, event_id) AS rn "
-            f"FROM cand WHERE event_type = '{event_type}') WHERE rn = 1)")
+            f"FROM cand WHERE event_id % 2 = {half}) WHERE rn = 1)")
 
 
 RECENT_O = BASE_O + f""",
@@ -253,7 +249,8 @@ top_o AS (
          codigo_municipio FROM est_o
   ORDER BY data_inicio_atividade DESC NULLS LAST, cnpj ASC NULLS LAST LIMIT 500),
 recent AS (
-  SELECT t.cnpj, t.nome_fantasia, t.data_inicio_atividade, t.situacao_cadastral,
+  SELECT CAST(row_number() OVER (ORDER BY t.data_inicio_atividade DESC NULLS LAST, t.cnpj ASC NULLS LAST) AS INTEGER)
+           AS posicao, t.cnpj, t.nome_fantasia, t.data_inicio_atividade, t.situacao_cadastral,
          c.razao_social AS empresa_razao_social, c.porte AS empresa_porte,
          s.descricao AS cnae_descricao, m.nome AS municipio_nome,
          r.endereco_formatado AS enr_endereco, r.telefone_places AS enr_telefone,
@@ -263,7 +260,7 @@ recent AS (
                LEFT JOIN mun_o m ON m.codigo_municipio = t.codigo_municipio
                LEFT JOIN enr_o r ON r.cnpj = t.cnpj),
 display AS (
-  SELECT cnpj, data_inicio_atividade,
+  SELECT posicao, cnpj, data_inicio_atividade,
          COALESCE(empresa_razao_social, nome_fantasia, '—') AS empresa,
          COALESCE(cnae_descricao, '—') AS setor,
          COALESCE(municipio_nome, '—') AS municipio,
@@ -295,12 +292,13 @@ ORACLE["companies_semi"] = f"WITH {BASE_O} SELECT * FROM comp_o"
 ORACLE["place_first_match"] = f"WITH {BASE_O} {enrichment_sql('first_cand')}"
 
 ORACLE["enrichment_upsert"] = f"""WITH {BASE_O},
-ex AS ({enrichment_sql(first_of('click'))}),
-inc AS ({enrichment_sql(first_of('purchase'))})
+ex AS ({enrichment_sql(first_of(0))}),
+inc AS ({enrichment_sql(first_of(1))})
 SELECT * FROM inc
 UNION ALL
 SELECT * FROM ex WHERE NOT EXISTS (SELECT 1 FROM inc WHERE inc.cnpj = ex.cnpj)"""
 
+UF_O = "CASE WHEN CAST({}.codigo_municipio AS INTEGER) % 2 = 1 THEN 'SC' ELSE 'RS' END"
 ORACLE["reference_upsert"] = f"""WITH {BASE_O},
 inc AS (
   SELECT codigo_municipio, nome FROM (
@@ -308,9 +306,13 @@ inc AS (
            n_name || ' / ' || c_mktsegment AS nome,
            row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey DESC) AS rn
     FROM customer JOIN nation ON c_nationkey = n_nationkey) WHERE rn = 1)
-SELECT codigo_municipio, nome, 'RS' AS uf FROM inc
+SELECT i.codigo_municipio, i.nome, {UF_O.format('i')} AS uf FROM inc i
 UNION ALL
-SELECT codigo_municipio, nome, 'RS' AS uf FROM mun_o m
+SELECT codigo, nome, 'RS' FROM (
+  SELECT 'N' || lpad(CAST(s_nationkey AS VARCHAR), 4, '0') AS codigo, s_name AS nome,
+         row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey DESC) AS rn FROM supplier) WHERE rn = 1
+UNION ALL
+SELECT m.codigo_municipio, m.nome, {UF_O.format('m')} FROM mun_o m
 WHERE NOT EXISTS (SELECT 1 FROM inc WHERE inc.codigo_municipio = m.codigo_municipio)"""
 
 ORACLE["recent_leads"] = f"WITH {RECENT_O} SELECT * FROM recent"
@@ -322,10 +324,10 @@ ORACLE["leads_search"] = f"WITH {RECENT_O} SELECT * FROM found"
 ORACLE["leads_search_count"] = f"WITH {RECENT_O} SELECT count(*) AS total FROM found"
 
 ORACLE["leads_sorted"] = f"""WITH {RECENT_O}
-SELECT *, CAST(row_number() OVER (ORDER BY empresa ASC NULLS LAST, cnpj ASC NULLS LAST) AS INTEGER) AS posicao FROM display"""
+SELECT * EXCLUDE (posicao), CAST(row_number() OVER (ORDER BY empresa ASC NULLS LAST, cnpj ASC NULLS LAST) AS INTEGER) AS posicao FROM display"""
 
 ORACLE["leads_export"] = f"""WITH {RECENT_O}
-SELECT cnpj, empresa_razao_social AS razao_social, cnae_descricao AS setor, municipio_nome AS municipio,
+SELECT posicao, cnpj, empresa_razao_social AS razao_social, cnae_descricao AS setor, municipio_nome AS municipio,
        CAST(data_inicio_atividade AS VARCHAR) AS data_abertura, enr_telefone AS telefone,
        concat_ws(';', COALESCE(cnpj, ''), COALESCE(empresa_razao_social, ''), COALESCE(cnae_descricao, ''),
                  COALESCE(municipio_nome, ''), COALESCE(CAST(data_inicio_atividade AS VARCHAR), ''),
@@ -338,14 +340,14 @@ FROM est_o e JOIN comp_o c ON c.cnpj_basico = e.cnpj_basico
              JOIN mun_o m ON m.codigo_municipio = e.codigo_municipio"""
 
 ORACLE["region_codes"] = f"""WITH {BASE_O}
-SELECT DISTINCT e.codigo_municipio FROM est_o e JOIN mun_o m ON m.codigo_municipio = e.codigo_municipio
+SELECT DISTINCT e.codigo_municipio FROM raw_o e JOIN mun_o m ON m.codigo_municipio = e.codigo_municipio
 WHERE {norm_sql('m.nome')} IN {REGION_IN}"""
 
 ORACLE["region_missing"] = f"""WITH {BASE_O},
 wl AS (SELECT unnest(['NATION_1', 'NATION_4', 'NATION_9', 'NATION_16', 'NATION_23', 'NATION_40'])
        AS nome_normalizado),
 fnd AS (SELECT DISTINCT {norm_sql('m.nome')} AS nome_normalizado
-        FROM est_o e JOIN mun_o m ON m.codigo_municipio = e.codigo_municipio)
+        FROM raw_o e JOIN mun_o m ON m.codigo_municipio = e.codigo_municipio)
 SELECT nome_normalizado FROM wl WHERE nome_normalizado NOT IN (SELECT nome_normalizado FROM fnd)"""
 
 
@@ -355,8 +357,13 @@ def fk_sql(table: str, child: str, fk: str, parent: str, pk: str) -> str:
             f"AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{pk} = x.{fk}) GROUP BY x.{fk}")
 
 
-ORACLE["fk_violations"] = f"""WITH {BASE_O}, enr_o AS ({enrichment_sql('first_cand')})
-{fk_sql('estabelecimentos', 'est_o', 'cnpj_basico', 'comp_o', 'cnpj_basico')}
+ORACLE["fk_violations"] = f"""WITH {BASE_O}, {STATS_G}, enr_o AS ({enrichment_sql('first_cand')}),
+comp_fk AS (SELECT * FROM comp_o WHERE cnpj_basico IN (
+  SELECT lpad(CAST(c_custkey AS VARCHAR), 8, '0') FROM customer WHERE c_mktsegment IS DISTINCT FROM 'AUTOMOBILE'))
+{fk_sql('empresas', 'comp_fk', 'natureza_juridica', 'mun_o', 'codigo_municipio')}
+UNION ALL {fk_sql('estatisticas_crescimento', 'stats', 'cnae_codigo', 'cnaes_g', 'codigo')}
+UNION ALL {fk_sql('estatisticas_crescimento', 'stats', 'codigo_municipio', 'mun_g', 'codigo_municipio')}
+UNION ALL {fk_sql('estabelecimentos', 'est_o', 'cnpj_basico', 'comp_fk', 'cnpj_basico')}
 UNION ALL {fk_sql('estabelecimentos', 'est_o', 'cnae_principal', 'cnaes_o', 'codigo')}
 UNION ALL {fk_sql('estabelecimentos', 'est_o', 'codigo_municipio', 'mun_o', 'codigo_municipio')}
 UNION ALL {fk_sql('leads_enriquecidos', 'enr_o', 'cnpj', 'est_o', 'cnpj')}"""
@@ -378,17 +385,40 @@ def dom_sql(table: str, src: str, col: str, bad: str) -> str:
             f"FROM {src} WHERE {bad} GROUP BY CAST({col} AS VARCHAR)")
 
 
+BAD_CAPITAL = ("capital_social IS NOT NULL AND "
+               "TRY_CAST(regexp_replace(capital_social, '^([^,]*),', '\\1.') AS DECIMAL(15,2)) IS NULL")
 ORACLE["domain_violations"] = f"""WITH {BASE_O},
 typed AS (SELECT TRY_CAST(situacao_cadastral AS SMALLINT) AS situacao_cadastral FROM raw_o)
 {dom_sql('estabelecimentos', 'est_o', 'cnpj', 'length(cnpj) > 14')}
 UNION ALL {dom_sql('estabelecimentos', 'est_o', 'cep', 'length(cep) > 8')}
+UNION ALL {dom_sql('estabelecimentos', 'est_o', 'cnae_principal', 'length(cnae_principal) > 7')}
 UNION ALL {dom_sql('estabelecimentos', 'est_o', 'codigo_municipio', 'length(codigo_municipio) > 7')}
 UNION ALL {dom_sql('estabelecimentos', 'typed', 'situacao_cadastral',
                    'situacao_cadastral IS NOT NULL AND situacao_cadastral NOT IN (1, 2, 3, 4, 8)')}
 UNION ALL {dom_sql('empresas', 'comp_o', 'natureza_juridica', 'length(natureza_juridica) > 4')}
 UNION ALL {dom_sql('empresas', 'comp_o', 'porte', 'porte IS NOT NULL AND porte NOT IN (1, 3, 5)')}
 UNION ALL {dom_sql('empresas', 'comp_o', 'capital_social',
-                   'capital_social IS NOT NULL AND TRY_CAST(capital_social AS DECIMAL(15,2)) IS NULL')}"""
+                   'capital_social IS NOT NULL AND TRY_CAST(capital_social AS DECIMAL(15,2)) IS NULL')}
+UNION ALL {dom_sql('empresas_brutas', 'raw_c', 'capital_social', BAD_CAPITAL)}"""
+
+
+
+def pk_sql(table: str, src: str, *key: str) -> str:
+    text = "concat_ws('|', " + ", ".join(f"CAST({k} AS VARCHAR)" for k in key) + ")"
+    return (f"SELECT '{table}' AS tabela, '{','.join(key)}' AS coluna, {text} AS valor, count(*) AS ocorrencias "
+            f"FROM {src} GROUP BY {', '.join(key)} HAVING count(*) > 1")
+
+
+ORACLE["pk_violations"] = f"""WITH {BASE_O}, {STATS_G}, enr_o AS ({enrichment_sql('first_cand')}),
+nat AS (SELECT c_nationkey AS codigo FROM customer), log AS (SELECT event_id AS id FROM events)
+{pk_sql('estabelecimentos', 'est_g', 'cnpj')}
+UNION ALL {pk_sql('estatisticas_crescimento', 'stats', 'cnae_codigo', 'codigo_municipio', 'ano_mes')}
+UNION ALL {pk_sql('municipios', 'mun_g', 'codigo_municipio')}
+UNION ALL {pk_sql('cnaes', 'cnaes_o', 'codigo')}
+UNION ALL {pk_sql('natureza_juridica', 'nat', 'codigo')}
+UNION ALL {pk_sql('empresas', 'raw_c', 'cnpj_basico')}
+UNION ALL {pk_sql('leads_enriquecidos', 'enr_o', 'cnpj')}
+UNION ALL {pk_sql('insights_ia', 'log', 'id')}"""
 
 INSIGHT_LOG = """SELECT event_id AS id, event_type AS titulo, props AS conteudo, props AS baseado_em,
        event_type AS modelo, ts AS gerado_em FROM events"""

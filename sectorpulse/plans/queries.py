@@ -62,7 +62,10 @@ def trailing_mean(t):
 
 @query
 def growth_stats(t):
-    return _stats_g(t)
+    """K5: the statistics as the table they are written to holds them."""
+    root = scratch_path(t.spark, "estatisticas")
+    W.refresh(t.spark, root, {"estatisticas_crescimento": _stats_g(t)})
+    return W.read_current(t.spark, root, "estatisticas_crescimento")
 
 
 @query
@@ -127,7 +130,13 @@ def pk_violations(t):
     return Q.union_checks(
         Q.pk_violations(B.growth_establishments(t), ["cnpj"], "estabelecimentos"),
         Q.pk_violations(_stats_g(t), ["cnae_codigo", "codigo_municipio", "ano_mes"],
-                        "estatisticas_crescimento"))
+                        "estatisticas_crescimento"),
+        Q.pk_violations(B.growth_municipalities(t), ["codigo_municipio"], "municipios"),
+        Q.pk_violations(B.orders_sectors(t), ["codigo"], "cnaes"),
+        Q.pk_violations(t.customer.select(F.col("c_nationkey").alias("codigo")), ["codigo"], "natureza_juridica"),
+        Q.pk_violations(B.orders_raw_companies(t), ["cnpj_basico"], "empresas"),
+        Q.pk_violations(_enrichment_o(t), ["cnpj"], "leads_enriquecidos"),
+        Q.pk_violations(_insight_log(t), ["id"], "insights_ia"))
 
 
 @query
@@ -149,7 +158,20 @@ def parquet_roundtrip(t):
 
 @query
 def union_shards(t):
-    return S.union_shards(t.spark, _staged_shards(t)).drop("linha")
+    return S.union_shards(t.spark, _staged_shards(t)).drop("arquivo", "linha")
+
+
+# Batch of the batch-scan query (a user's choice).
+BATCH = "1997"
+
+
+@query
+def scan_batch(t):
+    """One ``lote=`` partition of a staged history, pruned when planned."""
+    path = scratch_path(t.spark, "estabelecimentos_lotes")
+    lote = F.date_format("data_inicio_atividade", "yyyy").alias("lote")
+    W.counted_write(B.growth_establishments(t).select("*", lote), path, partition_by=["lote"])
+    return S.union_shards(t.spark, path, batch=BATCH).withColumn("lote", F.col("lote").cast("string")).drop("arquivo", "linha")
 
 
 @query
@@ -178,10 +200,10 @@ def _companies_o(t):
     return R.companies_final(B.orders_raw_companies(t), _est_o(t))
 
 
-def _enrichment_o(t, event_type: str | None = None):
+def _enrichment_o(t, half: int | None = None):
     cand = B.orders_place_candidates(t)
-    if event_type is not None:
-        cand = cand.where(F.col("event_type") == event_type)
+    if half is not None:
+        cand = cand.where(F.col("ordem_id") % 2 == half)
     return L.place_first_match(_est_o(t), cand, key="cnpj_basico", rank=("ordem_ts", "ordem_id"))
 
 
@@ -241,8 +263,8 @@ def place_first_match(t):
 @query
 def enrichment_upsert(t):
     root = scratch_path(t.spark, "enrichment")
-    for event_type in ("click", "purchase"):
-        out = W.upsert_table(t.spark, root, "leads_enriquecidos", _enrichment_o(t, event_type), "cnpj",
+    for half in (0, 1):  # all events, in two batches
+        out = W.upsert_table(t.spark, root, "leads_enriquecidos", _enrichment_o(t, half), "cnpj",
                              schemas.ENRICHMENT_STORED, touch="enriquecido_em")
     # the clock column is left out of the comparable result
     return out.select(*schemas.ENRICHMENT.fieldNames())
@@ -253,21 +275,26 @@ def reference_upsert(t):
     from ..constants import STATE_DEFAULT
     root = scratch_path(t.spark, "reference")
     schema = "codigo_municipio string, nome string, uf string"
-    existing = W.with_defaults(B.orders_municipalities(t), {"uf": STATE_DEFAULT})
+    # Stored states, some not the default; the upsert lists code and name only.
+    existing = B.orders_municipalities(t).withColumn(
+        "uf", F.when(F.col("codigo_municipio").cast("int") % 2 == 1, F.lit("SC")).otherwise(F.lit(STATE_DEFAULT)))
     W.upsert_table(t.spark, root, "municipios", existing, "codigo_municipio", T.StructType.fromDDL(schema))
     c = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    incoming = W.with_defaults(c.select(
+    known = c.select(
         F.lpad(F.col("c_nationkey").cast("string"), 4, "0").alias("codigo_municipio"),
         F.concat(F.col("n_name"), F.lit(" / "), F.col("c_mktsegment")).alias("nome"),
-        F.col("c_custkey").alias("seq")), {"uf": STATE_DEFAULT})
-    return W.upsert_table(t.spark, root, "municipios", incoming, "codigo_municipio",
-                          T.StructType.fromDDL(schema), seq="seq")
+        F.col("c_custkey").alias("seq"))
+    new = t.supplier.select(
+        F.concat(F.lit("N"), F.lpad(F.col("s_nationkey").cast("string"), 4, "0")).alias("codigo_municipio"),
+        F.col("s_name").alias("nome"), F.col("s_suppkey").alias("seq"))
+    return W.upsert_table(t.spark, root, "municipios", known.unionByName(new), "codigo_municipio",
+                          T.StructType.fromDDL(schema), seq="seq", defaults={"uf": STATE_DEFAULT})
 
 
 @query
 def recent_leads(t):
     r = _recent_o(t)
-    return r.select("cnpj", "nome_fantasia", "data_inicio_atividade", "situacao_cadastral",
+    return r.select("posicao", "cnpj", "nome_fantasia", "data_inicio_atividade", "situacao_cadastral",
                     F.col("empresas.razao_social").alias("empresa_razao_social"),
                     F.col("empresas.porte").alias("empresa_porte"),
                     F.col("cnaes.descricao").alias("cnae_descricao"),
@@ -302,13 +329,14 @@ def leads_sorted(t):
 def leads_export(t):
     folder = scratch_path(t.spark, "exports")
     frame = L.leads_export_frame(_recent_o(t))
-    path = W.export_csv(frame.drop("linha"), folder)
+    path = W.export_csv(frame.drop("linha"), folder, order="posicao")
     back = (t.spark.read.option("sep", ";").option("header", True).option("quote", '"')
                   .option("escape", '"').csv(path))
     names = ["cnpj", "razao_social", "setor", "municipio", "data_abertura", "telefone"]
     back = back.select(*[F.col(f"`{h}`").alias(n) for h, n in zip(schemas.EXPORT_HEADER, names)])
     line = F.array_join(F.array(*[F.coalesce(F.col(n), F.lit("")) for n in names]), ";")
-    return back.withColumn("linha", line)
+    # The file is one page, read by one task: its line numbers are the order.
+    return back.withColumns({"linha": line, "posicao": (F.monotonically_increasing_id() + 1).cast("int")})
 
 
 @query
@@ -317,9 +345,9 @@ def lead_search_text(t):
 
 
 def _municipality_names_o(t):
-    # Municipality rows as the establishments see them (derived, so the
-    # resolution reads data that grows with the tables).
-    return _est_o(t).join(B.orders_municipalities(t), "codigo_municipio").select("codigo_municipio", "nome")
+    # Municipality rows as all establishments see them, active or not (derived,
+    # so the resolution reads data that grows with the tables).
+    return B.orders_raw_establishments(t).join(B.orders_municipalities(t), "codigo_municipio").select("codigo_municipio", "nome")
 
 
 @query
@@ -334,8 +362,13 @@ def region_missing(t):
 
 @query
 def fk_violations(t):
-    est, comp = _est_o(t), _companies_o(t)
+    est, stats = _est_o(t), _stats_g(t)
+    comp = R.companies_final(B.orders_raw_companies(t, B.DROPPED_SEGMENT_O), est)
     return Q.union_checks(
+        Q.fk_violations(comp, "natureza_juridica", B.orders_municipalities(t), "codigo_municipio", "empresas"),
+        Q.fk_violations(stats, "cnae_codigo", B.growth_sectors(t), "codigo", "estatisticas_crescimento"),
+        Q.fk_violations(stats, "codigo_municipio", B.growth_municipalities(t), "codigo_municipio",
+                        "estatisticas_crescimento"),
         Q.fk_violations(est, "cnpj_basico", comp, "cnpj_basico", "estabelecimentos"),
         Q.fk_violations(est, "cnae_principal", B.orders_sectors(t), "codigo", "estabelecimentos"),
         Q.fk_violations(est, "codigo_municipio", B.orders_municipalities(t), "codigo_municipio",
@@ -354,18 +387,23 @@ def not_null_violations(t):
 @query
 def domain_violations(t):
     from ..constants import SIZE_DOMAIN, STATUS_DOMAIN
+    from ..functions.parse import parse_capital as pc
     est = _est_o(t)
     typed = R.typed_establishments(B.orders_raw_establishments(t))
     comp = _companies_o(t)
     return Q.union_checks(
         Q.row_checks(est, "estabelecimentos", [("cnpj", Q.too_long("cnpj", 14)),
                                                ("cep", Q.too_long("cep", 8)),
+                                               ("cnae_principal", Q.too_long("cnae_principal", 7)),
                                                ("codigo_municipio", Q.too_long("codigo_municipio", 7))]),
         Q.row_checks(typed, "estabelecimentos", [("situacao_cadastral",
                                                   Q.outside("situacao_cadastral", STATUS_DOMAIN))]),
         Q.row_checks(comp, "empresas", [("natureza_juridica", Q.too_long("natureza_juridica", 4)),
                                         ("porte", Q.outside("porte", SIZE_DOMAIN)),
-                                        ("capital_social", Q.not_numeric("capital_social", 15, 2))]))
+                                        ("capital_social", Q.not_numeric("capital_social", 15, 2))]),
+        # On the text as it arrives, where a number can still fail to fit.
+        Q.row_checks(B.orders_raw_companies(t), "empresas_brutas", [
+            ("capital_social", F.col("capital_social").isNotNull() & pc("capital_social").isNull())]))
 
 
 def _insight_log(t):

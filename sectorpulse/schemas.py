@@ -50,6 +50,7 @@ GROWTH_STATS = T.StructType([
     T.StructField("variacao_pct", T.DecimalType(6, 2), True),
 ])
 
+# Columns of a stored enrichment row.
 ENRICHMENT = T.StructType([
     T.StructField("cnpj", T.StringType(), True),
     T.StructField("place_id", T.StringType(), True),
@@ -62,7 +63,7 @@ ENRICHMENT = T.StructType([
 
 ENRICHMENT_STORED = T.StructType(ENRICHMENT.fields + [T.StructField("enriquecido_em", T.TimestampType(), True)])
 
-# Place search result fields read from a candidate's JSON payload.
+# Place search result fields read from a candidate's JSON payload.
 PLACE_PAYLOAD = T.StructType([
     T.StructField("id", T.StringType(), True),
     T.StructField("formattedAddress", T.StringType(), True),
@@ -72,11 +73,15 @@ PLACE_PAYLOAD = T.StructType([
     T.StructField("userRatingCount", T.IntegerType(), True),
 ])
 
+# Fixed value: a place search's response.
+PLACE_RESPONSE = T.StructType([T.StructField("places", T.ArrayType(PLACE_PAYLOAD), True)])
+
 INSIGHT_ROW = T.StructType([
     T.StructField("setor", T.StringType(), True),
     T.StructField("municipio", T.StringType(), True),
     T.StructField("total_aberturas", T.IntegerType(), True),
     T.StructField("variacao_pct", T.StringType(), True),
 ])
+# Fixed value: the one key of the snapshot.
 SNAPSHOT_KEY = "top_setores_crescimento_rmpa"
 INSIGHT_SNAPSHOT = T.StructType([T.StructField(SNAPSHOT_KEY, T.ArrayType(INSIGHT_ROW), True)])

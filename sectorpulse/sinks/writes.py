@@ -3,9 +3,10 @@ switch, upsert, append and the semicolon CSV export.
 
 Plain Parquet has no transactions, so a refresh or upsert never
 overwrites the folder being read: it writes a new version folder and then
-adds a one-line marker of it; the newest marker holds. A job that dies before the switch leaves the
-previous version current; Spark's output committer makes each version
-folder all-or-nothing for lost executors.
+adds a marker that names it; the newest marker of a table holds. All tables of
+a refresh are named by one marker file, so they switch together or not at all. A
+job that dies before the switch leaves the previous versions current; Spark's
+output committer makes each folder all-or-nothing for lost executors.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import datetime as dt
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,19 +48,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def current_version(spark: SparkSession, root: str, table: str) -> str | None:
-    pointer = f"{root}/{table}/{POINTER}"
+    pointer = f"{root}/{POINTER}"
     if not path_exists(spark, pointer):
         return None
-    # Markers are only ever added; versions sort by time, so the newest complete one holds.
-    newest = spark.read.text(pointer).agg(F.max("value")).first()[0]
-    if newest is None:
-        raise FileNotFoundError(f"{pointer} holds no version")
-    return newest
+    # Markers are only ever added; versions sort by time, so a table's newest one holds.
+    markers = spark.read.schema("table string, version string").json(pointer)
+    return markers.where(F.col("table") == table).agg(F.max("version")).first()[0]
 
 
-def _switch(spark: SparkSession, root: str, table: str, version: str) -> None:
-    (spark.createDataFrame([(version,)], "value string").coalesce(1)
-          .write.mode("append").text(f"{root}/{table}/{POINTER}"))
+def _switch(spark: SparkSession, root: str, tables: Sequence[str], version: str) -> None:
+    """One file, committed as a whole, names the new version of all ``tables``."""
+    (spark.createDataFrame([(t, version) for t in tables], "table string, version string").coalesce(1)
+          .write.mode("append").json(f"{root}/{POINTER}"))
 
 
 def read_current(spark: SparkSession, root: str, table: str, schema: T.StructType | None = None) -> DataFrame:
@@ -77,8 +77,8 @@ def refresh(spark: SparkSession, root: str, tables: dict[str, DataFrame],
     """K3/K4: full refresh of several tables together.
 
     Every table (``columns`` picks the loaded column list, K3) is written to
-    a new version first; only when all writes succeeded are the pointers
-    switched. ``cascade`` lists dependent tables that become empty, as a
+    a new version first; only when all writes succeeded does one marker switch
+    them together. ``cascade`` lists dependent tables that become empty, as a
     truncate with CASCADE empties them (C10)."""
     version = _version()
     counts = {}
@@ -88,8 +88,7 @@ def refresh(spark: SparkSession, root: str, tables: dict[str, DataFrame],
     for name, schema in (cascade or {}).items():
         counted_write(spark.createDataFrame([], schema), f"{root}/{name}/{version}")
         counts[name] = 0
-    for name in [*tables, *(cascade or {})]:
-        _switch(spark, root, name, version)
+    _switch(spark, root, [*tables, *(cascade or {})], version)
     return counts
 
 
@@ -102,10 +101,11 @@ def keep_last(df: DataFrame, key: Sequence[str], seq: str) -> DataFrame:
 
 
 def upsert(existing: DataFrame, incoming: DataFrame, key: str | Sequence[str],
-           seq: str | None = None, touch: str | None = None) -> DataFrame:
-    """K7/K8: insert new keys, replace the non-key columns of existing
+           seq: str | None = None, touch: str | None = None, defaults: dict | None = None) -> DataFrame:
+    """Insert new keys, replace the listed columns of existing
     keys; ``seq`` orders duplicates in ``incoming`` (without it the greatest row wins); ``touch`` names a
-    clock column set to now for every incoming row."""
+    clock column set to now for every incoming row. Columns that ``incoming`` does not list keep their
+    stored value; inserted keys get their default, or NULL."""
     keys = [key] if isinstance(key, str) else list(key)
     if seq:
         inc = keep_last(incoming, keys, seq).drop(seq)
@@ -121,28 +121,36 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: str | Sequence[str],
                        .unionByName(incoming.where(~keyed).select(*keys, *rest)))
     if touch:
         inc = inc.withColumn(touch, F.current_timestamp())
+    absent = [c for c in existing.columns if c not in inc.columns]
+    if absent:
+        stored = existing.select(*keys, F.struct(*absent).alias("__stored"))
+        inc = inc.join(stored, keys, "left").withColumns({
+            c: F.when(F.col("__stored").isNotNull(), F.col(f"__stored.{c}"))
+                .otherwise(_default((defaults or {}).get(c)).cast(existing.schema[c].dataType))
+            for c in absent})
     kept = existing.join(inc.select(*keys), keys, "left_anti")
     return kept.unionByName(inc.select(*existing.columns))
 
 
+def _default(value) -> Column:
+    return F.current_timestamp() if value == "now()" else F.lit(value)
+
+
 def with_defaults(df: DataFrame, defaults: dict) -> DataFrame:
-    """Fill absent columns, and NULLs of present ones, with defaults."""
-    out = df
-    for c, v in defaults.items():
-        lit = F.current_timestamp() if v == "now()" else F.lit(v)
-        out = out.withColumn(c, F.coalesce(F.col(c), lit) if c in df.columns else lit)
-    return out
+    """Columns that ``df`` does not list, filled with defaults. An explicit
+    NULL is a value and stays."""
+    return df.withColumns({c: _default(v) for c, v in defaults.items() if c not in df.columns})
 
 
 def upsert_table(spark: SparkSession, root: str, table: str, incoming: DataFrame,
                  key: str | Sequence[str], schema: T.StructType, seq: str | None = None,
-                 touch: str | None = None) -> DataFrame:
+                 touch: str | None = None, defaults: dict | None = None) -> DataFrame:
     """Upsert into a versioned table: read current, write the merged rows
     to a new version, switch; returns the new current table."""
-    merged = upsert(read_current(spark, root, table, schema), incoming, key, seq, touch)
+    merged = upsert(read_current(spark, root, table, schema), incoming, key, seq, touch, defaults)
     version = _version()
     counted_write(merged, f"{root}/{table}/{version}")
-    _switch(spark, root, table, version)
+    _switch(spark, root, [table], version)
     return spark.read.parquet(f"{root}/{table}/{version}")
 
 
@@ -152,10 +160,14 @@ def append(df: DataFrame, path: str) -> int:
 
 
 def export_csv(df: DataFrame, folder: str, header: Sequence[str] = schemas.EXPORT_HEADER,
-               prefix: str = "leads", day: str | None = None) -> str:
+               prefix: str = "leads", day: str | None = None, order: str | None = None) -> str:
     """K9/K10: ';' CSV with a header row, NULL as empty, one folder per day
     (``<prefix>_<yyyy-MM-dd>``). Fields holding ';' or quotes are quoted
-    (C12), so every line parses back."""
+    (C12), so every line parses back. ``order`` names a position column, not
+    exported, by which the lines of one file are sorted: for a page, whose
+    size is bounded."""
+    if order is not None:
+        df = df.repartition(1).sortWithinPartitions(order).drop(order)
     day = day or dt.date.today().isoformat()
     path = f"{folder}/{prefix}_{day}"
     renamed = df.select(*[F.col(c).alias(h) for c, h in zip(df.columns, header)])

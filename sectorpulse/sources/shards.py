@@ -13,8 +13,8 @@ def union_shards(spark: SparkSession, paths: str | Sequence[str], fmt: str = "pa
                  batch: str | None = None) -> DataFrame:
     """The union of all shards as one scan (paths or globs; Spark raises
     when nothing matches). ``shard_nome`` is the folder (or file) holding
-    the row, so sorted shard names give the file order of C7 together with
-    ``linha`` (row index inside the Parquet file). ``batch`` keeps one
+    the row; ``shard_nome``, ``arquivo`` (file name) and ``linha`` (row index
+    inside that Parquet file) give the file order of C7. ``batch`` keeps one
     ``lote=`` partition (S6), pruned at planning time."""
     df = spark.read.format(fmt).load(paths if isinstance(paths, str) else list(paths))
     if batch is not None:
@@ -24,7 +24,7 @@ def union_shards(spark: SparkSession, paths: str | Sequence[str], fmt: str = "pa
     cols = [F.col(c) for c in df.columns]
     extra = [name.alias("shard_nome")]
     if fmt == "parquet":
-        extra.append(F.col("_metadata.row_index").alias("linha"))
+        extra += [F.col("_metadata.file_name").alias("arquivo"), F.col("_metadata.row_index").alias("linha")]
     return df.select(*cols, *extra)
 
 

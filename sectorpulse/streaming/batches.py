@@ -35,18 +35,15 @@ def stream_establishments(spark: SparkSession, landing: str,
 
 
 def land_region(spark: SparkSession, landing: str, municipalities: DataFrame, target: str,
-                checkpoint: str, whitelist=REGION_MUNICIPALITIES) -> int:
+                checkpoint: str, whitelist=REGION_MUNICIPALITIES) -> None:
     """Filter every new file to the region and append it to ``target``
-    (Parquet, partitioned by shard); returns the raw rows read by this run.
-
-    The region's codes are resolved once per run from the (static)
-    municipality table and applied as an IN list (bounded by the region)."""
-    codes = [r[0] for r in (municipalities
-                            .where(normalize_name(F.col("nome")).isin(list(whitelist)))
-                            .select("codigo_municipio").distinct().collect())]
-    stream = stream_establishments(spark, landing).where(F.col("codigo_municipio").isin(codes))
+    (Parquet, partitioned by shard). Row counts come from the target.
+
+    The region's codes are a static table that every batch is semi-joined to."""
+    codes = (municipalities.where(normalize_name(F.col("nome")).isin(list(whitelist)))
+                           .select("codigo_municipio").distinct())
+    stream = stream_establishments(spark, landing).join(codes, "codigo_municipio", "left_semi")
     q = (stream.writeStream.format("parquet").option("path", target)
                .option("checkpointLocation", checkpoint).partitionBy("shard")
                .outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
-    return sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)

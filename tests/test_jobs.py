@@ -3,6 +3,8 @@
 import os
 import zipfile
 
+import pytest
+
 from sectorpulse import schemas
 from sectorpulse.plans import jobs
 from sectorpulse.session import local_dir
@@ -48,7 +50,12 @@ def test_batch_end_to_end(spark, tmp_dir):
             ["00000005", "NOWHERE SA", "2062", "49", "1,00", "05", None]]
     _zip(batch, "Empresas0.zip", comp)
 
-    out = jobs.run_batch(spark, batch, tmp_dir)
+    # One establishment has no opening date: the load is refused, and nothing is switched.
+    with pytest.raises(jobs.LoadRefused, match="estabelecimentos.data_inicio_atividade"):
+        jobs.run_batch(spark, batch, tmp_dir)
+    with pytest.raises(FileNotFoundError):
+        jobs.table(spark, f"{tmp_dir}/warehouse", "empresas")
+    out = jobs.run_batch(spark, batch, tmp_dir, waive=["estabelecimentos.data_inicio_atividade"])
     assert out["shards"][None] == 8  # 7 regional rows in shard 0 + 1 in shard 1
     assert out["estabelecimentos"] == 7 and out["empresas"] == 2
     wh = f"{tmp_dir}/warehouse"
