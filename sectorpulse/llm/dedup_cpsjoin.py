@@ -53,7 +53,7 @@ PIVOTS = 8
 LEVELS = 6
 LIKELY = 172          # shared values (of 256) of a pair worth confirming: 2.9 deviations below the threshold's 192
 CLOSE = 192           # shared values at which a document is done in a large node
-FILTER_BITS = 25      # size of the bit map that spares shuffling texts no pair needs: 4 MB, whatever the input
+FILTER_BITS = 25      # size of the bit map that spares shuffling rows no join needs: 4 MB, whatever the input
 SELECT = np.uint64(int(2 ** 64 / (PERCENT / 100 * TOKENS)))
 
 _rng = np.random.default_rng(20240229)
@@ -268,19 +268,18 @@ def compare_groups(groups: DataFrame, work: Callable) -> DataFrame:
                   .mapInArrow(_by_group(work, keys), "a long, b long").distinct())
 
 
-def texts_of(ids: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(rep, text) of at least the documents in ``ids`` (rep). A bit map of
-    hashed ids, of fixed size and so safe to send to every task, drops nearly
-    all other texts in place; the join that follows is exact."""
+def present(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """At least the ``rows`` (rep, ...) whose rep is in ``ids`` (rep). A bit map
+    of hashed ids, of fixed size and so safe to send to every task, drops
+    nearly all others in place; the join that follows is exact."""
     bit = F.pmod(F.xxhash64("rep"), F.lit(2 ** FILTER_BITS))
     bits = (ids.select(F.floor(bit / 32768).cast("long").alias("__page"), F.pmod(bit, F.lit(32768)).alias("__bit"))
                .groupBy("__page").agg(F.bitmap_construct_agg("__bit").alias("__bits")))
     byte = F.conv(F.hex(F.expr("substring(__bits, cast(__bit div 8 as int) + 1, 1)")), 16, 10).cast("int")
     hit = F.expr("shiftright(__byte, cast(__bit % 8 as int)) & 1") == 1
-    return (docs.select(F.col(key).cast("long").alias("rep"), F.col(text).alias("text")).where("rep is not null")
-                .withColumn("__page", F.floor(bit / 32768).cast("long"))
+    return (rows.withColumn("__page", F.floor(bit / 32768).cast("long"))
                 .withColumn("__bit", F.pmod(bit, F.lit(32768)))
-                .join(F.broadcast(bits), "__page").withColumn("__byte", byte).where(hit).select("rep", "text"))
+                .join(F.broadcast(bits), "__page").withColumn("__byte", byte).where(hit).select(*rows.columns))
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str, percent: int) -> DataFrame:
@@ -288,7 +287,8 @@ def confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str, percent: i
     texts meet their pairs by sort-merge joins at every size: a hot document's
     pairs are then split by AQE and nothing is sent whole to every task."""
     ends = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep")))
-    texts = texts_of(ends, docs, key, text)
+    texts = present(docs.select(F.col(key).cast("long").alias("rep"), F.col(text).alias("text"))
+                        .where("rep is not null"), ends)
     left = texts.select(F.col("rep").alias("a"), F.col("text").alias("text_a")).hint("merge")
     right = texts.select(F.col("rep").alias("b"), F.col("text").alias("text_b")).hint("merge")
 
@@ -349,7 +349,7 @@ def linked_components(reps: DataFrame, docs: DataFrame, key: str, text: str, per
     """(node, label) of the representatives (staged: rep, n_shingles, tokens, sketch) that
     confirmed links join; others are left out."""
     members = staged(first_level(reps, trees), "dedup-paths")
-    groups, edges = [], None
+    groups, edges, held = [], None, None
     for level in range(levels):
         nodes = staged(node_table(members), f"dedup-nodes{level}")
         sized = members.join(nodes, "path").distinct()
@@ -357,7 +357,11 @@ def linked_components(reps: DataFrame, docs: DataFrame, key: str, text: str, per
         if level == levels - 1 or nodes.where(F.col("size") > leaf).isEmpty():
             break
         large = sized.where(F.col("size") > leaf).select("path", "rep")
-        step = staged(pivot_step(staged(large, f"dedup-big{level}"), reps, PIVOTS), f"dedup-pivots{level}")
+        large = staged(large, f"dedup-big{level}")
+        if held is None:
+            # Only documents of large nodes go down: the others' tokens and sketches are not shuffled.
+            held = staged(present(reps.select("rep", "tokens", "sketch"), large.select("rep")), "dedup-held")
+        step = staged(pivot_step(large, held, PIVOTS), f"dedup-pivots{level}")
         found = step.where("kind = 'edge'").select(F.col("x").alias("a"), F.col("y").alias("b"))
         edges = found if edges is None else edges.unionByName(found)
         members = step.where("kind = 'child'").select(F.col("x").alias("path"), F.col("y").alias("rep"))
