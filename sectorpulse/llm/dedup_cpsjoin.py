@@ -54,6 +54,7 @@ LEVELS = 6
 LIKELY = 172          # shared values (of 256) of a pair worth confirming: 2.9 deviations below the threshold's 192
 CLOSE = 192           # shared values at which a document is done in a large node
 FILTER_BITS = 25      # size of the bit map that spares shuffling rows no join needs: 4 MB, whatever the input
+MEMO_CHARS = 4_000_000  # characters of texts whose shingle sets a confirming task remembers
 SELECT = np.uint64(int(2 ** 64 / (PERCENT / 100 * TOKENS)))
 
 _rng = np.random.default_rng(20240229)
@@ -293,23 +294,31 @@ def confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str, percent: i
     right = texts.select(F.col("rep").alias("b"), F.col("text").alias("text_b")).hint("merge")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets = _Sets()
         for batch in batches:
-            both = zip(_memo_sets(batch.column(2)), _memo_sets(batch.column(3)))
-            keep = [similar(x, y, percent) for x, y in both]
+            keep = [similar(sets.of(x.as_py()), sets.of(y.as_py()), percent)
+                    for x, y in zip(batch.column(2), batch.column(3))]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(
         run, "a long, b long").distinct()
 
 
-def _memo_sets(texts: pa.Array) -> Iterator[np.ndarray]:
-    """Shingle sets row by row; a text that repeats from the row before is hashed once."""
-    before, value = None, None
-    for text in texts:
-        now = text.as_py()
-        if value is None or now != before:
-            before, value = now, next(shingle_sets([now]))
-        yield value
+class _Sets:
+    """Shingle sets of texts, remembered until the texts held exceed ``MEMO_CHARS``."""
+
+    def __init__(self) -> None:
+        self.known: dict[str, np.ndarray] = {}
+        self.chars = 0
+
+    def of(self, text: str) -> np.ndarray:
+        found = self.known.get(text)
+        if found is None:
+            if self.chars > MEMO_CHARS:
+                self.known, self.chars = {}, 0
+            found = self.known[text] = next(shingle_sets([text]))
+            self.chars += len(text)
+        return found
 
 
 def components(edges: DataFrame) -> DataFrame:
