@@ -289,7 +289,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, key: str, text: str, percent: i
     pairs are then split by AQE and nothing is sent whole to every task."""
     ends = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep")))
     texts = present(docs.select(F.col(key).cast("long").alias("rep"), F.col(text).alias("text"))
-                        .where("rep is not null"), ends)
+                        .where("rep is not null and text is not null"), ends)
     left = texts.select(F.col("rep").alias("a"), F.col("text").alias("text_a")).hint("merge")
     right = texts.select(F.col("rep").alias("b"), F.col("text").alias("text_b")).hint("merge")
 

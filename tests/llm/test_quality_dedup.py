@@ -125,6 +125,15 @@ def test_dedup_defined_cases(spark):
     assert dedup_cpsjoin.near_duplicates(df.limit(0)).count() == 0 and dedup_cpsjoin.keep_one(df.limit(0)).count() == 0
 
 
+def test_dedup_repeated_id_with_a_null_text(spark):
+    """A doc_id with a near copy elsewhere and a null text in another row of its own."""
+    base = " ".join(f"n{i}" for i in range(80))
+    rows = [(1, base), (1, None), (2, base + " end"), (2, None), (3, None)]
+    df = spark.createDataFrame([(d, t, "en", "s", 0) for d, t in rows], DOCS)
+    got = sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in dedup_cpsjoin.near_duplicates(df).collect())
+    assert got == [(1, 0, 1, True), (1, 76, 1, True), (2, 0, 2, True), (2, 77, 1, False), (3, 0, 3, True)]
+
+
 def test_dedup_query(spark):
     sf = "/root/testdata/sf0.001"
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
