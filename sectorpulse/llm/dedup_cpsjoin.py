@@ -24,6 +24,14 @@ components, so neither a failed pair of the forest nor a document done early
 costs a link that joins components, and nothing is capped. Components are
 found by alternating star contraction of the confirmed links.
 
+The join is approximate in two places, and a pair lost there is lost for good,
+since all trees use one set of tokens and one sketch. With ideal minwise values
+a pair at similarity 0.75 / 0.76 / 0.77 has fewer than ``LIKELY`` equal sketch
+values with probability 2.9e-6 / 4.3e-7 / 5.2e-8 (binomial tail), and shares no
+node below the roots with probability 6.5e-5 / 5.6e-5 / 4.8e-5. So the recall
+of a pair at the threshold is 0.99993, and it rises with the similarity; a lost
+pair still ends in one component if other links join it.
+
 Defined cases: a text that is null, empty or blank has no shingles and stays
 alone, kept; equal texts share a class whatever the number; a null doc_id takes
 no part and has null component and kept; rows that share a doc_id are one
@@ -51,7 +59,7 @@ TREES = 10
 LEAF = 2048           # a node of at most so many documents is compared exhaustively
 PIVOTS = 8
 LEVELS = 6
-LIKELY = 172          # shared values (of 256) of a pair worth confirming: 2.9 deviations below the threshold's 192
+LIKELY = 160          # shared values (of 256) of a pair worth confirming: 4.6 deviations below the threshold's 192
 CLOSE = 192           # shared values at which a document is done in a large node
 FILTER_BITS = 25      # size of the bit map that spares shuffling rows no join needs: 4 MB, whatever the input
 MEMO_CHARS = 4_000_000  # characters of texts whose shingle sets a confirming task remembers

@@ -125,6 +125,29 @@ def test_dedup_defined_cases(spark):
     assert dedup_cpsjoin.near_duplicates(df.limit(0)).count() == 0 and dedup_cpsjoin.keep_one(df.limit(0)).count() == 0
 
 
+def pair_at(i, shared, own):
+    """Two texts that share ``shared`` shingles and have ``own`` more each."""
+    head = [f"h{i}_{k}" for k in range(shared + 4)]
+    return [" ".join(head + [f"{side}{i}_{k}" for k in range(own)]) for side in "ab"]
+
+
+def test_sketches_keep_pairs_at_the_threshold():
+    """Similarities 36/48 = 0.75, 38/50 = 0.76 and 47/61 = 0.77."""
+    for shared, own in ((36, 6), (38, 6), (47, 7)):
+        texts = [t for i in range(10_000) for t in pair_at(i, shared, own)]
+        sketches = [shingles.mix(dedup_cpsjoin.minwise(s)).astype(np.uint8) for s in shingles.shingle_sets(texts)]
+        equal = (np.array(sketches[::2]) == np.array(sketches[1::2])).sum(axis=1)
+        assert (equal < dedup_cpsjoin.LIKELY).sum() <= 1        # 16 of 10,000 at 0.75 with a cutoff of 172
+        assert equal.mean() / dedup_cpsjoin.SKETCH == pytest.approx(shared / (shared + 2 * own), abs=0.01)
+
+
+def test_many_borderline_pairs_are_joined(spark):
+    texts = dict(enumerate(t for i in range(3000) for t in pair_at(i, *((36, 6), (38, 6), (47, 7))[max(0, i - 1999) % 3])))
+    got = {r.doc_id: r.component_id for r in dedup_cpsjoin.near_duplicates(frame(spark, texts)).collect()}
+    # Of these 3,000 pairs one shares no node of the trees; a cutoff of 172 lost five more.
+    assert sum(got[2 * i + 1] != 2 * i for i in range(3000)) <= 1
+
+
 def test_dedup_repeated_id_with_a_null_text(spark):
     """A doc_id with a near copy elsewhere and a null text in another row of its own."""
     base = " ".join(f"n{i}" for i in range(80))
