@@ -7,7 +7,9 @@ inverse document frequencies taken over the templates. The best line of a file
 at or above ``THRESHOLD`` gives the license the file states itself.
 
 A license file (LICENSE, COPYING, NOTICE and the like, by its name) that
-matches licenses its directory. A file without a statement of its own inherits from the
+matches licenses its directory. Where names say nothing, a file is a license
+file by its content: each of its lines with a letter or digit matches a
+template, whatever its length. A file without a statement of its own inherits from the
 nearest directory above it that has a license: its path is expanded to its
 ancestor directories, joined to the licensed directories by equality and the
 deepest hit is kept by a map-side aggregate.
@@ -98,8 +100,17 @@ def candidate_lines(text: Column, templates: Sequence[tuple[str, str]]) -> Colum
             marks.add(w)
             left -= x * x
     pattern = r"(?i)(?<![a-z0-9])(?:" + "|".join(sorted(w.replace(".", r"\.") for w in marks)) + r")(?![a-z0-9])"
-    lines = F.split(F.coalesce(text, F.lit("")), r"\r\n|[\n\r]", -1)
-    return F.when(text.rlike(pattern), F.array_distinct(F.filter(lines, lambda x: x.rlike(pattern))))
+    return F.when(text.rlike(pattern), F.array_distinct(F.filter(lines_of(text), lambda x: x.rlike(pattern))))
+
+
+def lines_of(text: Column) -> Column:
+    return F.split(F.coalesce(text, F.lit("")), r"\r\n|[\n\r]", -1)
+
+
+def written_lines(text: Column, templates: Sequence[tuple[str, str]]) -> Column:
+    """Number of distinct lines with a letter or digit; only counted where some line may match."""
+    return F.when(F.size(candidate_lines(text, templates)) > 0,
+                  F.size(F.array_distinct(F.filter(lines_of(text), lambda x: x.rlike(r"[\p{L}\p{N}]")))))
 
 
 def plausible(words: Column, templates: Sequence[tuple[str, str]], threshold: float) -> Column:
@@ -124,31 +135,36 @@ def plausible(words: Column, templates: Sequence[tuple[str, str]], threshold: fl
 
 def stated(files: DataFrame, key: str, text: str, templates: Sequence[tuple[str, str]] = TEMPLATES,
            threshold: float = THRESHOLD) -> DataFrame:
-    """(key, license, score): the license each file states itself, files without one left out.
-    ``key`` tells files apart."""
+    """(key, license, score, __whole): the license each file states itself and whether all its lines are
+    notices, files without one left out. ``key`` tells files apart."""
     weights = F.broadcast(weights_table(files.sparkSession, templates))    # as small as the templates
     outside = math.log(1 + len(templates)) + 1                              # idf of a word in no template
     # A line goes on as its hash and words, not as its text.
     worded = F.transform(candidate_lines(F.col(text), templates), lambda x: F.struct(
         F.xxhash64(x).alias("line"), F.regexp_extract_all(F.lower(x), F.lit(TOKEN), F.lit(0)).alias("words")))
-    lines = (files.select(F.col(key).alias("__key"), F.explode(worded).alias("__l"))
+    lines = (files.select(F.col(key).alias("__key"), F.explode(worded).alias("__l"),
+                          written_lines(F.col(text), templates).alias("__n"))
                   .where(plausible(F.col("__l.words"), templates, threshold))
-                  .select("__key", F.col("__l.line").alias("__line"), F.col("__l.words").alias("__words")))
+                  .select("__key", F.col("__l.line").alias("__line"), F.col("__l.words").alias("__words"), "__n"))
     counted = (lines.withColumn("__word", F.explode("__words"))
-                    .groupBy("__key", "__line", "__word").agg(F.count(F.lit(1)).alias("__tf")))
+                    .groupBy("__key", "__line", "__word").agg(F.count(F.lit(1)).alias("__tf"),
+                                                              F.max("__n").alias("__n")))
     idf_of = weights.select("__word", "__idf").distinct()
     lengths = (counted.join(idf_of, "__word", "left")
                       .groupBy("__key", "__line")
                       .agg(F.sqrt(F.sum(F.pow(F.col("__tf") * F.coalesce("__idf", F.lit(outside)), F.lit(2.0))))
-                            .alias("__length")))
+                            .alias("__length"), F.max("__n").alias("__n")))
     dots = (counted.join(weights, "__word").groupBy("__key", "__line", "__template", "__license")
                    .agg(F.sum(F.col("__tf") * F.col("__idf") * F.col("__weight")).alias("__dot")))
     scored = (dots.join(lengths, ["__key", "__line"])
                   .withColumn("__score", F.round(F.col("__dot") / F.col("__length"), 9)))
     best = F.min(F.struct((-F.col("__score")).alias("s"), F.col("__license").alias("l")))
-    return (scored.where(F.col("__score") >= threshold).groupBy("__key").agg(best.alias("__b"))
-                  .select(F.col("__key").alias(key), F.col("__b.l").alias("license"),
-                          (-F.col("__b.s")).alias("score")))
+    notices = (scored.where(F.col("__score") >= threshold).groupBy("__key", "__line")
+                     .agg(best.alias("__b"), F.max("__n").alias("__n")))
+    return (notices.groupBy("__key").agg(F.min("__b").alias("__b"),
+                                         (F.count(F.lit(1)) == F.max("__n")).alias("__whole"))
+                   .select(F.col("__key").alias(key), F.col("__b.l").alias("license"),
+                           (-F.col("__b.s")).alias("score"), "__whole"))
 
 
 def directories(path: Column) -> Column:
@@ -163,13 +179,15 @@ def file_name(path: Column) -> Column:
 
 
 def scan(files: DataFrame, key: str, path: str, text: str, templates: Sequence[tuple[str, str]] = TEMPLATES,
-         threshold: float = THRESHOLD) -> DataFrame:
+         threshold: float = THRESHOLD, by_content: bool = False) -> DataFrame:
     """(key, path, license, score, origin, from_directory) of every file; origin is
-    ``stated``, ``inherited`` or ``none``."""
+    ``stated``, ``inherited`` or ``none``. A file licenses its directory by its name,
+    or ``by_content`` if all its lines are notices."""
     own = stated(files, key, text, templates, threshold)
     named = files.select(F.col(key).alias(key), F.col(path).alias("path"))
     known = staged(named.join(own, key, "left"), "license-stated")
-    licensed = (known.where(F.col("license").isNotNull() & file_name(F.col("path")).rlike(LICENSE_FILE))
+    is_license = F.col("__whole") if by_content else file_name(F.col("path")).rlike(LICENSE_FILE)
+    licensed = (known.where(F.col("license").isNotNull() & is_license)
                      .withColumn("__dir", F.element_at(directories(F.col("path")), -1))
                      .groupBy("__dir").agg(F.min(F.struct((-F.col("score")).alias("s"), F.col("license").alias("l")))
                                             .alias("__b"))

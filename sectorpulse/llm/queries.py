@@ -73,12 +73,11 @@ def op7_license(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as files: the path is source/lang/doc_id; in a source and language, a document that is
     nothing but a license notice stands for its directory's license file."""
     docs = read_table(spark, sf_dir, "documents")
-    notice = F.length(F.trim("text")) <= 200
-    name = F.concat(F.when(notice, F.lit("LICENSE-")).otherwise(F.lit("doc-")), F.col("doc_id").cast("string"))
+    name = F.concat(F.lit("doc-"), F.col("doc_id").cast("string"))
     files = docs.select("doc_id", F.concat_ws("/", F.coalesce("source", F.lit("unknown")),
                                               F.coalesce("lang", F.lit("unknown")),
                                               F.coalesce(name, F.lit("doc-"))).alias("path"), "text")
-    return license_tfidf.scan(files, "doc_id", "path", "text")
+    return license_tfidf.scan(files, "doc_id", "path", "text", by_content=True)
 
 
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -115,3 +115,20 @@ def test_license_query(spark):
     for d, text in texts.items():
         assert (got[d].license if got[d].origin == "stated" else None) == brute_stated(text)
     assert any(r.origin == "stated" for r in got.values())
+
+
+def test_only_a_document_of_notices_licenses_its_directory(spark, tmp_dir):
+    whole = ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software\n\n----\n"
+             "Released under the MIT License.\r\n  Released under the MIT License\nAll rights reserved.\n") * 2
+    assert len(whole) > 200
+    rows = [(1, "Some prose.\nReleased under the MIT License.", "a"), (2, "code", "a"), (3, whole, "b"), (4, "code", "b"),
+            (5, "All rights reserved.", "c"), (6, None, "c"), (7, "\u041f\u0440\u043e\u0437\u0430.\nAll rights reserved.", "d"),
+            (8, "code", "d")]
+    spark.createDataFrame([(d, t, "en", s, 0) for d, t, s in rows],
+                          "doc_id long, text string, lang string, source string, n_chars long").write.parquet(
+        f"{tmp_dir}/documents.parquet")
+    got = {r.doc_id: (r.license, r.origin) for r in queries.op7_license(spark, tmp_dir).collect()}
+    assert {d: got[d] for d in (1, 2, 5, 6, 7, 8)} == {
+        1: ("MIT", "stated"), 2: (None, "none"), 5: ("Proprietary", "stated"), 6: ("Proprietary", "inherited"),
+        7: ("Proprietary", "stated"), 8: (None, "none")}
+    assert got[3] == ("MIT", "stated") and got[4] == ("MIT", "inherited")
