@@ -9,6 +9,13 @@ of one parent element are chained too. The minimum cut, found by maximum flow
 with augmenting paths, parts content from boilerplate; it can differ from the
 classifier where a block's surroundings outweigh it.
 
+Boilerplate marks come from tags and from names; a layout name (``has-sidebar``,
+``with-comments``) marks nothing, and a heading in an article's header is not
+marked by that header. An article or main element that holds most of the text
+of all of them loses the marks above it if less lies outside marks; on a page
+without such an element, and with less than a tenth of its text outside marks,
+a name's mark fades where its element holds more than half of the text.
+
 Scripts, styles, comments, templates, titles, form controls and other elements
 without readable text never become blocks. Character references are decoded,
 white space inside a block becomes one space, blocks are joined by one newline
@@ -64,6 +71,7 @@ TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>?|<\?[^>]*>?|<(/?)([a-zA-Z][^\s/>
 OPEN_END = re.compile(r"<[/!?a-zA-Z][^<>]*\Z")
 NAMES = re.compile(r"(?:^|\s)(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 HIDES = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.IGNORECASE)
+LAYOUT_NAME = re.compile(r"(?:has|with|without|no)(?:[-_]|(?=[A-Z]))")
 NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
@@ -72,7 +80,10 @@ class Element:
     tag: str
     parent: Element | None
     depth: int
-    boilerplate: int = 0      # strength of the boilerplate marks here and above
+    boilerplate: float = 0    # strength of the boilerplate marks here and above
+    own: int = 0              # what this element adds to it
+    named: bool = False       # marked by its names alone
+    headed: int = 0           # marks here and above of headers inside the content
     content: bool = False     # inside an element marked as the content
     hidden: bool = False
     link: bool = False
@@ -92,20 +103,62 @@ def _child(parent: Element, tag: str, attributes: str) -> Element:
     names: set[str] = set()
     if attributes:
         for found in NAMES.finditer(attributes):
-            names.update(x.lower() for x in NAME_PART.findall(next(v for v in (*found.groups(), "") if v is not None)))
-    marks = parent.boilerplate
+            for name in next(v for v in (*found.groups(), "") if v is not None).split():
+                if not LAYOUT_NAME.match(name):
+                    names.update(x.lower() for x in NAME_PART.findall(name))
+    own, headed, marked = 0, parent.headed, names & BOILERPLATE_NAMES
+    if tag in HEADINGS:
+        own, headed = -headed, 0
+    marks = parent.boilerplate + own
     inner = parent.content or tag in CONTENT_TAGS
-    if tag in BOILERPLATE_TAGS or names & BOILERPLATE_NAMES and tag not in ("body", "html", *CONTENT_TAGS):
-        marks += 1
-    elif tag == "header" and not parent.content:
-        marks += 1
+    if (tag in BOILERPLATE_TAGS or marked and tag not in ("body", "html", *CONTENT_TAGS)
+            or tag == "header" and not parent.content):
+        marks, own = marks + 1, own + 1
+        if parent.content and marked == {"header"} and tag not in BOILERPLATE_TAGS:
+            headed += 1
     elif names & CONTENT_NAMES and not marks:
         inner = True
-    return Element(tag, parent, parent.depth + 1, marks, inner,
-                   parent.hidden or tag in HIDDEN or bool(attributes and HIDES.search(attributes)),
+    return Element(tag, parent, parent.depth + 1, marks, own, own > 0 and tag not in BOILERPLATE_TAGS and tag != "header",
+                   headed, inner, parent.hidden or tag in HIDDEN or bool(attributes and HIDES.search(attributes)),
                    parent.link or tag == "a")
 
 
+def settle_marks(blocks: list[Block], texts: list[str]) -> None:
+    """Weigh the marks by what the marked elements hold of the page's text."""
+    if not any(b.element.boilerplate for b in blocks):
+        return
+    held: dict[Element, int] = {}
+    clean = unmarked = framed = 0
+    for b, text in zip(blocks, texts):
+        e = b.element
+        while e is not None and e not in held:
+            held[e] = 0
+            e = e.parent
+        held[b.element] += len(text)
+        if not b.element.boilerplate:
+            unmarked += len(text)
+            clean += len(text) * b.element.content
+    down = sorted(held, key=lambda e: e.depth)
+    for e in reversed(down):
+        if e.parent is not None:
+            held[e.parent] += held[e]
+    total, framed_in = held[down[0]], {None: False}
+    for e in down:                                         # text of the outermost articles and main elements
+        framed_in[e] = framed_in[e.parent] or e.tag in CONTENT_TAGS
+        if framed_in[e] and not framed_in[e.parent]:
+            framed += held[e]
+    trapped = {e for e in down if e.tag in CONTENT_TAGS and e.boilerplate and held[e] > unmarked and 2 * held[e] >= framed}
+    fades = not clean and not trapped and 10 * unmarked < total
+    for e in down:
+        if e in trapped:
+            e.boilerplate = 0
+        elif e.parent is not None:
+            own = e.own
+            if fades and e.named and own > 0:
+                own *= min(1.0, max(0.0, 3 - 4 * held[e] / total))       # full up to a half, none from three quarters
+            e.boilerplate = max(0, e.parent.boilerplate + own)
+
+
 def blocks_of(page: str) -> list[Block]:
     """Text blocks of a page in order; blocks without visible text are left out."""
     page = OPEN_END.sub("", page)
@@ -269,6 +322,7 @@ def main_text(page: str | None) -> str:
     if not blocks:
         return ""
     texts = [b.text() for b in blocks]
+    settle_marks(blocks, texts)
     container = any(b.element.content and not b.element.boilerplate for b in blocks)
     scores = [content_score(b, t, container) for b, t in zip(blocks, texts)]
     kept = min_cut(scores, edges_of(blocks))

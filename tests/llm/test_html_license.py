@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -32,6 +33,22 @@ def test_without_article_element():
     assert "One" not in html_mincut.main_text(page)
 
 
+@pytest.mark.parametrize("page", [
+    "<div class='layout has-sidebar'><article>{a}</article><div class='sidebar'><p>{r}</p></div></div>",
+    "<div class='layout with-comments'><article>{a}</article><section class='comments'><p>{r}</p></section></div>",
+    "<div class='sidebar-layout'><main>{a}</main></div><div class='related'><article><p>{r}</p></article></div>",
+    "<form id='f'><article>{a}</article></form><nav><p>{r}</p></nav>",
+    "<article><header class='entry-header'>{h}<p class='byline'>By someone</p></header>{p}</article><footer>{r}</footer>",
+    "<div class='related-story'>{a}</div><div class='footer'><p>{r}</p></div>",
+    "<div>{a}</div><section class='comments'><article class='comment'><p>{r}</p></article></section>",
+    "<article>{a}</article><div class='comments'><article><p>{r}</p></article><article><p>{r}</p></article></div>"])
+def test_marked_wrappers_keep_the_article(page):
+    h, other = "<h1>The head line</h1>", "Another text of some words that is not the story."
+    p = "".join(f"<p>Paragraph {i} has quite a few words in it so that it reads as text.</p>" for i in range(4))
+    got = html_mincut.main_text("<body>" + page.format(a=h + p, h=h, p=p, r=other))
+    assert got.split("\n") == ["The head line", *re.findall("<p>(.*?)</p>", p)]
+
+
 def test_html_defined_cases(spark):
     rows = [(1, "u", None), (2, None, ""), (3, "u", "<p>cut <b>off & on <a hr"), (None, "u", "plain text only, no tags"),
             (4, "u", "<div" * 5), (5, "u", "</p></div></body>"), (6, "u", "<p>" + "word " * 50_000),
