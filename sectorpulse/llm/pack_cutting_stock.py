@@ -2,9 +2,14 @@
 generation.
 
 Every document is tokenised once, whole, and cut into full sequences plus a
-rest. The pieces' lengths, rounded up to classes of ``CLASS_WIDTH`` tokens,
-make a histogram of at most ``capacity / CLASS_WIDTH`` bars, whatever the
-size of the corpus. On it the driver solves the linear program "fewest
+rest. Pieces of at most ``SHORT`` tokens are packed by their exact lengths:
+their histogram is filled into patterns longest first, each pattern used as
+often as it can be. The longer pieces' lengths, rounded up to classes of
+``CLASS_WIDTH`` tokens, make a histogram of at most ``capacity / CLASS_WIDTH``
+bars, whatever the size of the corpus; the rounding takes up to
+``CLASS_WIDTH`` - 1 tokens of room a piece, under 3 % of its length, and more
+where all pieces have one length that the rounding keeps from fitting once
+more (585 tokens: 6 to a sequence, 7 would fit). On it the driver solves the linear program "fewest
 sequences that hold all pieces": the master keeps one column (pattern) per
 class, an unbounded-knapsack dynamic program on the dual prices finds the next
 pattern, and the simplex step exchanges it. Patterns are rounded down, what is
@@ -32,6 +37,7 @@ from .common import positions, staged
 
 CAPACITY = 4096
 CLASS_WIDTH = 16
+SHORT = 512                # pieces of at most so many tokens are packed by exact lengths
 END_ID = 2
 CACHE_WORDS = 600_000      # words a worker remembers: the first it meets, so the common ones
 GAP = 2e-4                 # relative distance from the lower bound at which the program stops
@@ -213,6 +219,25 @@ def integral_patterns(demand: np.ndarray, capacity: int) -> tuple[np.ndarray, np
     return np.array(rows, dtype=np.int64).reshape(len(rows), capacity + 1), np.array(counts, dtype=np.int64)
 
 
+def greedy_patterns(demand: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """Patterns of exact lengths and their use counts, places exactly the
+    demand: each takes the longest that still fit and is used until a length
+    runs short. Used for short items, of which many go into one sequence."""
+    left = demand.astype(np.int64).copy()
+    rows, counts = [], []
+    while left.any():
+        pattern, room = np.zeros_like(left), capacity
+        for k in np.flatnonzero(left)[::-1]:
+            pattern[k] = min(left[k], room // k)
+            room -= pattern[k] * k
+        used = pattern > 0
+        times = int((left[used] // pattern[used]).min())
+        left -= times * pattern
+        rows.append(pattern)
+        counts.append(times)
+    return np.array(rows, dtype=np.int64).reshape(len(rows), len(left)), np.array(counts, dtype=np.int64)
+
+
 def places(patterns: np.ndarray, counts: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """For each class: the first rank of each pattern's places, how many places
     the pattern has for the class, and the pattern's first sequence."""
@@ -228,12 +253,21 @@ def places(patterns: np.ndarray, counts: np.ndarray) -> dict[int, tuple[np.ndarr
 def assign_sequences(pieces: DataFrame, key: str = "doc_id", capacity: int = CAPACITY,
                      width: int = CLASS_WIDTH) -> DataFrame:
     """``pieces`` (staged) with sequence_id and offset."""
-    classed = pieces.withColumn("__class", F.ceil(F.col("length") / width).cast("int"))
-    histogram = classed.groupBy("__class").count().collect()      # at most capacity / width rows
-    demand = np.zeros(capacity // width + 1, dtype=np.int64)
+    short = min(SHORT, capacity)
+    # Exact lengths are negative classes.
+    classed = pieces.withColumn("__class", F.when(F.col("length") <= short, -F.col("length"))
+                                            .otherwise(F.ceil(F.col("length") / width)).cast("int"))
+    histogram = classed.groupBy("__class").count().collect()      # at most short + capacity / width rows
+    demand, exact = np.zeros(capacity // width + 1, dtype=np.int64), np.zeros(short + 1, dtype=np.int64)
     for row in histogram:
-        demand[row[0]] = row[1]
-    table = places(*integral_patterns(demand, capacity // width))
+        if row[0] > 0:
+            demand[row[0]] = row[1]
+        else:
+            exact[-row[0]] = row[1]
+    patterns, counts = integral_patterns(demand, capacity // width)
+    table = places(patterns, counts)
+    for k, (starts, per, first) in places(*greedy_patterns(exact, capacity)).items():
+        table[-k] = (starts, per, first + counts.sum())
     order = [key, "start", "ids_crc32", "length"]
     ranked = positions(classed, ["__class"], order, "__rank")
     schema = T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType())])

@@ -171,6 +171,21 @@ def test_pack_query(spark):
     assert check_packing(queries.op5_pack(spark, sf).collect(), ids) < 0.02
 
 
+@pytest.mark.parametrize("lengths", [[5], [17], [273], [1, 5, 17, 33, 120]])
+def test_short_documents_are_packed_with_little_padding(spark, lengths):
+    rows = [(i, 0, lengths[i % len(lengths)], 0, 0) for i in range(6000)]
+    pieces = spark.createDataFrame(rows, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
+    sums = {}
+    for r in pack_cutting_stock.assign_sequences(pieces, "doc_id").collect():
+        sums.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for parts in sums.values():
+        ends = [o + n for o, n in sorted(parts)]
+        assert [o for o, _ in sorted(parts)] == [0, *ends[:-1]] and ends[-1] <= 4096
+    used = sum(r[2] for r in rows)
+    assert sum(map(len, sums.values())) == 6000
+    assert len(sums) <= -(-used // 4096) + 1 and min(sorted(sum(n for _, n in p) for p in sums.values())[1:]) > 0.98 * 4096
+
+
 def test_pack_sequences_hold_the_ids(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     packed = pack_cutting_stock.pack(docs, queries.vocabulary(), with_ids=True)
