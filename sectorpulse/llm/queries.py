@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (ann_rpforest, chat_format, dedup_cpsjoin, html_mincut, license_tfidf, mix_pivotal, pack_cutting_stock,
-               quality_pu, shard_rendezvous, topk_columnar)
+from . import (ann_rpforest, chat_format, conversation_repair, conversation_trie, decontam_index, dedup_cpsjoin,
+               html_mincut, license_tfidf, mix_pivotal, pack_cutting_stock, quality_pu, shard_rendezvous, topk_columnar)
 from .common import prepare, read_table, staged
 
 SHARDS = 16
@@ -103,12 +103,40 @@ def op10_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slotted.select("doc_id", "size", "text_crc32", F.lit(LAW).alias("law"), "shard", "slot", "grown_shard")
 
 
+def op11_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.conversation_trie(read_table(spark, sf_dir, "conversations"))
+
+
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return conversation_repair.repair(conversation_repair.faults(conversation_repair.damaged(rows)), rows)
+
+
+def op13_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam_index.decontaminate(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
 QUERIES = {
     "op1_quality": op1_quality, "op2_chat_format": op2_chat_format, "op3_mix": op3_mix, "op4_html": op4_html,
     "op5_pack": op5_pack, "op6_ann": op6_ann, "op7_license": op7_license, "op8_near_dedup": op8_near_dedup,
-    "op9_top_k": op9_top_k, "op10_shard": op10_shard}
+    "op9_top_k": op9_top_k, "op10_shard": op10_shard, "op11_trie": op11_trie,
+    "op12_repair": op12_repair, "op13_decontaminate": op13_decontaminate}
 
 CONTROL = r"<\\*(\|\w*\|>|/?s>|</?SYS>>)|\[\\*/?INST\]"
+
+
+def crc32_sql(text: str) -> str:
+    """CRC-32 of an ASCII text in SQL, bit by bit."""
+    return f"""xor(list_reduce(
+        list_prepend(4294967295::UBIGINT, list_transform(range(1, length({text}) + 1),
+                                                         lambda i: ascii(substr({text}, i, 1))::UBIGINT)),
+        lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)::UBIGINT[]),
+                                 lambda x, y: xor(x >> 1, (x & 1) * 3988292384::UBIGINT))), 4294967295::UBIGINT)"""
+
+
 ORACLE: dict[str, str] = {
     # Each turn adds its text and escapes; each run of one role a header and an end mark.
     "op2_chat_format": rf"""
@@ -139,4 +167,120 @@ ORACLE: dict[str, str] = {
         SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
                vec_id, score
         FROM scored QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20""",
+    # Prefixes as lists of turn digests; a subtree's sums by joining each node to its own prefixes.
+    "op11_trie": f"""
+        WITH rows AS (
+            SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+                                      coalesce(text, '')) AS place
+            FROM conversations WHERE conv_id IS NOT NULL),
+        ids AS (SELECT c, {crc32_sql("CAST(c AS VARCHAR)")} % 9 AS h FROM (SELECT DISTINCT conv_id AS c FROM rows)),
+        made AS (
+            SELECT c, place, role, text FROM ids JOIN rows ON conv_id = c - c % 5 AND place <= h
+            UNION ALL SELECT c, place + 9, role, text FROM ids JOIN rows ON conv_id = c AND place > h),
+        paths AS (
+            SELECT c, coalesce(list(sha256(length(role) || ':' || role || text) ORDER BY place)
+                               FILTER (WHERE place IS NOT NULL), []) AS t,
+                   list(octet_length(encode(text)) ORDER BY place) AS b
+            FROM ids LEFT JOIN made USING (c) GROUP BY c),
+        prefixes AS (
+            SELECT c, d, list_slice(t, 1, d) AS p, t, CASE WHEN d = 0 THEN 0 ELSE b[d] END AS bytes
+            FROM paths, unnest(range(len(t) + 1)) AS u(d)),
+        nodes AS (
+            SELECT p, any_value(d) AS depth, min(c) AS conv_id, count(*) AS n_convs, count(DISTINCT t[d + 1]) AS n_children,
+                   (count(*) - 1) * any_value(bytes) AS saved,
+                   sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE len(t) = d), ''))
+                       AS ends_sha256
+            FROM prefixes GROUP BY p),
+        sums AS (
+            SELECT list_slice(p, 1, k) AS p, count(*) FILTER (WHERE n_children = 0) AS n_leaves,
+                   CAST(sum(saved) AS BIGINT) AS saved_tokens
+            FROM nodes, unnest(range(depth + 1)) AS u(k) GROUP BY 1)
+        SELECT n.conv_id, n.depth, u.conv_id AS parent_conv_id, n.n_convs, n.n_children, s.n_leaves, s.saved_tokens,
+               n.ends_sha256
+        FROM nodes n JOIN sums s USING (p) LEFT JOIN nodes u ON n.depth > 0 AND u.p = list_slice(n.p, 1, n.depth - 1)""",
+    # One row after the other for all conversations, the least (cost, audit) of each state kept.
+    "op12_repair": rf"""
+        WITH RECURSIVE hurt AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   {crc32_sql("(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))")} % 20
+                       AS kind
+            FROM conversations),
+        rows AS (
+            SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, copy,
+                   CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+            FROM hurt, (VALUES (0), (1)) AS t(copy) WHERE kind <> 0 AND (copy = 0 OR kind = 3)),
+        placed AS (
+            SELECT *, row_number() OVER w AS i, left(role, 1) AS x, lag(left(role, 1)) OVER w AS x_before,
+                   regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS bare,
+                   row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS seen
+            FROM rows WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)),
+        faulty AS (
+            SELECT *, CASE WHEN bare = '' THEN 'blank' WHEN seen > 1 THEN 'duplicate'
+                           WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM placed),
+        told AS (
+            SELECT o.conv_id, count(i) AS n,
+                   CAST(coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS BIGINT) AS gaps,
+                   count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+                   count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+                   count(*) FILTER (WHERE x_before || x NOT IN ('su', 'ua', 'au')) AS illegal
+            FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM o.conv_id
+            GROUP BY o.conv_id),
+        gap(q0, q1, spent, letters, lines) AS (VALUES
+            ('', '', 0, '', ''), ('s', 's', 0, '', ''), ('u', 'u', 0, '', ''), ('a', 'a', 0, '', ''),
+            ('', 'u', 3, 'I', chr(10) || 'user:'), ('s', 'u', 3, 'I', chr(10) || 'user:'),
+            ('a', 'u', 3, 'I', chr(10) || 'user:'), ('u', 'a', 3, 'I', chr(10) || 'assistant:'),
+            ('', 'a', 6, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'),
+            ('s', 'a', 6, 'II', chr(10) || 'user:' || chr(10) || 'assistant:')),
+        edit(letter, q1, q2, spent) AS (VALUES
+            ('D', '', '', 4), ('D', 's', 's', 4), ('D', 'u', 'u', 4), ('D', 'a', 'a', 4),
+            ('R', '', 'u', 3), ('R', 's', 'u', 3), ('R', 'u', 'a', 3), ('R', 'a', 'u', 3),
+            ('K', '', 's', 0), ('K', '', 'u', 0), ('K', 's', 'u', 0), ('K', 'u', 'a', 0), ('K', 'a', 'u', 0)),
+        walk AS (
+            SELECT conv_id, CAST(0 AS BIGINT) AS i, '' AS q, {{'cost': 0, 'audit': '', 'lines': ''}} AS best FROM told
+            UNION ALL
+            SELECT w.conv_id, w.i + 1, e.q2, min({{
+                'cost': w.best.cost + g.spent + e.spent + CASE WHEN e.letter <> 'D' AND f.fault = 'truncated' THEN 3 ELSE 0 END,
+                'audit': w.best.audit || g.letters || e.letter,
+                'lines': w.best.lines || g.lines || CASE e.letter WHEN 'D' THEN '' WHEN 'K' THEN
+                    chr(10) || f.role || ':' || f.text ELSE
+                    chr(10) || CASE e.q2 WHEN 'u' THEN 'user' ELSE 'assistant' END || ':' || f.text END}})
+            FROM walk w JOIN gap g ON g.q0 = w.q JOIN edit e ON e.q1 = g.q1
+                 JOIN faulty f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.i = w.i + 1
+                 AND (e.letter = 'D' OR f.fault NOT IN ('blank', 'duplicate') AND (e.letter = 'R' OR f.x = e.q2))
+            GROUP BY w.conv_id, w.i, e.q2),
+        ended AS (
+            SELECT w.conv_id, min({{'cost': w.best.cost + g.spent, 'audit': w.best.audit || g.letters,
+                                   'lines': w.best.lines || g.lines}}) AS best
+            FROM walk w JOIN told t ON t.conv_id IS NOT DISTINCT FROM w.conv_id AND t.n = w.i
+                 JOIN gap g ON g.q0 = w.q AND g.q1 IN ('', 'a')
+            GROUP BY w.conv_id)
+        SELECT t.conv_id, gaps, blank, duplicate, truncated, illegal, CAST(best.cost AS BIGINT) AS cost, best.audit AS audit,
+               sha256(substr(best.lines, 2)) AS repaired_sha256
+        FROM told t JOIN ended e ON e.conv_id IS NOT DISTINCT FROM t.conv_id""",
+    # Windows as texts of their words, found at every place of every document.
+    "op13_decontaminate": r"""
+        WITH words AS (
+            SELECT row_number() OVER () AS r, doc_id,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+        items AS (
+            SELECT CAST(item_id AS VARCHAR) AS item,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+        windows AS (
+            SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(list_slice(w, s, s + least(len(w), 10) - 1), ' ') AS t
+            FROM items, unnest(range(1, greatest(len(w) - 9, least(len(w), 1)) + 1)) AS u(s)),
+        found AS (
+            SELECT r, s, n, item
+            FROM (SELECT r, s, n, array_to_string(list_slice(w, s, s + n - 1), ' ') AS t
+                  FROM words, (SELECT DISTINCT n FROM windows) AS k, unnest(range(1, len(w) - n + 2)) AS u(s)) AS placed
+                 JOIN windows USING (n, t)),
+        hits AS (SELECT r, count(DISTINCT pos) AS n_hit
+                 FROM (SELECT r, unnest(range(s, s + n)) AS pos FROM found) GROUP BY r),
+        named AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+                  FROM (SELECT DISTINCT r, item FROM found) GROUP BY r)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM words LEFT JOIN hits USING (r) LEFT JOIN named USING (r)""",
 }
