@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sectorpulse.llm import ann_rpforest, queries, topk_columnar
+from sectorpulse.llm.common import staged
 
 ROWS = "id long, vector array<double>"
 
@@ -37,6 +38,32 @@ def test_top_k_blocks_match_brute_force(spark, monkeypatch):
     assert got == brute_top_k(rows, lambda i: i % 20 == 0, 7)
 
 
+def test_survivors_are_those_that_reach_their_floors():
+    rng = np.random.default_rng(4)
+    queries_, columns = rng.integers(-64, 64, (40, 48)).astype(float), rng.integers(-64, 64, (48, 700)).astype(float)
+    whole = queries_ @ columns
+    for share in (0.0, 0.5, 0.97, 1.0):
+        floors = np.quantile(whole, share, axis=1)
+        at, to, score = topk_columnar.survivors(queries_, columns, floors)
+        assert sorted(zip(at, to)) == sorted(zip(*np.nonzero(whole >= floors[:, None])))
+        assert (score == whole[at, to]).all()
+    assert len(topk_columnar.survivors(queries_, columns, np.full(40, 1e9))[0]) == 0
+
+
+def test_blocks_below_the_floors_are_never_paired(spark, monkeypatch):
+    monkeypatch.setattr(topk_columnar, "CANDIDATE_BLOCK", 50)
+    rng = np.random.default_rng(7)
+    rows = [(i, [float(x) for x in rng.integers(200, 220, 8)]) for i in range(50)]
+    rows += [(i, [float(x) for x in rng.integers(-3, 3, 8)]) for i in range(50, 1000)]
+    df = spark.createDataFrame(rows, ROWS)
+    left = staged(topk_columnar.pack_blocks(df.where("id = 0"), 9, "query_block"), "test-left")
+    right = staged(topk_columnar.pack_blocks(df, 50, "block", classes=True), "test-right")
+    needed = topk_columnar.first_floors(left, right, 5).first().needed
+    tops = [r.top for r in right.select("top").collect()]
+    assert 1 <= sum(t >= needed for t in tops) <= 2 < len(tops)
+    assert as_lists(topk_columnar.top_k(df.where("id = 0"), df, 5).collect()) == brute_top_k(rows, lambda i: i == 0, 5)
+
+
 def test_top_k_defined_cases(spark):
     inf, nan = float("inf"), float("nan")
     rows = [(0, [1.0, 2.0]), (1, None), (2, [inf, 0.0]), (3, [nan, 1.0]), (4, []), (5, [None, 1.0]), (6, [0.0, 0.0]),
