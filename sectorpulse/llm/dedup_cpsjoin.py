@@ -18,11 +18,13 @@ levels down.
 
 Of a small node's likely pairs only a spanning forest is kept, highest
 estimates first. Every kept pair is confirmed on the full shingle sets of the
-whole texts. A second round takes all likely pairs of all nodes, the large
-ones in pairs of blocks, whose documents then still lie in different
-components, so neither a failed pair of the forest nor a document done early
-costs a link that joins components, and nothing is capped. Components are
-found by alternating star contraction of the confirmed links.
+whole texts. A second round goes to all nodes again, the large ones in pairs of
+blocks: documents that then still lie in different components although some pair
+of them is likely meet there with their texts, all those pairs are confirmed
+inside the task, and only links that join components come out. So neither a
+failed pair of the forest nor a document done early costs a link that joins
+components, nothing is capped, and rows grow with documents, not with pairs.
+Components are found by alternating star contraction of the confirmed links.
 
 The join is approximate in two places, and a pair lost there is lost for good,
 since all trees use one set of tokens and one sketch. With ideal minwise values
@@ -62,7 +64,10 @@ LEVELS = 6
 LIKELY = 160          # shared values (of 256) of a pair worth confirming: 4.6 deviations below the threshold's 192
 CLOSE = 192           # shared values at which a document is done in a large node
 FILTER_BITS = 25      # size of the bit map that spares shuffling rows no join needs: 4 MB, whatever the input
+PART_SHINGLES = 2_000_000  # shingles of a part of a group that is confirmed in one task
 MEMO_CHARS = 4_000_000  # characters of texts whose shingle sets a confirming task remembers
+GROUP = ["path", "first", "second"]
+MEMBER = [*GROUP, "own", "rep", "label", "n_shingles", "sketch", "paths"]
 SELECT = np.uint64(int(2 ** 64 / (PERCENT / 100 * TOKENS)))
 
 _rng = np.random.default_rng(20240229)
@@ -236,27 +241,91 @@ def _forest(table: pa.Table) -> Iterator[pa.RecordBatch]:
     yield from _pairs(ids[edges[:, 0]], ids[edges[:, 1]])
 
 
-def _crossing(table: pa.Table) -> Iterator[pa.RecordBatch]:
-    """All likely pairs whose documents lie in different components. A pair
-    that meets in several groups is told by the first node they share, and
-    there by its own block or by the one pair of its two blocks."""
-    ids, labels, sizes, own = (table[n].to_numpy() for n in ("rep", "label", "n_shingles", "own"))
-    sketches = _values(table["sketch"].combine_chunks(), np.uint8)
-    path, meet = table["path"][0].as_py(), table["first"][0].as_py() != table["second"][0].as_py()
-    listed = table["paths"].to_pylist()
-    lists = np.full((len(ids), max(map(len, listed))), -1, dtype=np.int64)
-    for i, paths in enumerate(listed):
-        lists[i, :len(paths)] = paths                 # ascending; a repeated last one changes nothing
-        lists[i, len(paths):] = paths[-1]
-    for i in range(len(ids) - 1):
+class _Told:
+    """Which pairs of a group's documents are this group's to tell: likely ones whose labels differ. A
+    pair that meets in several groups is told by the first node they share, and there by its own block
+    or by the one pair of its two blocks."""
+
+    def __init__(self, table: pa.Table):
+        self.ids, self.labels, self.sizes, self.own = (table[n].to_numpy() for n in ("rep", "label", "n_shingles", "own"))
+        self.sketches = _values(table["sketch"].combine_chunks(), np.uint8)
+        self.path = table["path"][0].as_py()
+        self.meet = table["first"][0].as_py() != table["second"][0].as_py()
+        listed = table["paths"].to_pylist()
+        self.lists = np.full((len(self.ids), max(map(len, listed))), -1, dtype=np.int64)
+        for i, paths in enumerate(listed):
+            self.lists[i, :len(paths)] = paths        # ascending; a repeated last one changes nothing
+            self.lists[i, len(paths):] = paths[-1]
+
+    def after(self, i: int, labels: np.ndarray) -> np.ndarray:
+        """Later documents whose pair with document ``i`` is to be told; ``labels`` tell documents apart."""
         other = np.flatnonzero(labels[i + 1:] != labels[i]) + i + 1
-        if meet:
-            other = other[own[other] != own[i]]
-        other = other[_likely((sketches[other] == sketches[i]).sum(axis=1), sizes[i], sizes[other])]
+        if self.meet:
+            other = other[self.own[other] != self.own[i]]
+        shared = (self.sketches[other] == self.sketches[i]).sum(axis=1)
+        other = other[_likely(shared, self.sizes[i], self.sizes[other])]
         if len(other):
-            shared = (lists[other][:, :, None] == lists[i][None, None, :]).any(axis=2)
-            other = other[lists[other, shared.argmax(axis=1)] == path]
-            yield from _pairs(np.full(len(other), ids[i]), ids[other])
+            common = (self.lists[other][:, :, None] == self.lists[i][None, None, :]).any(axis=2)
+            other = other[self.lists[other, common.argmax(axis=1)] == self.path]
+        return other
+
+
+def _crossing(table: pa.Table) -> Iterator[pa.RecordBatch]:
+    """Those documents of a group that are in some pair to be told: a row a document, not a pair."""
+    told = _Told(table)
+    needed = np.zeros(len(told.ids), dtype=bool)
+    for i in range(len(told.ids) - 1):
+        other = told.after(i, told.labels)
+        needed[other] = True
+        needed[i] |= len(other) > 0
+    yield from table.select(MEMBER).filter(pa.array(needed)).combine_chunks().to_batches()
+
+
+def _joining(percent: int) -> Callable:
+    """Links that join what is still apart: the group's pairs to be told are held against the full shingle
+    sets one document at a time, and documents that a link has joined are not compared again."""
+    sets = _Sets()
+
+    def work(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        told = _Told(table)
+        part, cross = table["part"].to_numpy(), table["part_a"][0].as_py() != table["part_b"][0].as_py()
+        numbers, held = np.unique(np.concatenate(found := [sets.of(t.as_py()) for t in table["text"]]), return_inverse=True)
+        ends = np.cumsum([len(x) for x in found])
+        labels, marked = told.labels.copy(), np.zeros(len(numbers), dtype=bool)
+        links: list[tuple[int, int]] = []
+        for i in range(len(told.ids) - 1):
+            other = told.after(i, labels)
+            if cross:
+                other = other[part[other] != part[i]]
+            if not len(other):
+                continue
+            own = held[ends[i] - len(found[i]):ends[i]]
+            marked[own] = True
+            for j in other.tolist():
+                if labels[j] != labels[i]:
+                    shared = int(marked[held[ends[j] - len(found[j]):ends[j]]].sum())
+                    if shared and 100 * shared >= percent * (len(found[i]) + len(found[j]) - shared):
+                        links.append((i, j))
+                        labels[labels == labels[j]] = labels[i]
+            marked[own] = False
+        at = np.array(links, dtype=np.int64).reshape(-1, 2)
+        yield from _pairs(told.ids[at[:, 0]], told.ids[at[:, 1]])
+    return work
+
+
+def joining_links(involved: DataFrame, docs: DataFrame, key: str, text: str, percent: int) -> DataFrame:
+    """(a, b): confirmed links inside the groups of ``involved`` (staged rows of ``MEMBER``) that join
+    documents of different labels. A document's text goes once to each group that needs it; a group of many
+    shingles is dealt into parts, every two of which meet, so that a task holds ``PART_SHINGLES`` twice."""
+    parts = involved.groupBy(*GROUP).agg(F.ceil(F.sum("n_shingles") / PART_SHINGLES).cast("int").alias("__parts"))
+    rows = (involved.join(parts, GROUP).withColumn("part", F.pmod(F.xxhash64("rep", F.lit(5)), F.col("__parts")).cast("int"))
+                    .withColumn("__other", F.explode(F.sequence(F.lit(0), F.col("__parts") - 1)))
+                    .withColumns({"part_a": F.least("part", "__other"), "part_b": F.greatest("part", "__other")})
+                    .drop("__parts", "__other"))
+    texts = present(docs.select(F.col(key).cast("long").alias("rep"), F.col(text).alias("text"))
+                        .where("rep is not null and text is not null"), involved.select("rep"))
+    return by_group(rows.join(texts.hint("merge"), "rep"), [*GROUP, "part_a", "part_b"], _joining(percent),
+                    "a long, b long").distinct()
 
 
 def in_blocks(members: DataFrame, leaf: int) -> DataFrame:
@@ -270,11 +339,15 @@ def in_blocks(members: DataFrame, leaf: int) -> DataFrame:
                            F.greatest("own", "__other").alias("second"), "own", "rep"))
 
 
+def by_group(rows: DataFrame, keys: list[str], work: Callable, schema: str) -> DataFrame:
+    """What ``work`` makes of each group of ``rows`` with equal ``keys``."""
+    return (rows.repartition(shuffle_width(rows.sparkSession), *keys).sortWithinPartitions(*keys, "rep")
+                .mapInArrow(_by_group(work, keys), schema))
+
+
 def compare_groups(groups: DataFrame, work: Callable) -> DataFrame:
     """Distinct pairs (a, b) that ``work`` finds inside (path, first, second)."""
-    keys = ["path", "first", "second"]
-    return (groups.repartition(shuffle_width(groups.sparkSession), *keys).sortWithinPartitions(*keys, "rep")
-                  .mapInArrow(_by_group(work, keys), "a long, b long").distinct())
+    return by_group(groups, GROUP, work, "a long, b long").distinct()
 
 
 def present(rows: DataFrame, ids: DataFrame) -> DataFrame:
@@ -393,16 +466,18 @@ def linked_components(reps: DataFrame, docs: DataFrame, key: str, text: str, per
     likely = staged(likely if edges is None else likely.unionByName(edges).distinct(), "dedup-likely")
     labels = staged(components(confirmed(likely, docs, key, text, percent)), "dedup-labels")
     # Second round: nodes whose documents are still apart although some pair of them is likely.
-    keys = ["path", "first", "second"]
     labelled = (everything.join(labels, everything["rep"] == labels["node"], "left")
-                          .select(*keys, "own", "rep", F.coalesce("label", "rep").alias("label")))
+                          .select(*GROUP, "own", "rep", F.coalesce("label", "rep").alias("label")))
     # At most trees * levels selected paths a document.
     paths = everything.groupBy("rep").agg(F.sort_array(F.collect_set("path")).alias("paths"))
-    apart = (labelled.groupBy(*keys).agg(F.min("label").alias("__l"), F.max("label").alias("__h"))
-                     .where("__l <> __h").select(*keys))
-    rest = compare_groups(labelled.join(apart, keys).join(paths, "rep").join(sketches, "rep"), _crossing)
-    rest = staged(rest.join(likely, ["a", "b"], "left_anti"), "dedup-rest")
-    more = staged(confirmed(rest, docs, key, text, percent), "dedup-links")
+    apart = (labelled.groupBy(*GROUP).agg(F.min("label").alias("__l"), F.max("label").alias("__h"))
+                     .where("__l <> __h").select(*GROUP))
+    rows = labelled.join(apart, GROUP).join(paths, "rep").join(sketches, "rep").select(*MEMBER)
+    involved = staged(by_group(rows, GROUP, _crossing, ", ".join(
+        f"{c} {rows.schema[c].dataType.simpleString()}" for c in MEMBER)), "dedup-involved")
+    if involved.isEmpty():
+        return labels
+    more = staged(joining_links(involved, docs, key, text, percent), "dedup-links")
     if more.isEmpty():
         return labels
     # The links found late join whole components: contract the graph to their labels.
@@ -429,7 +504,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     labels = linked_components(classes.select("rep", "n_shingles", "tokens", "sketch"), docs, key, text, percent, trees)
     per_class = (classes.select("set_key", "rep").join(labels, F.col("rep") == F.col("node"), "left")
                         .select("set_key", F.coalesce("label", "rep").alias("component_id")))
-    out = rows.select(key, "n_shingles", "set_key").join(per_class, "set_key", "left")
+    shown = rows.select(key, "n_shingles", "set_key")
+    # Rows without shingles have no class: they stay out of the join, where they would all be one key.
+    out = shown.where("set_key is not null").join(per_class, "set_key", "left").unionByName(
+        shown.where("set_key is null").withColumn("component_id", F.lit(None).cast("long")))
     own = F.col(key).cast("long")
     out = out.withColumn("component_id", F.when(own.isNull(), F.lit(None)).otherwise(F.coalesce("component_id", own)))
     return out.select(key, "n_shingles", "set_key", "component_id", (own == F.col("component_id")).alias("kept"))

@@ -155,6 +155,23 @@ ORACLE: dict[str, str] = {
                CAST(sum(shown + CASE WHEN before IS NOT DISTINCT FROM role THEN 11
                                      ELSE 12 + shown_role + 10 + 11 END) AS BIGINT) AS formatted_chars
         FROM marked GROUP BY conv_id""",
+    "op8_near_dedup": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x20\x09-\x0D]+') AS w FROM documents),
+        sets AS (
+            SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_distinct(
+                list_transform(range(1, len(w) - 3), lambda i: array_to_string(list_slice(w, i, i + 4), ' '))) END AS s
+            FROM words),
+        single AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+        links AS (
+            SELECT a.doc_id AS x, b.doc_id AS y FROM single a JOIN single b USING (shingle) WHERE a.doc_id <> b.doc_id
+            GROUP BY 1, 2, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))),
+        reach AS (SELECT doc_id, doc_id AS root FROM sets
+                  UNION SELECT y, root FROM reach JOIN links ON x = doc_id)
+        SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, min(root) AS component_id, doc_id = min(root) AS kept
+        FROM sets JOIN reach USING (doc_id) GROUP BY doc_id, s""",
     "op9_top_k": """
         WITH good AS (
             SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v

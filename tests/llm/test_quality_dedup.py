@@ -102,6 +102,38 @@ def test_large_nodes_recurse_and_meet_in_blocks(spark):
     assert {d: labels.get(d, d) for d in texts} == {d: c for d, (_, c) in brute_components(texts).items()}
 
 
+def test_a_group_of_almost_similar_documents_makes_no_pair_rows(spark):
+    """Texts that pass the sketch's cutoff but not the threshold: the second round confirms them inside a task."""
+    common = [f"w{i}" for i in range(60)]
+    texts = {i: " ".join(common + [f"x{i}_{j}" for j in range(20)]) for i in range(120)}      # 0.56 to each other
+    texts |= {200 + i: " ".join(common + [f"y{j}" for j in range(14)] + [f"z{i}_{j}" for j in range(6)]) for i in range(40)}
+    got = {r.doc_id: r.component_id for r in dedup_cpsjoin.near_duplicates(frame(spark, texts)).collect()}
+    assert {d for d in range(120) if got[d] != d} == set()
+    assert {got[d] for d in texts if d >= 200} == {200}
+    df = frame(spark, texts)
+    rows = dedup_cpsjoin.staged(dedup_cpsjoin.class_rows(df, "doc_id", "text"), "t-rows")
+    members = rows.select(F.lit(1).cast("long").alias("path"), F.lit(0).alias("first"), F.lit(0).alias("second"), F.lit(0).alias("own"),
+                          F.col("doc_id").alias("rep"), F.col("doc_id").alias("label"), "n_shingles", "sketch",
+                          F.array(F.lit(1).cast("long")).alias("paths"))
+    for part_shingles in (10 ** 6, 900):
+        links = joining(members, df, part_shingles)
+        assert all(a >= 200 for a, _ in links)
+        roots = {d: d for d in texts}
+        for a, b in links:
+            roots = {d: (roots[a] if r == roots[b] else r) for d, r in roots.items()}
+        assert len({roots[d] for d in texts if d >= 200}) == 1
+        if part_shingles == 10 ** 6:
+            assert len(links) == 39                     # a forest, not pairs
+
+
+def joining(members, df, part_shingles):
+    before, dedup_cpsjoin.PART_SHINGLES = dedup_cpsjoin.PART_SHINGLES, part_shingles
+    try:
+        return [tuple(r) for r in dedup_cpsjoin.joining_links(members, df, "doc_id", "text", 75).collect()]
+    finally:
+        dedup_cpsjoin.PART_SHINGLES = before
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 200), (300, 301), (301, 300)]
     df = spark.createDataFrame(edges, "a long, b long")
