@@ -14,9 +14,10 @@ their exact Euclidean distance on the original vectors, leaf by leaf, and the
 best of each leaf are merged. Leaves above ``BLOCK_ROWS`` rows (copies of one
 vector cannot be split) are dealt into blocks; a query visits all of them.
 
-The budget is a share of the table, ``SHARE``, but at least ``LEAST`` rows: a
-smaller table is searched whole and the result is then exact. Recall against
-brute force is measured in the tests and given in the README.
+The budget is ``SHARE`` times the rows of the table and no less than ``LEAST``
+rows, one rule at every size; a table of less than ``LEAST / TREES`` rows is
+thereby searched whole. Recall against brute force is measured in the tests and
+given in the README. A leaf's rows and its visitors meet in blocks of bounded size.
 
 Defined cases: vectors that are null, have no component, hold null or
 non-finite components or are all zero take no part; only vectors of one length
@@ -44,6 +45,7 @@ TREES = 6
 LEAVES = 128              # leaves of a tree, about
 LEAST_IN_LEAF = 8         # sampled vectors a leaf is fitted on at least
 BLOCK_ROWS = 65_536
+BLOCK_VISITORS = 4096     # queries that meet one block of rows
 SHARE = 1.2               # rows that a query's leaves hold, all trees together, over the rows of the table
 LEAST = 4096
 SEED = 11
@@ -139,16 +141,18 @@ def _vectors(column: pa.Array) -> np.ndarray:
 
 
 def file_vectors(vectors: DataFrame, forest: list[Tree]) -> DataFrame:
-    """(tree, leaf, id, vector): every vector in its leaf of every tree."""
+    """(tree, leaf, row, id, vector): every vector in its leaf of every tree."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = _vectors(batch.column("vector"))
             for t, tree in enumerate(forest if batch.num_rows else []):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(values), t, dtype=np.int32)), pa.array(tree.leaf_of(values).astype(np.int32)),
-                     batch.column("id"), batch.column("vector")], names=["tree", "leaf", "id", "vector"])
+                     batch.column("row"), batch.column("id"), batch.column("vector")],
+                    names=["tree", "leaf", "row", "id", "vector"])
 
-    return vectors.select("id", "vector").mapInArrow(run, "tree int, leaf int, id long, vector array<double>")
+    return vectors.select("row", "id", "vector").mapInArrow(
+        run, "tree int, leaf int, row long, id long, vector array<double>")
 
 
 def visits(queries: DataFrame, forest: list[Tree], sizes: list[np.ndarray], budget: int) -> DataFrame:
@@ -173,11 +177,12 @@ def visits(queries: DataFrame, forest: list[Tree], sizes: list[np.ndarray], budg
 def _rerank(k: int):
     """Exact distances of a leaf block's rows to its visitors; the k best of each."""
     def run(filed: pa.Table, visitors: pa.Table) -> pa.Table:
-        out: list[list[np.ndarray]] = [[], [], []]
+        out: list[list[np.ndarray]] = [[], [], [], []]
         if filed.num_rows and visitors.num_rows:
             ids = filed["id"].to_numpy()
             order = np.argsort(ids, kind="stable")
-            ids, rows = ids[order], _vectors(filed["vector"].combine_chunks())[order]
+            ids, numbers = ids[order], filed["row"].to_numpy()[order]
+            rows = _vectors(filed["vector"].combine_chunks())[order]
             asked = _vectors(visitors["query"].combine_chunks())
             for query_id, query in zip(visitors["query_id"].to_numpy(), asked):
                 distance = np.sqrt(((rows - query) ** 2).sum(axis=1))
@@ -187,8 +192,9 @@ def _rerank(k: int):
                 out[0].append(np.full(len(best), query_id))
                 out[1].append(ids[best])
                 out[2].append(distance[best])
+                out[3].append(numbers[best])
         return pa.table({name: pa.array(np.concatenate(x) if x else [], kind) for name, x, kind in
-                         zip(("query_id", "id", "score"), out, (pa.int64(), pa.int64(), pa.float64()))})
+                         zip(("query_id", "id", "score", "row"), out, (pa.int64(), pa.int64(), pa.float64(), pa.int64()))})
     return run
 
 
@@ -202,32 +208,38 @@ def _of_one_length(queries: DataFrame, vectors: DataFrame, k: int, total: int, t
     sizes = [np.zeros(max(1, t.leaves), dtype=np.int64) for t in forest]
     for r in counts.collect():
         sizes[r["tree"]][r["leaf"]] = r["rows"]
-    budget = trees * total if total <= least else max(least, int(share * total))
+    budget = max(least, int(share * total))
     opened = staged(visits(queries, forest, sizes, budget), "ann-visits")
-    blocks = counts.withColumn("blocks", F.ceil(F.col("rows") / BLOCK_ROWS).cast("int")).select("tree", "leaf", "blocks")
+    # A leaf's rows and its visitors are both dealt into blocks, so no group grows with the table or the queries.
+    visitors = opened.groupBy("tree", "leaf").agg(F.ceil(F.count(F.lit(1)) / BLOCK_VISITORS).cast("int").alias("parts"))
+    blocks = (counts.withColumn("blocks", F.ceil(F.col("rows") / BLOCK_ROWS).cast("int")).join(visitors, ["tree", "leaf"])
+                    .select("tree", "leaf", "blocks", "parts"))
     left = (filed.join(blocks, ["tree", "leaf"])
-                 .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).drop("blocks"))
+                 .withColumn("block", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int"))
+                 .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("blocks", "parts"))
     right = (opened.join(blocks, ["tree", "leaf"])
-                   .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks"))
-    keys = ["tree", "leaf", "block"]
+                   .withColumn("part", F.pmod(F.xxhash64("query_id", F.lit(7)), F.col("parts")).cast("int"))
+                   .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks", "parts"))
+    keys = ["tree", "leaf", "block", "part"]
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
-        _rerank(k), "query_id long, id long, score double")
+        _rerank(k), "query_id long, id long, score double, row long")
 
 
 def nearest(queries: DataFrame, vectors: DataFrame, k: int, trees: int = TREES, share: float = SHARE,
             least: int = LEAST) -> DataFrame:
     """(query_id, rank, id, score): the k nearest rows found for each query.
     Both frames hold (id long, vector array<double>), limited to searchable vectors."""
-    vectors = staged(vectors.withColumn("dims", F.size("vector")), "ann-vectors")
+    vectors = staged(vectors.select("id", "vector").withColumns(
+        {"dims": F.size("vector"), "row": F.monotonically_increasing_id()}), "ann-vectors")
     found = None
     for r in vectors.groupBy("dims").count().orderBy("dims").toLocalIterator():
         one = _of_one_length(queries.where(F.size("vector") == r["dims"]),
-                             vectors.where(F.col("dims") == r["dims"]).select("id", "vector"), k, r["count"],
+                             vectors.where(F.col("dims") == r["dims"]).select("row", "id", "vector"), k, r["count"],
                              trees, share, least)
         found = one if found is None else found.unionByName(one)
     if found is None:
         return vectors.select(F.col("id").alias("query_id"), F.lit(0).alias("rank"), "id", F.lit(0.0).alias("score"))
-    # A row met in several trees counts once; rows repeated under one id were equal only if their scores are.
-    best = Window.partitionBy("query_id").orderBy("score", "id")
+    # A row met in several trees counts once; rows repeated under one id are candidates each.
+    best = Window.partitionBy("query_id").orderBy("score", "id", "row")
     return (found.distinct().withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
                  .select("query_id", "rank", "id", "score"))

@@ -105,20 +105,30 @@ def test_ann_query_is_exact_on_a_small_table(spark):
         assert [s for _, s in found] == pytest.approx(d[best].tolist(), rel=1e-12)
 
 
-def test_ann_recall_with_a_partial_budget(spark):
-    rows = spark.read.parquet("/root/testdata/check_s/embeddings.parquet")
-    df = rows.select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vector"))
-    local = rows.toPandas()
+def test_ann_recall_with_the_query_settings(spark):
+    """All queries of the given table, production settings; the budget opens a part of the leaves here."""
+    sf = "/root/testdata/sf0.1"
+    local = spark.read.parquet(f"{sf}/embeddings.parquet").toPandas()
     ids, x = local.vec_id.to_numpy(), np.stack(local.embedding.to_numpy()).astype("float64")
-    got = as_lists(ann_rpforest.nearest(df.where("id % 400 = 0"), df, 10).collect())
+    assert max(ann_rpforest.LEAST, ann_rpforest.SHARE * len(ids)) < ann_rpforest.TREES * len(ids)
+    got = as_lists(queries.op6_ann(spark, sf).collect(), "vec_id")
+    assert set(got) == {int(i) for i in ids if i % 100 == 0}
     hits = total = 0
     for q, found in got.items():
-        best, _ = brute_near(ids, x, int(np.flatnonzero(ids == q)[0]), 10)
+        best, d = brute_near(ids, x, int(np.flatnonzero(ids == q)[0]), 10)
         hits += len({i for i, _ in found} & set(ids[best].tolist()))
         total += len(best)
+        assert all(s == pytest.approx(d[np.flatnonzero(ids == i)[0]], rel=1e-12) for i, s in found)
     assert hits / total >= 0.9
 
 
+def test_ann_repeated_rows_are_candidates_each(spark):
+    rows = [(0, [0.0, 1.0]), (1, [0.0, 2.0]), (1, [0.0, 2.0]), (1, [5.0, 2.0]), (2, [0.0, 9.0])]
+    got = as_lists(ann_rpforest.nearest(spark.createDataFrame(rows, ROWS).where("id = 0"),
+                                        spark.createDataFrame(rows, ROWS), 3).collect())
+    assert got[0][:2] == [(1, 1.0), (1, 1.0)] and got[0][2][0] == 1
+
+
 def test_ann_leaves_do_not_grow_with_the_sample():
     rng = np.random.default_rng(3)
     for n in (2_000, 16_384):
