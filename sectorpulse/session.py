@@ -21,6 +21,17 @@ SESSION_DEFAULTS = {
 }
 
 
+def driver_heap(share: float = 0.4, least_gb: int = 2, most_gb: int = 12) -> str:
+    """Heap of a local driver by the memory that this process may use: Python workers need the rest."""
+    room = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    for limit in ("/sys/fs/cgroup/memory.max", "/sys/fs/cgroup/memory/memory.limit_in_bytes"):
+        if os.path.exists(limit):
+            with open(limit) as f:
+                text = f.read().strip()
+            room = min(room, int(text)) if text.isdigit() else room
+    return f"{max(least_gb, min(most_gb, int(room * share) >> 30))}g"
+
+
 def build_session(master: str | None = None, app: str = "sectorpulse",
                   shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
     """Local/test session. On a cluster the launcher owns the session and
@@ -32,7 +43,7 @@ def build_session(master: str | None = None, app: str = "sectorpulse",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
-        "spark.driver.memory": "16g",
+        "spark.driver.memory": driver_heap(),
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         **SESSION_DEFAULTS,
         **(extra or {}),
