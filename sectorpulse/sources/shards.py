@@ -31,3 +31,21 @@ def union_shards(spark: SparkSession, paths: str | Sequence[str], fmt: str = "pa
 def shard_counts(df: DataFrame, shard_col: str = "shard_nome") -> DataFrame:
     """Rows per shard and the total (``shard`` NULL), one aggregate."""
     return df.rollup(shard_col).agg(F.count(F.lit(1)).alias("linhas"))
+
+
+def keep_first_record(rows: DataFrame, key: Sequence[str]) -> DataFrame:
+    """A5/C7 over numbered text records: of the rows of a key the first in (file, record number) order, kept by
+    an aggregate that combines map-side."""
+    rest = [c for c in rows.columns if c not in key]
+    first = F.min_by(F.struct(*rest), F.struct("arquivo", "linha"))
+    return (rows.groupBy(*key).agg(first.alias("__r"))
+                .select(*key, *[F.col(f"__r.{c}").alias(c) for c in rest]))
+
+
+def record_counts(rows: DataFrame, shard_col: str = "shard") -> DataFrame:
+    """Records read, accepted and rejected by reason, per shard and in all (shard NULL)."""
+    reason = F.col("motivo")
+    return rows.rollup(shard_col).agg(
+        F.count(F.lit(1)).alias("lidos"), F.count_if(reason.isNull()).alias("aceitos"),
+        F.count_if(reason == "campos a menos").alias("curtos"), F.count_if(reason == "campos a mais").alias("longos"),
+        F.count_if(reason == "ilegivel").alias("ilegiveis"))

@@ -1,14 +1,15 @@
 """One-member zip archives of ';' text as a table.
 
-Spark reads no ``.zip``, and an archive is not splittable, so this is a
-Python data source with one input partition per archive: each task streams
-its member through a decoder and a CSV parser and yields Arrow batches;
-nothing is extracted to disk and nothing passes through the driver but
-the list of archive names. Rows carry the archive (``shard``) and the
-record number inside it (``linha``), the file order keep-first needs (C7).
-
-Archives must be readable by the executors at the given path (a shared
-file system); repartition after the scan, as each archive is one task.
+Spark reads no ``.zip``. A task only unpacks: it streams the member of its
+archive and hands on blocks of about ``BLOCK_BYTES`` that end at a line end, which
+are written to the shared folder once. From there on nothing depends on the
+archive: the blocks are the ranges of ``records``, so any number of tasks parse
+one archive, decode it in the JVM, number its records (C7) and tell malformed
+ones (C17), as for plain text.
+
+An archive on a path that the executors see as a file is streamed; one in a
+store that only Spark reads comes as a ``binaryFile`` value, which Spark limits to
+2 GB. An archive is unpacked by one task: its format has no index by position.
 """
 
 from __future__ import annotations
@@ -17,25 +18,19 @@ import csv
 import glob
 import io
 import os
+import re
 import zipfile
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql import functions as F
 
-FORMAT = "sectorpulse_zip"
-BATCH_ROWS = 8192
+from ..session import local_dir, scratch_path
+from .records import block_records, parse
 
-
-class ArchivePartition(InputPartition):
-    def __init__(self, path: str):
-        super().__init__(path)
-        self.path = path
-
-
-def _layout(options) -> list[str]:
-    return [c for c in options["layout"].split(",") if c]
+BLOCK_BYTES = 1 << 20
+BLOCKS = "arquivo string, inicio long, valor binary"
 
 
 def list_archives(pattern: str) -> list[str]:
@@ -49,82 +44,53 @@ def list_archives(pattern: str) -> list[str]:
     return paths
 
 
-class ZipTextReader(DataSourceReader):
-    def __init__(self, options, schema):
-        self.options = options
-        self.layout = _layout(options)
-        self.encoding = options.get("encoding", "ISO-8859-1")
-        self.sep = options.get("sep", ";")
-        self.strict = options.get("mode", "PERMISSIVE").upper() == "FAILFAST"
-
-    def partitions(self):
-        return [ArchivePartition(p) for p in list_archives(self.options["path"])]
-
-    def read(self, partition) -> Iterator[pa.RecordBatch]:
-        csv.field_size_limit(2 ** 31 - 1)  # a field may be as long as its record
-        width = len(self.layout)
-        names = [*self.layout, "shard", "linha"]
-        shard = os.path.basename(partition.path)
-        with zipfile.ZipFile(partition.path) as zf:
-            member = zf.namelist()[0]
-            with zf.open(member) as raw:
-                # newline='' keeps quoted line breaks; the parser accepts
-                # CR, LF and CRLF record ends.
-                text = io.TextIOWrapper(raw, encoding=self.encoding, newline="")
-                rows = csv.reader(text, delimiter=self.sep, quotechar='"', doublequote=True, strict=False)
-                cols = [[] for _ in range(width)]
-                lines: list[int] = []
-                for n, rec in enumerate(rows):
-                    if not rec:
-                        continue
-                    if self.strict and len(rec) != width:
-                        raise ValueError(f"{shard} record {n}: {len(rec)} fields, {width} expected")
-                    for i in range(width):
-                        v = rec[i] if i < len(rec) else None
-                        cols[i].append(v if v != "" else None)  # empty -> NULL (C8)
-                    lines.append(n)
-                    if len(lines) >= BATCH_ROWS:
-                        yield self._batch(names, cols, shard, lines)
-                        cols = [[] for _ in range(width)]
-                        lines = []
-                if lines:
-                    yield self._batch(names, cols, shard, lines)
-
-    @staticmethod
-    def _batch(names, cols, shard, lines) -> pa.RecordBatch:
-        arrays = [pa.array(c, pa.string()) for c in cols]
-        arrays.append(pa.array([shard] * len(lines), pa.string()))
-        arrays.append(pa.array(lines, pa.int64()))
-        return pa.RecordBatch.from_arrays(arrays, names=names)
-
-
-class ZipTextDataSource(DataSource):
-    """Options: ``path`` (archive, folder or glob), ``layout`` (comma
-    separated column names), ``encoding`` (ISO-8859-1), ``sep`` (';'), ``mode``
-    (FAILFAST refuses records with another number of fields)."""
-
-    @classmethod
-    def name(cls) -> str:
-        return FORMAT
-
-    def schema(self) -> str:
-        return ", ".join([*(f"`{c}` string" for c in _layout(self.options)), "shard string", "linha bigint"])
-
-    def reader(self, schema) -> DataSourceReader:
-        return ZipTextReader(self.options, schema)
-
-
-def register(spark: SparkSession) -> None:
-    spark.dataSource.register(ZipTextDataSource)
-
-
-def scan_zip(spark: SparkSession, path: str, layout: Sequence[str],
-             encoding: str = "ISO-8859-1", sep: str = ";") -> DataFrame:
-    """S3: the archives at ``path`` as one DataFrame (all columns STRING,
-    plus ``shard`` and ``linha``)."""
-    register(spark)
-    return (spark.read.format(FORMAT).option("path", path).option("layout", ",".join(layout))
-                 .option("encoding", encoding).option("sep", sep).load())
+def _member_blocks(name: str, archive) -> Iterator[pa.RecordBatch]:
+    """Blocks of the first member, cut behind the last line end inside each."""
+    with zipfile.ZipFile(archive) as zf, zf.open(zf.namelist()[0]) as raw:
+        held, at = b"", 0
+        while True:
+            some = raw.read(BLOCK_BYTES)
+            text = held + some
+            # A CR at the very end may be half of a CRLF: it waits for the next block.
+            end = len(text) if not some else max(text.rfind(b"\n"), text.rfind(b"\r", 0, len(text) - 1)) + 1
+            if end:
+                yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([at], pa.int64()),
+                                                  pa.array([text[:end]], pa.binary())], names=["arquivo", "inicio", "valor"])
+            held, at = text[end:], at + end
+            if not some:
+                return
+
+
+def unpacked(spark: SparkSession, path: str) -> DataFrame:
+    """(arquivo, inicio, valor) of the archives at ``path``: name, byte offset in the member, block."""
+    def streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for p in batch.column(0).to_pylist():
+                yield from _member_blocks(os.path.basename(p), p)
+
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for p, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+                yield from _member_blocks(p.rsplit("/", 1)[-1], io.BytesIO(content.as_py()))
+
+    if re.match(r"(?!file:)\w[\w+.-]*:", path):
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path).select("path", "content")
+        return files.mapInArrow(held, BLOCKS)
+    paths = list_archives(local_dir(path))
+    names = spark.createDataFrame([(p, i) for i, p in enumerate(paths)], "path string, i int")
+    return names.repartitionByRange(len(paths), "i").select("path").mapInArrow(streamed, BLOCKS)
+
+
+def scan_zip(spark: SparkSession, path: str, layout: Sequence[str], encoding: str = "ISO-8859-1", sep: str = ";",
+             strict: bool = False, keep_corrupt: bool = False) -> DataFrame:
+    """S3: the archives at ``path`` as one DataFrame: all columns STRING, ``shard`` (the archive) and
+    ``linha`` (the record's number in it); malformed records as in ``records.parse``."""
+    staged = scratch_path(spark, "zip-blocks")
+    # Uncompressed, so that a split of the blocks is as large in memory as on disk.
+    unpacked(spark, path).write.option("compression", "uncompressed").option(
+        "parquet.block.size", 32 * BLOCK_BYTES).parquet(staged)
+    blocks = spark.read.schema(BLOCKS).parquet(staged)
+    return parse(block_records(blocks, encoding), layout, sep, strict, keep_corrupt).withColumnRenamed("arquivo", "shard")
 
 
 def write_zip_shards(df: DataFrame, folder: str, prefix: str, shards: int,

@@ -5,7 +5,7 @@ import zipfile
 
 from sectorpulse.session import local_dir
 from sectorpulse.sources.delimited import scan_delimited
-from sectorpulse.sources.zipsource import list_archives, scan_zip
+from sectorpulse.sources.zipsource import list_archives, scan_zip, unpacked
 
 LAYOUT = ("codigo", "nome", "extra")
 # leading zeros, accented name, doubled quote with separator, empty quoted and
@@ -44,7 +44,7 @@ def test_scan_zip_fixture_and_order(spark, tmp_dir):
     got = [tuple(r) for r in df.orderBy("shard", "linha").collect()]
     assert [g[:3] for g in got] == WANT + [("0009", "b", "c")]
     assert [(g[3], g[4]) for g in got][:2] == [("Shard0.zip", 0), ("Shard0.zip", 1)]
-    assert df.rdd.getNumPartitions() == 2  # one task per archive
+    assert unpacked(spark, d).rdd.getNumPartitions() == 2  # one unpacking task per archive
 
 
 def test_list_archives_errors_when_empty(tmp_dir):

@@ -49,7 +49,7 @@ def test_upsert_without_order_keeps_one_row_per_key(spark):
 def test_missing_marker_of_a_written_table_raises(spark, tmp_dir):
     schema = spark.createDataFrame([("a", 1)], "k string, v int").schema
     assert W.read_current(spark, tmp_dir, "t", schema).count() == 0          # never written
-    W.counted_write(spark.createDataFrame([("a", 1)], schema), f"{tmp_dir}/t/v1")
+    W._save(spark, tmp_dir, "t", spark.createDataFrame([("a", 1)], schema))
     with pytest.raises(FileNotFoundError):                                   # written, but not switched to
         W.read_current(spark, tmp_dir, "t", schema)
 
@@ -57,24 +57,21 @@ def test_missing_marker_of_a_written_table_raises(spark, tmp_dir):
 def test_a_stop_between_write_and_switch_keeps_the_old_version(spark, tmp_dir):
     first = spark.createDataFrame([("a", 1)], "k string, v int")
     W.refresh(spark, tmp_dir, {"t": first})
-    W.counted_write(first.limit(0), f"{tmp_dir}/t/{W._version()}")           # the job dies here
+    W._save(spark, tmp_dir, "t", first.limit(0))                             # the job dies here
     assert W.read_current(spark, tmp_dir, "t").count() == 1
     W.refresh(spark, tmp_dir, {"t": first.union(first)})
     assert W.read_current(spark, tmp_dir, "t").count() == 2
 
 
 def test_zip_fields_of_any_length_and_strict_mode(spark, tmp_path):
-    from sectorpulse.sources.zipsource import ZipTextReader
+    from sectorpulse.sources.zipsource import scan_zip
 
     text = io.StringIO()
     csv.writer(text, delimiter=";", quoting=csv.QUOTE_ALL).writerows([["x" * 200_000, "b"], ["c"]])
     path = tmp_path / "a.zip"
     with zipfile.ZipFile(path, "w") as zf:
         zf.writestr("a.csv", text.getvalue().encode("latin-1"))
-    options = {"path": str(path), "layout": "p,q"}
-    reader = ZipTextReader(options, None)
-    rows = [r for b in reader.read(reader.partitions()[0]) for r in b.to_pylist()]
+    rows = scan_zip(spark, str(path), ("p", "q")).orderBy("linha").collect()
     assert [len(rows[0]["p"]), rows[1]["q"]] == [200_000, None]
-    strict = ZipTextReader({**options, "mode": "FAILFAST"}, None)
-    with pytest.raises(ValueError):
-        list(strict.read(strict.partitions()[0]))
+    with pytest.raises(Exception):
+        scan_zip(spark, str(path), ("p", "q"), strict=True).collect()
