@@ -28,51 +28,64 @@ def ascii_fold(ch: str) -> str:
 
 
 @lru_cache(maxsize=None)
-def _fold_table(first: int = 0x80, last: int = 0x17F) -> tuple[str, str, tuple[tuple[str, str], ...]]:
-    """Built from the rule above for every code point in [first, last]:
-    one-character results go to ``translate``, longer ones to ``replace``;
-    empty results are left to the non-ASCII filter."""
-    src, dst, multi = [], [], []
-    for cp in range(first, last + 1):
+def _fold_table() -> tuple[str, str, dict[str, str]]:
+    """Built from the rule above for every code point of Unicode: one-character results for
+    ``translate``, longer ones as a map; empty results are left to the non-ASCII filter."""
+    src, dst, multi = [], [], {}
+    for cp in range(0x80, 0x110000):
+        if 0xD800 <= cp < 0xE000:                       # surrogates are no characters
+            continue
         ch = chr(cp)
         out = ascii_fold(ch)
         if len(out) == 1:
             src.append(ch)
             dst.append(out)
-        elif len(out) > 1:
-            multi.append((ch, out))
-    return "".join(src), "".join(dst), tuple(multi)
+        elif out:
+            multi[ch] = out
+    return "".join(src), "".join(dst), multi
+
+
+def _ranges(chars: str) -> str:
+    """A regular-expression class of these characters, neighbours as ranges."""
+    points, out = sorted(map(ord, chars)), []
+    for cp in points:
+        if out and out[-1][1] == cp - 1:
+            out[-1][1] = cp
+        else:
+            out.append([cp, cp])
+    return "[" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in out) + "]"
 
 
 def normalize_name(c) -> Column:
-    """NFKD, drop non-ASCII, strip, upper -- as JVM expressions.
+    """NFKD, drop non-ASCII, strip, upper -- as JVM expressions, for all of Unicode.
 
-    Exact for every input whose characters lie in U+0000..U+017F (Latin-1,
-    the registry's encoding, plus Latin Extended-A). Other scripts need
-    :func:`normalize_name_udf`.
-    """
+    A compatibility decomposition works character by character, and reordering moves marks only, which
+    are dropped, so a map over code points is exact. Characters with one ASCII character go through
+    ``translate`` (a hash lookup); the few with more (ligatures, fractions, units) are looked up in a literal
+    map, and only in texts that hold one of them."""
     src, dst, multi = _fold_table()
-    x = F.translate(as_col(c), src, dst)
-    for ch, out in multi:
-        x = F.replace(x, F.lit(ch), F.lit(out))
-    x = F.regexp_replace(x, r"[^\x00-\x7F]", "")
+    x = as_col(c)
+    table = F.create_map(*[F.lit(v) for pair in multi.items() for v in pair])
+    spelled = F.array_join(F.transform(F.split(x, ""), lambda ch: F.coalesce(F.try_element_at(table, ch), ch)), "")
+    x = F.when(x.rlike(_ranges("".join(multi))), spelled).otherwise(x)
+    x = F.regexp_replace(F.translate(x, src, dst), r"[^\x00-\x7F]", "")
     return F.upper(F.btrim(x, F.lit(ASCII_WHITESPACE)))
 
 
-def _normalize_py(v):
-    if v is None:
-        return None
-    return ascii_fold(v).strip().upper()
-
-
 @F.pandas_udf(T.StringType())
 def _normalize_name_pandas(s: pd.Series) -> pd.Series:
-    return s.map(_normalize_py, na_action="ignore")
+    """One decomposition for the whole batch: its texts are joined by U+0000, which no
+    decomposition makes or takes; texts that hold it go in a batch of their own."""
+    known = s.dropna()
+    odd = known[known.str.contains("\x00", regex=False)].map(ascii_fold)
+    plain = known.drop(odd.index)
+    folded = ascii_fold("\x00".join(plain)).split("\x00") if len(plain) else []
+    out = pd.concat([pd.Series(folded, index=plain.index, dtype=object), odd])
+    return out.str.strip().str.upper().reindex(s.index)
 
 
 def normalize_name_udf(c) -> Column:
-    """The same definition for any Unicode text, vectorised through
-    Arrow batches (slow path; prefer :func:`normalize_name`)."""
+    """The same definition as a Python function over Arrow batches (prefer :func:`normalize_name`)."""
     return _normalize_name_pandas(as_col(c))
 
 

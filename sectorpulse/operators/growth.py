@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..constants import (INSIGHT_SIZE, RANKING_MIN_OPENINGS, RANKING_SIZE,
                          STATUS_ACTIVE, TRAILING_ROWS)
 from ..functions.growth_math import hundredths_to_pct, variation_hundredths
+from ..session import staged
 from .embed import embed_left
 
 CELL = ("cnae_codigo", "codigo_municipio")
@@ -74,6 +75,9 @@ def growth_ranking(stats: DataFrame, sectors: DataFrame | None = None,
     top = (stats.where(F.col("variacao_pct").isNotNull()
                        & (F.col("total_aberturas") >= min_openings))
                 .orderBy(*ranking_order()).limit(n))
+    if sectors is not None or municipalities is not None:
+        # Written once: the embeds read n rows and do not plan the ranking again.
+        top = staged(top, "ranking")
     # n rows at most: numbering them in one partition is harmless.
     ranked = top.withColumn("posicao", F.row_number().over(Window.orderBy(*ranking_order())))
     if sectors is not None:
@@ -88,13 +92,47 @@ def latest_month_top(stats: DataFrame, sectors: DataFrame, municipalities: DataF
                      n: int = INSIGHT_SIZE) -> DataFrame:
     """Top ``n`` variations of the latest month, with sector
     description and municipality name (inner joins)."""
-    latest = stats.select(F.max("ano_mes")).scalar()
-    cells = stats.where((F.col("ano_mes") == latest) & F.col("variacao_pct").isNotNull())
-    joined = (cells.join(sectors.select(F.col("codigo").alias("cnae_codigo"), F.col("descricao").alias("setor")),
-                         "cnae_codigo")
-                   .join(municipalities.select("codigo_municipio", F.col("nome").alias("municipio")),
-                         "codigo_municipio"))
-    top = joined.orderBy(*ranking_order()).limit(n)
+    described = (stats.join(sectors.select(F.col("codigo").alias("cnae_codigo"), F.col("descricao").alias("setor"),
+                                           F.lit(True).alias("__s")), "cnae_codigo", "left")
+                      .join(municipalities.select("codigo_municipio", F.col("nome").alias("municipio"),
+                                                  F.lit(True).alias("__m")), "codigo_municipio", "left"))
+    shown = F.col("variacao_pct").isNotNull() & F.col("__s").isNotNull() & F.col("__m").isNotNull()
+    # The newest month's rows come first and its presentable ones before the others, so the first n rows
+    # tell the month and hold its top: the statistics are planned once.
+    newest = described.withColumn("__shown", shown).orderBy(
+        F.col("ano_mes").desc_nulls_last(), F.col("__shown").desc(), *ranking_order()).limit(n)
+    top = newest.withColumn("__latest", F.max("ano_mes").over(Window.partitionBy())).where(
+        F.col("__shown") & (F.col("ano_mes") == F.col("__latest")))
     return top.select(F.row_number().over(Window.orderBy(*ranking_order())).alias("posicao"),
                       "setor", "municipio", "total_aberturas", "variacao_pct",
                       "cnae_codigo", "codigo_municipio", "ano_mes")
+
+
+# ------------------------------------------------------------------ batch by batch
+
+STATE = "estado_crescimento"
+
+
+def carried(state: DataFrame | None, monthly: DataFrame, rows: int = TRAILING_ROWS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """V1/V2 of new months from the carried state: (statistics of the new months, new state, late rows).
+
+    ``state`` holds the last ``rows`` months with openings of each cell (C1: rows, not calendar months), all that
+    a later month's frame can reach, so old rows are never read again. ``monthly`` (staged: it is read for each
+    result) are the openings of the new months. A cell's row that is no later than the cell's state is late: its
+    statistics are closed, it is handed back and not counted."""
+    fresh = monthly.withColumn("__new", F.lit(True))
+    late = monthly.limit(0)
+    if state is not None:
+        closed = state.groupBy(*CELL).agg(F.max("ano_mes").alias("__closed"))
+        known = monthly.join(closed, [monthly[c].eqNullSafe(closed[c]) for c in CELL], "left").select(
+            monthly["*"], "__closed")
+        behind = F.coalesce(F.col("ano_mes") <= F.col("__closed"), F.lit(False))
+        late = known.where(behind).drop("__closed")
+        fresh = known.where(~behind).drop("__closed").withColumn("__new", F.lit(True)).unionByName(
+            state.withColumn("__new", F.lit(False)))
+    stats = trailing_mean(fresh, rows).where("__new").select(
+        *CELL, "ano_mes", "total_aberturas",
+        hundredths_to_pct(variation_hundredths("total_aberturas", "soma_janela", "n_janela")).alias("variacao_pct"))
+    newest = Window.partitionBy(*CELL).orderBy(F.col("ano_mes").desc())
+    kept = fresh.withColumn("__n", F.row_number().over(newest)).where(F.col("__n") <= rows).drop("__n", "__new")
+    return stats, kept, late

@@ -11,6 +11,7 @@ from ..constants import (EMPTY_MARK, ENRICHMENT_LIMIT, LEADS_PAGE, NOT_ENRICHED,
                          STATUS_ACTIVE)
 from ..functions.fmt import date_br, iso_date
 from ..functions.text import lead_search_text
+from ..session import staged
 from .embed import embed_left
 from .growth import ranking_order
 
@@ -56,10 +57,11 @@ def lead_ranking(establishments: DataFrame, companies: DataFrame, municipalities
     if best_month_only:
         stats = best_month(stats)
     cells = leads.groupBy(F.col("cnae_principal").alias("cnae_codigo"), "codigo_municipio").count()
-    top = (stats.join(cells.select("cnae_codigo", "codigo_municipio"),
-                      ["cnae_codigo", "codigo_municipio"], "left_semi")
-                .orderBy(*ranking_order()).limit(n)
-                .select("cnae_codigo", "codigo_municipio", "ano_mes", "variacao_pct"))
+    top = staged(stats.join(cells.select("cnae_codigo", "codigo_municipio"),
+                            ["cnae_codigo", "codigo_municipio"], "left_semi")
+                      .orderBy(*ranking_order()).limit(n)
+                      .select("cnae_codigo", "codigo_municipio", "ano_mes", "variacao_pct"), "cells")
+    top = F.broadcast(top)                     # n rows
     pairs = leads.join(top, (leads.cnae_principal == top.cnae_codigo)
                        & (leads.codigo_municipio == top.codigo_municipio))
     return (pairs.select("cnpj", "razao_social", "municipio", top.cnae_codigo, top.codigo_municipio,
@@ -74,12 +76,13 @@ def recent_leads(establishments: DataFrame, companies: DataFrame, sectors: DataF
     the four nullable embeds on those ``n`` rows only (limit before embeds).
     ``posicao`` is the row's place on the page, newest first."""
     newest = [F.col("data_inicio_atividade").desc_nulls_last(), F.col("cnpj").asc_nulls_last()]
-    top = (_active(establishments)
-           .select("cnpj", "cnpj_basico", "nome_fantasia", "data_inicio_atividade",
-                   "situacao_cadastral", "cnae_principal", "codigo_municipio")
-           .orderBy(*newest).limit(n)
-           # One page of at most n rows: numbering it in one task is bounded.
-           .withColumn("posicao", F.row_number().over(Window.orderBy(*newest))))
+    # Written once: each embed reads the page and does not plan the top-k again.
+    top = staged(_active(establishments)
+                 .select("cnpj", "cnpj_basico", "nome_fantasia", "data_inicio_atividade",
+                         "situacao_cadastral", "cnae_principal", "codigo_municipio")
+                 .orderBy(*newest).limit(n)
+                 # One page of at most n rows: numbering it in one task is bounded.
+                 .withColumn("posicao", F.row_number().over(Window.orderBy(*newest))), "page")
     out = embed_left(top, companies, {"cnpj_basico": "cnpj_basico"}, "empresas", ["razao_social", "porte"])
     out = embed_left(out, sectors, {"cnae_principal": "codigo"}, "cnaes", ["descricao"])
     out = embed_left(out, municipalities, {"codigo_municipio": "codigo_municipio"}, "municipios", ["nome"])
@@ -92,13 +95,29 @@ def recent_leads(establishments: DataFrame, companies: DataFrame, sectors: DataF
     return out
 
 
+def all_leads(establishments: DataFrame, companies: DataFrame, sectors: DataFrame, municipalities: DataFrame,
+              enrichment: DataFrame) -> DataFrame:
+    """Every active establishment with its four nullable embeds: as ``recent_leads`` for the whole table, so the
+    dimensions are joined as the planner chooses."""
+    out = _active(establishments).select("cnpj", "cnpj_basico", "nome_fantasia", "data_inicio_atividade",
+                                         "cnae_principal", "codigo_municipio")
+    for dim, own, key, name, fields in (
+            (companies, "cnpj_basico", "cnpj_basico", "empresas", ["razao_social"]),
+            (sectors, "cnae_principal", "codigo", "cnaes", ["descricao"]),
+            (municipalities, "codigo_municipio", "codigo_municipio", "municipios", ["nome"]),
+            (enrichment, "cnpj", "cnpj", "leads_enriquecidos", ["telefone_places"])):
+        side = dim.select(F.col(key).alias("__k"), F.struct(*fields).alias(name))
+        out = out.join(side, out[own] == side["__k"], "left").drop("__k")
+    return out
+
+
 DISPLAY_COLUMNS = ("empresa", "setor", "municipio", "aberta_em", "contato")
 
 
 def leads_display(leads: DataFrame) -> DataFrame:
     """The five displayed values with their fallbacks."""
     return leads.select(
-        "posicao", "cnpj", "data_inicio_atividade",
+        *[c for c in ("posicao",) if c in leads.columns], "cnpj", "data_inicio_atividade",
         F.coalesce(F.col("empresas.razao_social"), F.col("nome_fantasia"), F.lit(EMPTY_MARK)).alias("empresa"),
         F.coalesce(F.col("cnaes.descricao"), F.lit(EMPTY_MARK)).alias("setor"),
         F.coalesce(F.col("municipios.nome"), F.lit(EMPTY_MARK)).alias("municipio"),

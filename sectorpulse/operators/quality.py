@@ -9,6 +9,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import schemas
+
 VIOLATION_COLUMNS = ("tabela", "coluna", "valor", "ocorrencias")
 
 
@@ -40,6 +42,17 @@ def not_null_violations(df: DataFrame, cols: Sequence[str], table: str) -> DataF
         F.lit(table).alias("tabela"), "coluna", F.lit(None).cast("string").alias("valor"), "ocorrencias")
 
 
+def declared_not_null(tables: dict[str, DataFrame]) -> DataFrame:
+    """Q3 for whole tables: every NOT NULL column that a table declares, each table in one pass. A column that
+    a frame does not list counts as filled where the table has a default, else as NULL in every row."""
+    checks = []
+    for name, df in tables.items():
+        cols = [c for c in schemas.NOT_NULL[name] if c in df.columns or c not in schemas.NOT_NULL_DEFAULTS]
+        absent = {c: F.lit(None).cast("string") for c in cols if c not in df.columns}
+        checks.append(not_null_violations(df.withColumns(absent) if absent else df, cols, name))
+    return union_checks(*checks)
+
+
 def row_checks(df: DataFrame, table: str, checks: Sequence[tuple[str, object]]) -> DataFrame:
     """Q4/Q5 in one pass over ``df``: ``checks`` are (column, bad-row
     condition); each failing (column, value) is counted by one aggregate."""

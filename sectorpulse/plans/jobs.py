@@ -11,6 +11,7 @@ folders switched by pointer (see ``sinks.writes``).
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,8 +27,10 @@ from ..operators import leads as L
 from ..operators import quality as Q
 from ..operators import region as RG
 from ..operators import registry as R
+from ..session import staged
 from ..sinks import writes as W
 from ..sources import shards as S
+from ..sources.records import with_reason
 from ..sources.zipsource import scan_zip
 
 
@@ -70,6 +73,16 @@ def filter_region(spark: SparkSession, batch_dir: str, staging: str,
     return S.shard_counts(spark.read.parquet(f"{staging}/estabelecimentos_rmpa"), "shard")
 
 
+def batch_records(spark: SparkSession, batch_dir: str, staging: str, pattern: str = "Estabelecimentos*.zip",
+                  layout: Sequence[str] = schemas.ESTABLISHMENT_LAYOUT) -> DataFrame:
+    """All records of a batch's archives, accepted and rejected ones parted in one pass below
+    ``staging``; returns the counts per archive and in all."""
+    path = f"{staging}/registros-{uuid.uuid4().hex[:8]}"
+    rows = scan_zip(spark, os.path.join(batch_dir, pattern), layout, keep_corrupt=True)
+    W.land_parted(with_reason(rows, len(layout)), path)
+    return S.record_counts(spark.read.parquet(path))
+
+
 def transform(spark: SparkSession, batch_dir: str, staging: str) -> dict[str, int]:
     """R2: typed active establishments and the companies that have one
     (semi join, then first row per key in (shard, line) order)."""
@@ -139,6 +152,24 @@ def compute_growth(spark: SparkSession, warehouse: str) -> int:
     return W.refresh(spark, warehouse, {"estatisticas_crescimento": stats})["estatisticas_crescimento"]
 
 
+def advance_growth(spark: SparkSession, warehouse: str, establishments: DataFrame,
+                   stats: str = "estatisticas_crescimento") -> dict[str, int]:
+    """R4 batch by batch: the statistics of the months that ``establishments`` brings, from the carried state
+    (``growth.carried``) and without any old row; returns the rows written and those that came too late.
+
+    The statistics are a table partitioned by month; a batch overwrites the months it brings and
+    nothing else, then the new state is switched to. A job that dies between the two leaves the
+    old state, and running it again writes the same months again."""
+    known = W.current_tables(spark, warehouse)
+    state = W.read_current(spark, warehouse, G.STATE) if G.STATE in known else None
+    monthly = staged(G.monthly_openings(establishments), "monthly")
+    new, kept, late = G.carried(state, monthly)
+    written = W.write_months(spark, warehouse, stats, new)
+    counted = late.count()
+    W.refresh(spark, warehouse, {G.STATE: kept})
+    return {"escritas": written, "atrasadas": counted}
+
+
 def enrich(spark: SparkSession, warehouse: str, candidates: DataFrame, n: int = ENRICHMENT_LIMIT,
            best_month_only: bool = False) -> DataFrame:
     """Rank leads (T1), take each ranked lead's first place candidate
@@ -195,5 +226,5 @@ def run_batch(spark: SparkSession, batch_dir: str, root: str, whitelist=REGION_M
     return {"shards": {r[0]: r[1] for r in counts.collect()}, **loaded, "estatisticas": cells}
 
 
-__all__ = ["load_reference", "filter_region", "transform", "load", "compute_growth", "enrich",
+__all__ = ["load_reference", "filter_region", "batch_records", "transform", "advance_growth", "load", "compute_growth", "enrich",
            "generate_insight", "dashboard", "run_batch", "table"]

@@ -374,10 +374,13 @@ def nn_sql(table: str, src: str, col: str) -> str:
             f"FROM (SELECT count(*) FILTER (WHERE {col} IS NULL) AS n FROM {src}) WHERE n > 0")
 
 
-ORACLE["not_null_violations"] = f"""WITH {BASE_O}
-{' UNION ALL '.join([nn_sql('estabelecimentos', 'est_o', c) for c in
-                     ('cnpj', 'cnpj_basico', 'situacao_cadastral', 'data_inicio_atividade', 'codigo_municipio')]
-                    + [nn_sql('empresas', 'comp_o', c) for c in ('cnpj_basico', 'razao_social')])}"""
+NN_COLUMNS = {
+    "municipios": ("mun_o", ["codigo_municipio", "nome"]), "cnaes": ("cnaes_o", ["codigo", "descricao"]),
+    "natureza_juridica": ("nat", ["codigo", "descricao"]), "empresas": ("comp_o", ["cnpj_basico", "razao_social"]),
+    "estabelecimentos": ("est_o", ["cnpj", "cnpj_basico", "situacao_cadastral", "data_inicio_atividade", "codigo_municipio"]),
+    "estatisticas_crescimento": ("stats", ["cnae_codigo", "codigo_municipio", "ano_mes", "total_aberturas"]),
+    "leads_enriquecidos": ("enr_o", ["cnpj"]),
+    "insights_ia": ("log", ["id", "titulo", "conteudo", "baseado_em", "modelo", "gerado_em"])}
 
 
 def dom_sql(table: str, src: str, col: str, bad: str) -> str:
@@ -435,3 +438,63 @@ ORACLE["truncate_label"] = (f"SELECT doc_id, {trunc_sql('text', 26)} AS rotulo_2
                             f"{trunc_sql('text', 22)} AS rotulo_22 FROM documents")
 ORACLE["scan_delimited"] = "SELECT doc_id, text, lang, source, n_chars FROM documents"
 ORACLE["scan_zip"] = ORACLE["scan_delimited"]
+
+ORACLE["not_null_violations"] = f"""WITH {BASE_O}, {STATS_G}, enr_o AS ({enrichment_sql('first_cand')}),
+nat AS (SELECT c_nationkey AS codigo, CASE WHEN c_nationkey % 6 <> 2 THEN c_mktsegment END AS descricao FROM customer),
+log AS (SELECT event_id AS id, event_type AS titulo, props AS conteudo, props AS baseado_em,
+               CASE WHEN event_id % 50 <> 3 THEN event_type END AS modelo, ts AS gerado_em FROM events)
+{' UNION ALL '.join(nn_sql(name, src, c) for name, (src, cols) in NN_COLUMNS.items() for c in cols)}"""
+
+# ------------------------------------------------------------ raw text by ranges
+ORACLE["scan_ranges"] = ORACLE["scan_delimited"]
+
+RAW_G = """raw_g AS (
+  SELECT l_orderkey % 4 AS shard,
+         row_number() OVER (PARTITION BY l_orderkey % 4 ORDER BY l_orderkey, l_linenumber, l_suppkey, l_shipdate) - 1 AS linha,
+         CAST(l_orderkey AS VARCHAR) || CASE WHEN l_orderkey % 9 = 0 THEN chr(10) || ';' ELSE '-' END
+             || CAST(l_linenumber AS VARCHAR) AS cnpj,
+         CAST(l_suppkey AS VARCHAR) AS cnpj_basico, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS data
+  FROM lineitem)"""
+
+ORACLE["record_numbers"] = f"WITH {RAW_G} SELECT shard, linha, cnpj, cnpj_basico, data FROM raw_g"
+
+ORACLE["text_keep_first"] = f"""WITH {RAW_G}
+SELECT cnpj_basico, shard, cnpj, data FROM raw_g
+QUALIFY row_number() OVER (PARTITION BY cnpj_basico ORDER BY shard, linha) = 1"""
+
+REJECTED = """kinds AS (
+  SELECT o_orderkey % 4 AS shard, CASE o_orderkey % 97 WHEN 1 THEN 'curto' WHEN 2 THEN 'longo' WHEN 3 THEN 'solto' ELSE '' END AS kind,
+         '"' || CAST(o_orderkey AS VARCHAR) || '";"PEDIDO ' || CAST(o_orderkey AS VARCHAR)
+             || CASE WHEN o_orderkey % 3 = 0 THEN chr(10) || 'sala; ""x""' ELSE '' END || '"' AS head,
+         strftime(o_orderdate, '%Y%m%d') AS ymd, o_orderkey
+  FROM orders)"""
+
+ORACLE["rejected_counts"] = f"""WITH {REJECTED}
+SELECT shard, count(*) AS lidos, count(*) FILTER (WHERE kind = '') AS aceitos,
+       count(*) FILTER (WHERE kind IN ('curto', 'solto')) AS curtos, count(*) FILTER (WHERE kind = 'longo') AS longos,
+       CAST(0 AS BIGINT) AS ilegiveis
+FROM kinds GROUP BY ROLLUP (shard)"""
+
+ORACLE["rejected_records"] = f"""WITH {REJECTED}
+SELECT shard, CASE kind WHEN 'longo' THEN 'campos a mais' ELSE 'campos a menos' END AS motivo,
+       CASE kind WHEN 'curto' THEN head WHEN 'longo' THEN head || ';"' || ymd || '";"sobra"'
+                 ELSE '### ' || CAST(o_orderkey AS VARCHAR) END AS texto
+FROM kinds WHERE kind <> ''"""
+
+# ------------------------------------------------------- order, clocks, batches
+ORACLE["leads_positions"] = f"""WITH {BASE_O}
+SELECT cnpj, cnpj_basico, nome_fantasia, data_inicio_atividade, posicao, (posicao - 1) // 500 + 1 AS pagina
+FROM (SELECT *, row_number() OVER (ORDER BY data_inicio_atividade DESC NULLS LAST, cnpj NULLS LAST, cnpj_basico NULLS LAST,
+                                   nome_fantasia NULLS LAST) AS posicao FROM est_o)"""
+
+ORACLE["growth_incremental"] = ORACLE["growth_stats"]
+
+ORACLE["upsert_clock"] = f"""WITH {BASE_O},
+ex AS (SELECT * FROM ({enrichment_sql(first_of(0))}) WHERE cnpj IS NOT NULL),
+inc AS (SELECT * FROM ({enrichment_sql(first_of(1))}) WHERE cnpj IS NOT NULL)
+SELECT 'K8' AS operador, count(*) FILTER (WHERE cnpj IN (SELECT cnpj FROM inc)) AS movidos,
+       count(*) FILTER (WHERE cnpj NOT IN (SELECT cnpj FROM inc)) AS parados FROM ex
+UNION ALL SELECT 'K7', 0, (SELECT count(*) FROM (SELECT cnpj FROM ex UNION SELECT cnpj FROM inc))"""
+
+ORACLE["export_named"] = """SELECT 'leads_' || CAST((SELECT CAST(max(o_orderdate) AS DATE) FROM orders) AS VARCHAR) AS nome,
+       count(*) AS linhas FROM customer"""

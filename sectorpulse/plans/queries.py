@@ -19,7 +19,7 @@ from ..operators import leads as L
 from ..operators import quality as Q
 from ..operators import region as RG
 from ..operators import registry as R
-from ..session import configure, scratch_path
+from ..session import configure, scratch_path, staged
 from ..sinks import writes as W
 from ..sources import shards as S
 
@@ -376,12 +376,20 @@ def fk_violations(t):
         Q.fk_violations(_enrichment_o(t), "cnpj", est, "cnpj", "leads_enriquecidos"))
 
 
+def _not_null_tables(t) -> dict:
+    """The eight tables; some descriptions and models are left out, so that the check has what to find."""
+    code = F.col("c_nationkey")
+    nature = t.customer.select(code.cast("string").alias("codigo"),
+                               F.when(code % 6 != 2, F.col("c_mktsegment")).alias("descricao"))
+    return {"municipios": B.orders_municipalities(t), "cnaes": B.orders_sectors(t), "natureza_juridica": nature,
+            "empresas": _companies_o(t), "estabelecimentos": _est_o(t), "estatisticas_crescimento": _stats_g(t),
+            "leads_enriquecidos": _enrichment_o(t),
+            "insights_ia": _insight_log(t).withColumn("modelo", F.when(F.col("id") % 50 != 3, F.col("modelo")))}
+
+
 @query
 def not_null_violations(t):
-    return Q.union_checks(
-        Q.not_null_violations(_est_o(t), ["cnpj", "cnpj_basico", "situacao_cadastral",
-                                          "data_inicio_atividade", "codigo_municipio"], "estabelecimentos"),
-        Q.not_null_violations(_companies_o(t), ["cnpj_basico", "razao_social"], "empresas"))
+    return Q.declared_not_null(_not_null_tables(t))
 
 
 @query
@@ -473,3 +481,138 @@ def scan_zip(t):
     write_zip_shards(t.documents.select(*[F.col(c).cast("string") for c in DOC_LAYOUT]), folder,
                      "Documentos", 4)
     return _doc_types(scan(t.spark, folder, DOC_LAYOUT))
+
+
+# ------------------------------------------------------------ raw text by ranges
+
+@query
+def scan_ranges(t):
+    """S1 as ``scan_delimited``, for files of any size: quoted line breaks and split files."""
+    from ..sources.delimited import write_delimited
+    from ..sources.records import scan_ranges as scan
+    path = scratch_path(t.spark, "documentos_faixas")
+    write_delimited(t.documents.select(*[F.col(c).cast("string") for c in DOC_LAYOUT]), path, encoding="UTF-8")
+    return _doc_types(scan(t.spark, path, DOC_LAYOUT, encoding="UTF-8"))
+
+
+RAW_LAYOUT = ("cnpj", "cnpj_basico", "data")
+
+
+def _raw_shards(t) -> str:
+    """Raw text shards of the G establishments, each in order of its keys; every ninth name breaks its line."""
+    key, number = F.col("l_orderkey"), F.col("l_linenumber")
+    name = F.concat(key.cast("string"), F.when(key % 9 == 0, F.lit("\n;")).otherwise(F.lit("-")), number.cast("string"))
+    line = F.concat(F.lit('"'), name, F.lit('";"'), F.col("l_suppkey").cast("string"), F.lit('";"'),
+                    F.col("l_shipdate").cast("date").cast("string"), F.lit('"'))
+    order = ["shard", "l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate"]
+    path = scratch_path(t.spark, "registros_texto")
+    width = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    (t.lineitem.withColumn("shard", key % B.SHARDS_G).repartitionByRange(width, *order).sortWithinPartitions(*order)
+      .select(line.alias("value"), "shard").write.partitionBy("shard").text(path))
+    return path
+
+
+def _numbered(t):
+    from ..sources.records import scan_ranges as scan
+    rows = scan(t.spark, _raw_shards(t), RAW_LAYOUT, encoding="UTF-8", per_folder=True)
+    return rows.withColumn("shard", F.regexp_extract("arquivo", "shard=([0-9]+)/", 1).cast("long"))
+
+
+@query
+def record_numbers(t):
+    """The number of every record in its shard, whatever ranges and files it was read from."""
+    return _numbered(t).select("shard", "linha", *RAW_LAYOUT)
+
+
+@query
+def text_keep_first(t):
+    """A5/C7 over raw text: the first record of each company in (shard, record) order."""
+    return S.keep_first_record(_numbered(t), ["cnpj_basico"]).select("cnpj_basico", "shard", "cnpj", "data")
+
+
+def _landed_with_rejected(t) -> DataFrame:
+    """Text of the orders with planted short, long and unreadable records, accepted and rejected parted."""
+    from ..sources.records import scan_ranges as scan, with_reason
+    key = F.col("o_orderkey")
+    name = F.concat(F.lit("PEDIDO "), key.cast("string"), F.when(key % 3 == 0, F.lit("\nsala; \"\"x\"\"")).otherwise(F.lit("")))
+    head = F.concat(F.lit('"'), key.cast("string"), F.lit('";"'), name, F.lit('"'))
+    whole = F.concat(head, F.lit(';"'), F.date_format("o_orderdate", "yyyyMMdd"), F.lit('"'))
+    line = (F.when(key % 97 == 1, head).when(key % 97 == 2, F.concat(whole, F.lit(';"sobra"')))
+             .when(key % 97 == 3, F.concat(F.lit("### "), key.cast("string"))).otherwise(whole))
+    raw, out = scratch_path(t.spark, "pedidos_texto"), scratch_path(t.spark, "pedidos_aceitos")
+    t.orders.select(line.alias("value"), (key % B.SHARDS_G).alias("shard")).write.partitionBy("shard").text(raw)
+    rows = scan(t.spark, raw, ("pedido", "nome", "data"), encoding="UTF-8", keep_corrupt=True)
+    shard = F.regexp_extract("arquivo", "shard=([0-9]+)/", 1).cast("long")
+    W.land_parted(with_reason(rows.withColumn("shard", shard), 3), out)
+    return t.spark.read.parquet(out)
+
+
+@query
+def rejected_counts(t):
+    """Records read, accepted and rejected by reason, per shard and in all."""
+    return S.record_counts(_landed_with_rejected(t))
+
+
+@query
+def rejected_records(t):
+    """C17: the rejected records with their text and reason; accepted ones are typed as usual."""
+    return _landed_with_rejected(t).where("rejeitado = 'true'").select("shard", "motivo", F.col("_corrupt_record").alias("texto"))
+
+
+# ------------------------------------------------------- order, clocks, batches
+
+@query
+def leads_positions(t):
+    """T4/T7 for the whole table: position and page of every active establishment, newest first."""
+    from ..operators.order import positions
+    est = R.establishments_final(B.orders_raw_establishments(t)).select(
+        "cnpj", "cnpj_basico", "nome_fantasia", "data_inicio_atividade")
+    order = [F.col("data_inicio_atividade").desc_nulls_last(), F.col("cnpj").asc_nulls_last(),
+             F.col("cnpj_basico").asc_nulls_last(), F.col("nome_fantasia").asc_nulls_last()]
+    return positions(est, order)
+
+
+@query
+def growth_incremental(t):
+    """R4 in three batches of months, each from the carried state alone."""
+    from . import jobs
+    root = scratch_path(t.spark, "incremental")
+    est = _active_g(t)
+    year = F.year("data_inicio_atividade")
+    for part in (year < 1995, year.between(1995, 1996), year > 1996):
+        jobs.advance_growth(t.spark, root, est.where(part))
+    return W.read_current(t.spark, root, "estatisticas_crescimento").select(*schemas.GROWTH_STATS.fieldNames())
+
+
+@query
+def upsert_clock(t):
+    """rows whose clock an upsert moved: K8 moves the incoming keys', K7 none."""
+    root = scratch_path(t.spark, "relogio")
+
+    def stored():
+        return W.read_current(t.spark, root, "leads_enriquecidos").select("cnpj", "enriquecido_em")
+
+    def told(name, before, after):
+        both = before.withColumnRenamed("enriquecido_em", "antes").join(after, "cnpj")
+        return both.agg(F.lit(name).alias("operador"), F.count_if(F.col("enriquecido_em") > F.col("antes")).alias("movidos"),
+                        F.count_if(F.col("enriquecido_em") == F.col("antes")).alias("parados"))
+
+    def put(rows, touch):
+        W.upsert_table(t.spark, root, "leads_enriquecidos", rows, "cnpj", schemas.ENRICHMENT_STORED, touch=touch)
+        return staged(stored(), "relogio")
+
+    first = put(_enrichment_o(t, 0), "enriquecido_em")
+    second = put(_enrichment_o(t, 1), "enriquecido_em")
+    third = put(_enrichment_o(t, 0), None)
+    return told("K8", first, second).unionByName(told("K7", second, third))
+
+
+@query
+def export_named(t):
+    """The export of a day carries the day in its name; here the newest order date."""
+    day = t.orders.agg(F.max("o_orderdate").cast("date").cast("string")).first()[0]
+    frame = R.typed_companies(B.orders_raw_companies(t)).select("cnpj_basico", "razao_social", "natureza_juridica")
+    path = W.export_csv(frame, scratch_path(t.spark, "exports"), header=("CNPJ", "Razão Social", "Natureza"), day=day)
+    back = t.spark.read.option("sep", ";").option("header", True).csv(path)
+    folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+    return back.select(folder.alias("nome")).groupBy("nome").agg(F.count(F.lit(1)).alias("linhas"))

@@ -85,3 +85,18 @@ INSIGHT_ROW = T.StructType([
 # Fixed value: the one key of the snapshot.
 SNAPSHOT_KEY = "top_setores_crescimento_rmpa"
 INSIGHT_SNAPSHOT = T.StructType([T.StructField(SNAPSHOT_KEY, T.ArrayType(INSIGHT_ROW), True)])
+
+# NOT NULL columns of the eight tables, keys included.
+NOT_NULL = {
+    "municipios": ("codigo_municipio", "nome", "uf"),
+    "cnaes": ("codigo", "descricao"),
+    "natureza_juridica": ("codigo", "descricao"),
+    "empresas": ("cnpj_basico", "razao_social", "criado_em"),
+    "estabelecimentos": ("cnpj", "cnpj_basico", "situacao_cadastral", "data_inicio_atividade", "codigo_municipio",
+                         "criado_em"),
+    "estatisticas_crescimento": ("cnae_codigo", "codigo_municipio", "ano_mes", "total_aberturas"),
+    "leads_enriquecidos": ("cnpj", "enriquecido_em"),
+    "insights_ia": ("id", "titulo", "conteudo", "baseado_em", "modelo", "gerado_em"),
+}
+# NOT NULL columns that the database fills when a row does not list them.
+NOT_NULL_DEFAULTS = {"uf": "RS", "criado_em": "now()", "total_aberturas": 0, "enriquecido_em": "now()", "gerado_em": "now()"}

@@ -115,6 +115,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/sectorpulse/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to a new folder of the shared root and read it back: what follows plans it once."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def local_dir(path: str) -> str:
     """Filesystem path for a ``file:`` or bare path (used by the zip writer)."""
     return path[len("file:"):] if path.startswith("file:") else path

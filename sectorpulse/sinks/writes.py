@@ -266,6 +266,22 @@ def upsert_table(spark: SparkSession, root: str, table: str, incoming: DataFrame
     return read_current(spark, root, table)
 
 
+def write_months(spark: SparkSession, root: str, table: str, rows: DataFrame, month: str = "ano_mes") -> int:
+    """Rows of a table partitioned by ``month``: the months that ``rows`` bring are overwritten, all others stay.
+    The table is made and switched to if there is none."""
+    current = current_tables(spark, root).get(table)
+    if current is None:
+        version = f"{table}__{uuid.uuid4().hex[:12]}"
+        current = f"{namespace(spark, root)}.{version}"
+        rows.limit(0).write.partitionBy(month).format("parquet").saveAsTable(current)
+        _switch(spark, root, {table: version})
+    obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
+    watched = rows.observe(obs, F.count(F.lit(1)).alias("rows")).select(*spark.table(current).columns)
+    with dynamic_overwrite(spark):
+        watched.hint("rebalance", month).write.mode("overwrite").insertInto(current)
+    return int(obs.get["rows"])
+
+
 @contextmanager
 def dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
     """Inside, an overwrite replaces only the partitions it writes (``insertInto`` takes this from the

@@ -97,15 +97,18 @@ def _measured(lines: Lines) -> Iterator[pa.RecordBatch]:
 RANGE_SCHEMA = "arquivo string, inicio long, aspas long, fora long, dentro long"
 
 
-def range_table(measured: DataFrame) -> DataFrame:
+def range_table(measured: DataFrame, per_folder: bool = False) -> DataFrame:
     """(arquivo, inicio, estado, primeira): whether each range starts inside a field, and the number of its
-    first record. Prefix sums over the ranges of one file."""
+    first record. Prefix sums over the ranges of one file; with ``per_folder`` records are numbered through all
+    files of a folder in order of their names (a shard written as several files)."""
     before = Window.partitionBy("arquivo").orderBy("inicio").rowsBetween(Window.unboundedPreceding, -1)
+    through = before if not per_folder else Window.partitionBy(F.regexp_extract("arquivo", "^(.*)/", 1)).orderBy(
+        "arquivo", "inicio").rowsBetween(Window.unboundedPreceding, -1)
     state = F.coalesce(F.sum("aspas").over(before), F.lit(0)) % 2
     known = measured.withColumn("estado", state)
     starts = F.when(F.col("estado") == 0, F.col("fora")).otherwise(F.col("dentro"))
     return (known.withColumn("registros", starts)
-                 .withColumn("primeira", F.coalesce(F.sum("registros").over(before), F.lit(0)))
+                 .withColumn("primeira", F.coalesce(F.sum("registros").over(through), F.lit(0)))
                  .select("arquivo", "inicio", "estado", "primeira", "registros"))
 
 
@@ -195,9 +198,9 @@ def _glued(lines: Lines, table: dict, parts: bool) -> Iterator[pa.RecordBatch]:
 
 # ------------------------------------------------------------------ records
 
-def _records(spark: SparkSession, lines: DataFrame, split: Callable, encoding: str) -> DataFrame:
+def _records(spark: SparkSession, lines: DataFrame, split: Callable, encoding: str, per_folder: bool = False) -> DataFrame:
     """(arquivo, linha, registro) of ``lines`` (arquivo, inicio, valor and, for text, fonte)."""
-    table = range_table(lines.mapInArrow(lambda b: _measured(split(b)), RANGE_SCHEMA))
+    table = range_table(lines.mapInArrow(lambda b: _measured(split(b)), RANGE_SCHEMA), per_folder)
     rows = table.limit(MAX_RANGES + 1).collect()
     if len(rows) > MAX_RANGES:
         raise ValueError(f"more than {MAX_RANGES} ranges: raise spark.sql.files.maxPartitionBytes")
@@ -216,14 +219,15 @@ def _records(spark: SparkSession, lines: DataFrame, split: Callable, encoding: s
         "arquivo", "linha", F.array_join(F.transform("p", lambda x: x["texto"]), "\n").alias("registro")))
 
 
-def text_records(spark: SparkSession, paths: str | Sequence[str], encoding: str = "ISO-8859-1") -> DataFrame:
+def text_records(spark: SparkSession, paths: str | Sequence[str], encoding: str = "ISO-8859-1",
+                 per_folder: bool = False) -> DataFrame:
     """(arquivo, linha, registro): the records of text files, split by Spark's text reader."""
     if encoding.upper().replace("_", "-").startswith(("UTF-16", "UTF-32")):
         raise ValueError("the encoding must be a superset of ASCII")
     lines = spark.read.text(paths if isinstance(paths, str) else list(paths)).select(
         F.col("_metadata.file_path").alias("arquivo"), F.xxhash64("_metadata.file_path").alias("fonte"),
         F.col("_metadata.file_block_start").alias("inicio"), F.col("value").cast("binary").alias("valor"))
-    return _records(spark, lines, _of_text, encoding)
+    return _records(spark, lines, _of_text, encoding, per_folder)
 
 
 def block_records(blocks: DataFrame, encoding: str = "ISO-8859-1") -> DataFrame:
@@ -245,10 +249,10 @@ def parse(records: DataFrame, layout: Sequence[str], sep: str = ";", strict: boo
 
 
 def scan_ranges(spark: SparkSession, paths: str | Sequence[str], layout: Sequence[str], encoding: str = "ISO-8859-1",
-                sep: str = ";", strict: bool = False, keep_corrupt: bool = False) -> DataFrame:
+                sep: str = ";", strict: bool = False, keep_corrupt: bool = False, per_folder: bool = False) -> DataFrame:
     """S1 for files of any size: as ``scan_delimited``, but a file is split into ranges though quoted
     fields hold line breaks, and every row has its file and record number (C7)."""
-    return parse(text_records(spark, paths, encoding), layout, sep, strict, keep_corrupt)
+    return parse(text_records(spark, paths, encoding, per_folder), layout, sep, strict, keep_corrupt)
 
 
 # ------------------------------------------------------------------ rejected records
