@@ -498,3 +498,19 @@ UNION ALL SELECT 'K7', 0, (SELECT count(*) FROM (SELECT cnpj FROM ex UNION SELEC
 
 ORACLE["export_named"] = """SELECT 'leads_' || CAST((SELECT CAST(max(o_orderdate) AS DATE) FROM orders) AS VARCHAR) AS nome,
        count(*) AS linhas FROM customer"""
+
+DISPLAY_ALL = BASE_O + f""",
+enr_o AS ({enrichment_sql('first_cand')}),
+display_all AS (
+  SELECT t.cnpj, t.data_inicio_atividade, COALESCE(c.razao_social, t.nome_fantasia, '—') AS empresa,
+         COALESCE(s.descricao, '—') AS setor, COALESCE(m.nome, '—') AS municipio,
+         strftime(t.data_inicio_atividade, '%d/%m/%Y') AS aberta_em, COALESCE(r.telefone_places, 'Não enriquecido') AS contato
+  FROM est_o t LEFT JOIN comp_o c ON c.cnpj_basico = t.cnpj_basico
+               LEFT JOIN cnaes_o s ON s.codigo = t.cnae_principal
+               LEFT JOIN mun_o m ON m.codigo_municipio = t.codigo_municipio
+               LEFT JOIN enr_o r ON r.cnpj = t.cnpj)"""
+
+ORACLE["leads_search_all"] = f"""WITH {DISPLAY_ALL}
+SELECT * FROM display_all
+WHERE contains(lower(empresa || chr(1) || setor || chr(1) || municipio || chr(1) || COALESCE(aberta_em, '') || chr(1) || contato),
+               '#00000012')"""

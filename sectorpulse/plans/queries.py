@@ -616,3 +616,17 @@ def export_named(t):
     back = t.spark.read.option("sep", ";").option("header", True).csv(path)
     folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
     return back.select(folder.alias("nome")).groupBy("nome").agg(F.count(F.lit(1)).alias("linhas"))
+
+
+# Search text of the search over all leads (a user's input).
+SEARCH_ALL = "#00000012"
+
+
+@query
+def leads_search_all(t):
+    """W8 over every active lead: a trigram index, then the exact check."""
+    from ..operators import search_index as SI
+    est = _est_o(t)
+    display = L.leads_display(L.all_leads(est, _companies_o(t), B.orders_sectors(t), B.orders_municipalities(t),
+                                          _enrichment_o(t)))
+    return SI.search(t.spark, SI.build_index(t.spark, display), SEARCH_ALL)
