@@ -6,8 +6,8 @@ heading or paragraph) gives the cost of calling it boilerplate or content;
 the costs are terminal capacities. Neighbouring blocks are joined by edges
 whose capacity grows with what they share of their element paths, and blocks
 of one parent element are chained too. The minimum cut, found by maximum flow
-with augmenting paths, parts content from boilerplate; it can differ from the
-classifier where a block's surroundings outweigh it.
+with blocking flows on level graphs, parts content from boilerplate; it can
+differ from the classifier where a block's surroundings outweigh it.
 
 Boilerplate marks come from tags and from names; a layout name (``has-sidebar``,
 ``with-comments``) marks nothing, and a heading in an article's header is not
@@ -23,7 +23,8 @@ in page order.
 
 Defined cases: a null or empty page, or one without text, gives an empty text;
 markup that is cut off at the end is dropped; unclosed and stray tags are
-accepted as browsers accept them; equal pages give equal texts; ids and urls
+accepted as browsers accept them, a quote that is never closed ends with its
+tag, and elements deeper than ``MAX_DEPTH`` stand beside each other; equal pages give equal texts; ids and urls
 are passed through, null or not; an empty table gives no rows; extra columns
 are ignored.
 """
@@ -33,7 +34,6 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -63,11 +63,18 @@ BOILERPLATE_NAMES = frozenset("""ad ads adv advert advertisement advertising ban
     header login masthead menu modal nav navbar navigation newsletter notice notices notification overlay pager
     pagination popup privacy promo promoted promotion recommend recommendations recommended related replies reply
     respond search share sharing sidebar signup skip social sponsor sponsored subscribe subscription tags teaser
-    toolbar topbar tracking warning widget""".split())
+    toolbar topbar tracking warning widget
+    anzeige anzeigen datenschutz fusszeile hinweis kommentar kommentare kopfzeile seitenleiste werbung
+    avis commentaire commentaires pied publicite publicité
+    anuncio anuncios aviso barra comentario comentarios pie publicidad""".split())
+# Those of them that also name parts of an article (fixed values).
+VAGUE_NAMES = frozenset("""avis aviso banner barra byline dialog disclaimer header hinweis modal notice notices overlay
+    pie pied recommended search share sharing skip social tags teaser warning widget""".split())
 CONTENT_NAMES = frozenset("article body content entry main post story text".split())
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>?|<\?[^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-                   re.DOTALL)
+MARKUP = re.compile(r"<(?:!--|[!?]|(/?)([a-zA-Z][^\s/>]*))")
+STOP = re.compile(r"[>\"']")
+MAX_DEPTH = 512            # elements below this depth become siblings
 OPEN_END = re.compile(r"<[/!?a-zA-Z][^<>]*\Z")
 NAMES = re.compile(r"(?:^|\s)(?:class|id|role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 HIDES = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.IGNORECASE)
@@ -75,6 +82,9 @@ LAYOUT_NAME = re.compile(r"(?:has|with|without|no)(?:[-_]|(?=[A-Z]))")
 NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
+PROSE = 40                 # characters without links that make a vaguely named box a part of its article
+
+
 @dataclass(eq=False)
 class Element:
     tag: str
@@ -83,6 +93,7 @@ class Element:
     boilerplate: float = 0    # strength of the boilerplate marks here and above
     own: int = 0              # what this element adds to it
     named: bool = False       # marked by its names alone
+    vague: bool = False       # and by none that names only boilerplate
     headed: int = 0           # marks here and above of headers inside the content
     content: bool = False     # inside an element marked as the content
     hidden: bool = False
@@ -100,6 +111,8 @@ class Block:
 
 
 def _child(parent: Element, tag: str, attributes: str) -> Element:
+    if parent.depth >= MAX_DEPTH:
+        parent = parent.parent
     names: set[str] = set()
     if attributes:
         for found in NAMES.finditer(attributes):
@@ -119,7 +132,7 @@ def _child(parent: Element, tag: str, attributes: str) -> Element:
     elif names & CONTENT_NAMES and not marks:
         inner = True
     return Element(tag, parent, parent.depth + 1, marks, own, own > 0 and tag not in BOILERPLATE_TAGS and tag != "header",
-                   headed, inner, parent.hidden or tag in HIDDEN or bool(attributes and HIDES.search(attributes)),
+                   own > 0 and tag not in BOILERPLATE_TAGS and tag != "header" and marked <= VAGUE_NAMES, headed, inner, parent.hidden or tag in HIDDEN or bool(attributes and HIDES.search(attributes)),
                    parent.link or tag == "a")
 
 
@@ -128,13 +141,15 @@ def settle_marks(blocks: list[Block], texts: list[str]) -> None:
     if not any(b.element.boilerplate for b in blocks):
         return
     held: dict[Element, int] = {}
+    links: dict[Element, int] = {}
     clean = unmarked = framed = 0
     for b, text in zip(blocks, texts):
         e = b.element
         while e is not None and e not in held:
-            held[e] = 0
+            held[e] = links[e] = 0
             e = e.parent
         held[b.element] += len(text)
+        links[b.element] += min(b.linked, len(text))
         if not b.element.boilerplate:
             unmarked += len(text)
             clean += len(text) * b.element.content
@@ -142,6 +157,7 @@ def settle_marks(blocks: list[Block], texts: list[str]) -> None:
     for e in reversed(down):
         if e.parent is not None:
             held[e.parent] += held[e]
+            links[e.parent] += links[e]
     total, framed_in = held[down[0]], {None: False}
     for e in down:                                         # text of the outermost articles and main elements
         framed_in[e] = framed_in[e.parent] or e.tag in CONTENT_TAGS
@@ -154,6 +170,8 @@ def settle_marks(blocks: list[Block], texts: list[str]) -> None:
             e.boilerplate = 0
         elif e.parent is not None:
             own = e.own
+            if e.vague and own > 0 and e.parent.content and held[e] >= PROSE and 5 * links[e] <= held[e]:
+                own = 0                                    # prose of the article, whatever its box is called
             if fades and e.named and own > 0:
                 own *= min(1.0, max(0.0, 3 - 4 * held[e] / total))       # full up to a half, none from three quarters
             e.boilerplate = max(0, e.parent.boilerplate + own)
@@ -179,16 +197,37 @@ def blocks_of(page: str) -> list[Block]:
         if here.link:
             block.linked += len(text)
 
+    last = page.rfind(">")                     # no tag ends behind it
+    unclosed = ""
     while at < size:
-        found = TOKEN.search(page, at)
-        if found is None:
-            add(page[at:])
+        found = MARKUP.search(page, at)
+        if found is None or found.start() > last:          # text only, or markup that is cut off
+            add(page[at:] if found is None else page[at:found.start()])
             break
         if found.start() > at:
             add(page[at:found.start()])
-        at = found.end()
-        if not found[2]:
+        if found[2] is None:                               # comment, declaration or instruction
+            end = page.find("-->" if found[0] == "<!--" else ">", found.end())
+            at = size if end < 0 else end + (3 if found[0] == "<!--" else 1)
             continue
+        at = found.end()
+        while True:                                        # to the tag's end, past quoted values
+            stop = STOP.search(page, at)
+            if stop is None or stop[0] == ">":
+                break
+            at = stop.end()
+            if page[max(found.end(), stop.start() - 64):stop.start()].rstrip().endswith("="):
+                end = page.find(stop[0], at) if stop[0] not in unclosed else -1
+                if end < 0:                                # never closed: the tag ends at its first bracket
+                    unclosed += stop[0]
+                    end = page.find(">", at)
+                    at = size if end < 0 else end
+                    break
+                at = end + 1
+        end = page.find(">", at)
+        if end < 0:                                        # cut off
+            break
+        attributes, at = page[found.end():end], end + 1
         tag = found[2].lower()
         if found[1]:
             target = here
@@ -207,8 +246,8 @@ def blocks_of(page: str) -> list[Block]:
                 here = _closed(here, ENDS_ITEM[tag])
         if tag == "br":
             add(" ")
-        elif tag not in VOID and not found[3].endswith("/"):
-            here = _child(here, tag, found[3])
+        elif tag not in VOID and not attributes.endswith("/"):
+            here = _child(here, tag, attributes)
             if tag in RAW:
                 end = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(page, at)
                 at = end.end() if end else size
@@ -228,17 +267,18 @@ def _closed(here: Element, tags: tuple[str, ...]) -> Element:
     return here
 
 
-def content_score(block: Block, text: str, has_container: bool) -> float:
-    """Log-odds that a block is content: the classifier behind the terminal capacities."""
+def content_score(block: Block, text: str, has_container: bool, plain: bool = False) -> float:
+    """Log-odds that a block is content: the classifier behind the terminal capacities. ``plain``: the page
+    has no marks and no links, so nothing speaks against its text."""
     e, words = block.element, text.count(" ") + 1
-    score = -0.5 + 0.6 * math.log(words)
+    score = (0.5 if plain else -0.5) + 0.6 * math.log(words)
     if has_container:
         score += 4.0 if e.content else -4.0
     if e.tag == "p" or e.tag in HEADINGS or e.tag in ("pre", "blockquote"):
         score += 1.0
     score -= 8.0 * min(e.boilerplate, 2)
     raw = sum(map(len, block.parts))
-    score -= 5.0 * (block.linked / max(1, raw)) * (0.25 if e.content and words > 8 else 1.0)
+    score -= 5.0 * (block.linked / max(1, raw)) * (0.25 if e.content else 1.0)
     return score
 
 
@@ -291,29 +331,54 @@ def min_cut(scores: list[float], edges: list[tuple[int, int, float]]) -> list[bo
             residual[b][a] = residual[b].get(a, 0.0) + weight
     tiny = 1e-9
     while True:
-        came: dict[int, int] = {i: -1 for i in range(n) if excess[i] > tiny}
-        queue, end = deque(came), -1
-        while queue:
-            a = queue.popleft()
+        level = [0 if x > tiny else -1 for x in excess]
+        front, met = [i for i in range(n) if not level[i]], False
+        while front and not met:                            # up to the nearest sinks
+            met = any(deficit[a] > tiny for a in front)
+            ahead = []
+            if not met:
+                for a in front:
+                    for b, room in residual[a].items():
+                        if room > tiny and level[b] < 0:
+                            level[b] = level[a] + 1
+                            ahead.append(b)
+            front = ahead if not met else front
+        if not met:
+            return [x >= 0 for x in level]
+        _blocking_flow(level, residual, excess, deficit, tiny)
+
+
+def _blocking_flow(level: list[int], residual: list[dict[int, float]], excess: list[float], deficit: list[float],
+                   tiny: float) -> None:
+    """Push flow along the level graph until no path through it is left."""
+    arcs = [None] * len(level)
+    for source in [i for i, x in enumerate(excess) if x > tiny]:
+        path = [source]
+        while path and excess[source] > tiny:
+            a = path[-1]
             if deficit[a] > tiny:
-                end = a
-                break
-            for b, room in residual[a].items():
-                if room > tiny and b not in came:
-                    came[b] = a
-                    queue.append(b)
-        if end < 0:
-            return [i in came for i in range(n)]
-        path = [end]
-        while came[path[-1]] >= 0:
-            path.append(came[path[-1]])
-        path.reverse()
-        flow = min(excess[path[0]], deficit[end], *(residual[a][b] for a, b in zip(path, path[1:])))
-        excess[path[0]] -= flow
-        deficit[end] -= flow
-        for a, b in zip(path, path[1:]):
-            residual[a][b] -= flow
-            residual[b][a] += flow
+                flow = min(excess[source], deficit[a], *(residual[x][y] for x, y in zip(path, path[1:])))
+                excess[source] -= flow
+                deficit[a] -= flow
+                keep = len(path)
+                for i in range(len(path) - 1, 0, -1):
+                    x, y = path[i - 1], path[i]
+                    residual[x][y] -= flow
+                    residual[y][x] += flow
+                    if residual[x][y] <= tiny:
+                        keep = i
+                del path[keep:]
+                continue
+            if arcs[a] is None:
+                arcs[a] = [b for b in residual[a] if level[b] == level[a] + 1]
+            while arcs[a] and residual[a][arcs[a][-1]] <= tiny:
+                arcs[a].pop()
+            if arcs[a]:
+                path.append(arcs[a][-1])
+            else:
+                path.pop()
+                if path:
+                    arcs[path[-1]].pop()
 
 
 def main_text(page: str | None) -> str:
@@ -324,7 +389,8 @@ def main_text(page: str | None) -> str:
     texts = [b.text() for b in blocks]
     settle_marks(blocks, texts)
     container = any(b.element.content and not b.element.boilerplate for b in blocks)
-    scores = [content_score(b, t, container) for b, t in zip(blocks, texts)]
+    plain = not any(b.linked or b.element.boilerplate for b in blocks)
+    scores = [content_score(b, t, container, plain) for b, t in zip(blocks, texts)]
     kept = min_cut(scores, edges_of(blocks))
     return "\n".join(t for t, keep in zip(texts, kept) if keep)
 

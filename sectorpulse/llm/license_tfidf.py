@@ -15,7 +15,7 @@ ancestor directories, joined to the licensed directories by equality and the
 deepest hit is kept by a map-side aggregate.
 
 The template vectors are a fixed small table and the only broadcast side. The
-corpus is read for its words once; only lines whose words could reach the
+corpus is read for its words in one pass; only lines whose words could reach the
 threshold at all (an exact bound) are exploded into words, so prose and texts
 are never shuffled. What files state is written to the shared folder before
 directories inherit it.
@@ -37,22 +37,42 @@ from pyspark.sql import functions as F
 
 from .common import staged
 
-# Notices by license id (fixed values: public license names and their usual wording).
-TEMPLATES: tuple[tuple[str, str], ...] = (
+# Notices and titles by license id (fixed values: public license names and their usual wording).
+NOTICES: tuple[tuple[str, str], ...] = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
+    ("Apache-2.0", "Apache License"),
     ("MIT", "Released under the MIT License."),
+    ("MIT", "Licensed under the MIT License."),
+    ("MIT", "This project is released under the MIT License."),
+    ("MIT", "This project is licensed under the MIT License."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted"),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("AGPL-3.0", "GNU Affero General Public License"),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("GPL", "GNU General Public License"),
     ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("LGPL-3.0", "GNU Lesser General Public License"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, version 2.0."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
+    ("CC-BY-4.0", "This text is licensed under CC BY 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
+    ("CC-BY-SA-4.0", "This text is licensed under CC BY-SA 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
+    ("CC-BY-NC-4.0", "This text is licensed under CC BY-NC 4.0."),
     ("CC0-1.0", "Released into the public domain under CC0 1.0."),
     ("Proprietary", "All rights reserved."),
 )
+# Identifiers that a one-line tag may name, by license id (fixed values).
+IDENTIFIERS = {
+    "Apache-2.0": ("Apache-2.0",), "MIT": ("MIT",), "BSD-3-Clause": ("BSD-3-Clause",), "MPL-2.0": ("MPL-2.0",),
+    "AGPL-3.0": ("AGPL-3.0", "AGPL-3.0-only", "AGPL-3.0-or-later"), "GPL-3.0": ("GPL-3.0", "GPL-3.0-only", "GPL-3.0-or-later"),
+    "GPL-2.0": ("GPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later"), "LGPL-3.0": ("LGPL-3.0", "LGPL-3.0-only", "LGPL-3.0-or-later"),
+    "CC-BY-4.0": ("CC-BY-4.0",), "CC-BY-SA-4.0": ("CC-BY-SA-4.0",), "CC-BY-NC-4.0": ("CC-BY-NC-4.0",), "CC0-1.0": ("CC0-1.0",),
+}
+TEMPLATES = NOTICES + tuple((license, f"SPDX-License-Identifier: {name}") for license, names in IDENTIFIERS.items()
+                            for name in names)
 LICENSE_FILE = r"(?i)^(licen[cs]e|copying|notice|copyright)([._-].*)?$"
 THRESHOLD = 0.8
 TOKEN = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
@@ -146,6 +166,8 @@ def stated(files: DataFrame, key: str, text: str, templates: Sequence[tuple[str,
                           written_lines(F.col(text), templates).alias("__n"))
                   .where(plausible(F.col("__l.words"), templates, threshold))
                   .select("__key", F.col("__l.line").alias("__line"), F.col("__l.words").alias("__words"), "__n"))
+    # The few lines left are written once: scores and lengths both read them, and the corpus is read once.
+    lines = staged(lines, "license-lines")
     counted = (lines.withColumn("__word", F.explode("__words"))
                     .groupBy("__key", "__line", "__word").agg(F.count(F.lit(1)).alias("__tf"),
                                                               F.max("__n").alias("__n")))

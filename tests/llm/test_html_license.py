@@ -1,8 +1,11 @@
 """Minimum-cut extraction and license scan against plain Python."""
 
 import itertools
+import math
 import random
 import re
+import time
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -49,6 +52,38 @@ def test_marked_wrappers_keep_the_article(page):
     assert got.split("\n") == ["The head line", *re.findall("<p>(.*?)</p>", p)]
 
 
+PROSE = "This is the main paragraph of the story, and it goes on for quite a while with many words in it."
+
+
+@pytest.mark.parametrize("page, want", [
+    ("<article><h1>T</h1><div class='text-widget'><p>{p}</p></div></article><div class=sidebar><p>{p}</p></div>", "T\n{p}"),
+    ("<article><p>{p}</p><p class='share-price'>{p} 2</p><p class=dialog>{p} 3</p></article>", "{p}\n{p} 2\n{p} 3"),
+    ("<article><p>{p}</p><ul><li><a href=x>One link</a></li><li><a href=y>Two links</a></li></ul></article>",
+     "{p}\nOne link\nTwo links"),
+    ("just text", "just text"),
+    ("<article><p>{p}</p><div class=kommentare><p>{p} 2</p></div><div class=werbung><p>{p} 3</p></div></article>", "{p}"),
+    ("<article><p>{p}</p><div class=share><a href=a>One</a> <a href=b>Two</a></div></article>", "{p}"),
+    ("<p title='a>b'>{p}</p><p class=\"x>{p} 2</p>", "{p}\n{p} 2"),
+    ("<p>it's</p><a don't>{p}</a><p>{p} 2</p>", "it's\n{p} 2")])
+def test_names_do_not_decide_alone(page, want):
+    assert html_mincut.main_text(page.format(p=PROSE)) == want.format(p=PROSE)
+
+
+@pytest.mark.parametrize("page", ["<a '" * 250_000, "<a x='" * 160_000 + "<p>end</p>", "<a x='y\"" * 125_000, "<!" * 500_000,
+                                  "<div>" * 100_000 + "x</p>" * 100_000])
+def test_broken_pages_of_a_megabyte_are_read_in_linear_time(page):
+    began = time.process_time()
+    html_mincut.main_text(page)
+    assert time.process_time() - began < 20
+
+
+def test_many_alternating_blocks():
+    page = "".join(f"<p>{PROSE} {i}</p><p><a href=x>link number {i} here</a></p>" for i in range(10_000))
+    began = time.process_time()
+    assert html_mincut.main_text(page).count("\n") >= 9_999
+    assert time.process_time() - began < 10
+
+
 def test_html_defined_cases(spark):
     rows = [(1, "u", None), (2, None, ""), (3, "u", "<p>cut <b>off & on <a hr"), (None, "u", "plain text only, no tags"),
             (4, "u", "<div" * 5), (5, "u", "</p></div></body>"), (6, "u", "<p>" + "word " * 50_000),
@@ -134,6 +169,32 @@ def test_license_query(spark):
     assert any(r.origin == "stated" for r in got.values())
 
 
+@pytest.mark.parametrize("line, license", [
+    ("Licensed under the MIT License.", "MIT"), ("This project is released under the MIT License.", "MIT"),
+    ("This text is licensed under CC BY 4.0.", "CC-BY-4.0"), ("GNU GENERAL PUBLIC LICENSE", "GPL"),
+    ("                 Apache License", "Apache-2.0"), ("// SPDX-License-Identifier: MIT", "MIT"),
+    ("# SPDX-License-Identifier: GPL-2.0-only", "GPL-2.0"), ("SPDX-License-Identifier: Apache-2.0", "Apache-2.0"),
+    ("This program is licensed under the GNU Affero General Public License, version 3.", "AGPL-3.0"),
+    ("GNU AFFERO GENERAL PUBLIC LICENSE", "AGPL-3.0"), ("GNU LESSER GENERAL PUBLIC LICENSE", "LGPL-3.0"),
+    ("This work is licensed under the GNU General Public License, version 3.", "GPL-3.0"),
+    ("This work is licensed under the GNU General Public License, version 2.", "GPL-2.0"),
+    ("The public may use a version of this work.", None), ("Licensed plumbers work in the public domain.", None),
+    ("General remarks on the version of the text", None)])
+def test_wordings_of_notices(spark, line, license):
+    """Against a plain cosine, written apart from the operator's vectors, and the license meant."""
+    got = license_tfidf.stated(spark.createDataFrame([(1, f"some code\n{line}\nmore")], "id int, t string"), "id", "t").collect()
+    bags = [Counter(re.findall(r"[a-z0-9]+(?:[.-][a-z0-9]+)*", t.lower())) for _, t in license_tfidf.TEMPLATES]
+    idf = lambda w: math.log((1 + len(bags)) / (1 + sum(w in b for b in bags))) + 1
+    own = Counter(re.findall(r"[a-z0-9]+(?:[.-][a-z0-9]+)*", line.lower()))
+    norm = lambda b: math.sqrt(sum((n * idf(w)) ** 2 for w, n in b.items()))
+    scores = [sum(n * idf(w) * b[w] * idf(w) for w, n in own.items()) / norm(own) / norm(b) for b in bags]
+    best = max(range(len(bags)), key=lambda i: round(scores[i], 9))
+    assert (got[0].license if got else None) == license
+    assert (license is None) == (scores[best] < license_tfidf.THRESHOLD)
+    if got:
+        assert got[0].score == pytest.approx(scores[best], abs=1e-8)
+
+
 def test_only_a_document_of_notices_licenses_its_directory(spark, tmp_dir):
     whole = ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software\n\n----\n"
              "Released under the MIT License.\r\n  Released under the MIT License\nAll rights reserved.\n") * 2
