@@ -2,20 +2,22 @@
 generation.
 
 Every document is tokenised once, whole, and cut into full sequences plus a
-rest. Pieces of at most ``SHORT`` tokens are packed by their exact lengths:
-their histogram is filled into patterns longest first, each pattern used as
-often as it can be. The longer pieces' lengths, rounded up to classes of
-``CLASS_WIDTH`` tokens, make a histogram of at most ``capacity / CLASS_WIDTH``
-bars, whatever the size of the corpus; the rounding takes up to
-``CLASS_WIDTH`` - 1 tokens of room a piece, under 3 % of its length, and more
-where all pieces have one length that the rounding keeps from fitting once
-more (585 tokens: 6 to a sequence, 7 would fit). On it the driver solves the linear program "fewest
-sequences that hold all pieces": the master keeps one column (pattern) per
-class, an unbounded-knapsack dynamic program on the dual prices finds the next
-pattern, and the simplex step exchanges it. Patterns are rounded down, what is
-left over (bounded by the number of patterns) is packed first-fit decreasing,
-and the pieces, ranked inside their class, are dealt to the patterns' places
-as a map. Only narrow piece rows are shuffled, neither texts nor ids.
+rest. The pieces' lengths, rounded up to classes of ``CLASS_WIDTH`` tokens, make
+a histogram of ``capacity / CLASS_WIDTH`` bars, whatever the size of the corpus.
+On it the driver solves the linear program "fewest sequences that hold all
+pieces": the master keeps one column (pattern) per class, an unbounded-knapsack
+dynamic program on the dual prices finds the next pattern, and the simplex step
+exchanges it. Patterns are rounded down, what is left over (bounded by the number
+of patterns) is packed first-fit decreasing, and the pieces, ranked inside their
+class, are dealt to the patterns' places as a map.
+
+What the rounding and the lengths themselves leave empty is filled by free cuts:
+the emptiest sequences are dissolved and their tokens laid end to end into the
+rooms of at least ``LEAST_ROOM`` tokens of the others. How many sequences of each
+fill are dissolved, and where every token of them goes, follows from the
+histogram of the fills (at most ``capacity`` bars) and a sequence's rank among
+those of its fill, so each piece finds its new places by itself. Only narrow
+piece rows are shuffled, and the ids of the pieces that are cut.
 
 Defined cases: a null text is empty and has only the end id; equal documents
 are packed each; null ids are kept; an empty table gives no rows; extra
@@ -34,10 +36,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import positions, staged
+from .dedup_cpsjoin import present
 
 CAPACITY = 4096
 CLASS_WIDTH = 16
-SHORT = 512                # pieces of at most so many tokens are packed by exact lengths
+LEAST_ROOM = 32            # smaller rooms stay padding: documents are not shredded for them
 END_ID = 2
 CACHE_WORDS = 600_000      # words a worker remembers: the first it meets, so the common ones
 GAP = 2e-4                 # relative distance from the lower bound at which the program stops
@@ -219,25 +222,6 @@ def integral_patterns(demand: np.ndarray, capacity: int) -> tuple[np.ndarray, np
     return np.array(rows, dtype=np.int64).reshape(len(rows), capacity + 1), np.array(counts, dtype=np.int64)
 
 
-def greedy_patterns(demand: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
-    """Patterns of exact lengths and their use counts, places exactly the
-    demand: each takes the longest that still fit and is used until a length
-    runs short. Used for short items, of which many go into one sequence."""
-    left = demand.astype(np.int64).copy()
-    rows, counts = [], []
-    while left.any():
-        pattern, room = np.zeros_like(left), capacity
-        for k in np.flatnonzero(left)[::-1]:
-            pattern[k] = min(left[k], room // k)
-            room -= pattern[k] * k
-        used = pattern > 0
-        times = int((left[used] // pattern[used]).min())
-        left -= times * pattern
-        rows.append(pattern)
-        counts.append(times)
-    return np.array(rows, dtype=np.int64).reshape(len(rows), len(left)), np.array(counts, dtype=np.int64)
-
-
 def places(patterns: np.ndarray, counts: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """For each class: the first rank of each pattern's places, how many places
     the pattern has for the class, and the pattern's first sequence."""
@@ -252,22 +236,12 @@ def places(patterns: np.ndarray, counts: np.ndarray) -> dict[int, tuple[np.ndarr
 
 def assign_sequences(pieces: DataFrame, key: str = "doc_id", capacity: int = CAPACITY,
                      width: int = CLASS_WIDTH) -> DataFrame:
-    """``pieces`` (staged) with sequence_id and offset."""
-    short = min(SHORT, capacity)
-    # Exact lengths are negative classes.
-    classed = pieces.withColumn("__class", F.when(F.col("length") <= short, -F.col("length"))
-                                            .otherwise(F.ceil(F.col("length") / width)).cast("int"))
-    histogram = classed.groupBy("__class").count().collect()      # at most short + capacity / width rows
-    demand, exact = np.zeros(capacity // width + 1, dtype=np.int64), np.zeros(short + 1, dtype=np.int64)
-    for row in histogram:
-        if row[0] > 0:
-            demand[row[0]] = row[1]
-        else:
-            exact[-row[0]] = row[1]
-    patterns, counts = integral_patterns(demand, capacity // width)
-    table = places(patterns, counts)
-    for k, (starts, per, first) in places(*greedy_patterns(exact, capacity)).items():
-        table[-k] = (starts, per, first + counts.sum())
+    """``pieces`` (staged) with sequence_id and offset, by the patterns alone."""
+    classed = pieces.withColumn("__class", F.ceil(F.col("length") / width).cast("int"))
+    demand = np.zeros(capacity // width + 1, dtype=np.int64)
+    for row in classed.groupBy("__class").count().collect():      # at most capacity / width rows
+        demand[row[0]] = row[1]
+    table = places(*integral_patterns(demand, capacity // width))
     order = [key, "start", "ids_crc32", "length"]
     ranked = positions(classed, ["__class"], order, "__rank")
     schema = T.StructType([*pieces.schema.fields, T.StructField("sequence_id", T.LongType())])
@@ -291,11 +265,106 @@ def assign_sequences(pieces: DataFrame, key: str = "doc_id", capacity: int = CAP
     return dealt.withColumn("offset", F.coalesce(F.sum("length").over(before), F.lit(0)).cast("long"))
 
 
+def dissolved(fills: dict[int, int], capacity: int, least_room: int = LEAST_ROOM) -> dict[int, int]:
+    """How many sequences of each fill (tokens held: how many sequences) go: as many of the emptiest as the
+    rooms of the others take."""
+    room = sum((capacity - u) * n for u, n in fills.items() if capacity - u >= least_room)
+    held, out = 0, {}
+    for u in sorted(fills):
+        own = capacity - u if capacity - u >= least_room else 0
+        # k more of this fill may go while held + k * u <= room - k * own
+        k = min(fills[u], (room - held) // (u + own)) if u + own else 0
+        if k > 0:
+            out[u], held, room = k, held + k * u, room - k * own
+        if k < fills[u]:
+            break
+    return out
+
+
+class Rooms:
+    """The rooms that are filled, end to end on one axis: fills from low to high, ranks inside a fill."""
+
+    def __init__(self, fills: dict[int, int], gone: dict[int, int], capacity: int, least_room: int = LEAST_ROOM):
+        self.used = np.array([u for u in sorted(fills) if capacity - u >= least_room and fills[u] > gone.get(u, 0)],
+                             dtype=np.int64)
+        self.room = capacity - self.used
+        self.first = np.array([gone.get(int(u), 0) for u in self.used], dtype=np.int64)
+        counts = np.array([fills[int(u)] for u in self.used], dtype=np.int64) - self.first
+        self.base = np.concatenate([[0], np.cumsum(self.room * counts)])
+
+    def cut(self, at: int, length: int) -> Iterator[tuple[int, int, int, int, int]]:
+        """Parts of the axis interval: (place in the interval, length, fill, rank, offset in the sequence)."""
+        done = 0
+        while done < length:
+            x = at + done
+            k = int(np.searchsorted(self.base, x, side="right")) - 1
+            rank, inside = divmod(x - int(self.base[k]), int(self.room[k]))
+            part = min(length - done, int(self.room[k]) - inside)
+            yield done, part, int(self.used[k]), int(self.first[k]) + rank, int(self.used[k]) + inside
+            done += part
+
+
+def fill_by_cuts(packed: DataFrame, pieces: DataFrame, key: str, capacity: int, with_ids: bool) -> DataFrame:
+    """``packed`` (staged, with ``__pid``) after the emptiest sequences have been laid into the others' rooms.
+    ``pieces`` holds the ids by ``__pid``."""
+    spark = packed.sparkSession
+    sums = staged(packed.groupBy("sequence_id").agg(F.sum("length").alias("__used")), "pack-fills")
+    fills = {r[0]: r[1] for r in sums.groupBy("__used").count().collect()}       # at most capacity rows
+    gone = dissolved(fills, capacity)
+    if not gone:
+        return packed
+    ranked = staged(positions(sums, ["__used"], ["sequence_id"], "__rank"), "pack-ranks")
+    rooms = Rooms(fills, gone, capacity)
+    first, at = [], 0                                   # where the tokens of each fill's dissolved sequences start
+    for u in sorted(gone):
+        first.append((u, gone[u], at))
+        at += u * gone[u]
+    going = F.broadcast(spark.createDataFrame(first, "__used long, __gone long, __first long"))
+    told = packed.join(ranked, "sequence_id").join(going, "__used", "left")
+    goes = F.coalesce(F.col("__rank") < F.col("__gone"), F.lit(False))
+    names = [c for c in packed.columns if c not in ("sequence_id", "offset")]
+    moved = told.where(goes).withColumn("__at", F.col("__first") + F.col("__rank") * F.col("__used") + F.col("offset"))
+    moved = staged(moved.select(*names, "__at"), "pack-moved")
+    ids = present(pieces.select(F.col("__pid").alias("rep"), F.col("ids").alias("__ids")),
+                  moved.select(F.col("__pid").alias("rep"))).withColumnRenamed("rep", "__pid")
+    schema = T.StructType([*(packed.schema[c] for c in names), *(T.StructField(c, T.LongType()) for c in (
+        "__used", "__rank", "offset"))])
+
+    def cut_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, made = [], {c: [] for c in ("start", "length", "ids_crc32", "ids", "__used", "__rank", "offset")}
+            starts, lengths, ats = (batch.column(c).to_pylist() for c in ("start", "length", "__at"))
+            for i, whole in enumerate(batch.column("__ids")):
+                held = whole.as_py()
+                for done, part, used, rank, offset in rooms.cut(ats[i], lengths[i]):
+                    text = held[4 * done:4 * (done + part)]
+                    rows.append(i)
+                    for c, v in zip(made, (starts[i] + done, part, zlib.crc32(text), text, used, rank, offset)):
+                        made[c].append(v)
+            take = pa.array(rows, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(made[n], pa.binary() if n == "ids" else pa.int64()) if n in made else batch.column(n).take(take)
+                 for n in schema.names], names=schema.names)
+
+    columns = [*names, "__ids", "__at"]
+    laid = moved.join(ids, "__pid").select(*columns).mapInArrow(cut_pieces, schema)
+    laid = laid.join(ranked, ["__used", "__rank"]).select(*packed.columns)
+    return told.where(~goes).select(*packed.columns).unionByName(laid)
+
+
 def pack(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY,
          end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
     """Every piece with its sequence and its offset there."""
-    pieces = staged(tokenized_pieces(docs, vocabulary, key, text, capacity, end_id, with_ids), "pack-pieces")
-    return assign_sequences(pieces, key, capacity)
+    pieces = staged(tokenized_pieces(docs, vocabulary, key, text, capacity, end_id, with_ids=True)
+                    .withColumn("__pid", F.monotonically_increasing_id()), "pack-pieces")
+    return pack_pieces(pieces, key, capacity, with_ids)
+
+
+def pack_pieces(pieces: DataFrame, key: str = "doc_id", capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
+    """The same of staged pieces (key, start, length, ids_crc32, doc_tokens, ids, __pid)."""
+    narrow = pieces if with_ids else pieces.drop("ids")
+    packed = staged(assign_sequences(narrow, key, capacity), "pack-dealt")
+    return fill_by_cuts(packed, pieces, key, capacity, with_ids).drop("__pid")
 
 
 def sequences(packed: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from sectorpulse.llm.common import staged
 from sectorpulse.llm import mix_pivotal, pack_cutting_stock, queries
 
 SF = "/root/testdata/sf0.001"
@@ -171,19 +172,43 @@ def test_pack_query(spark):
     assert check_packing(queries.op5_pack(spark, sf).collect(), ids) < 0.02
 
 
-@pytest.mark.parametrize("lengths", [[5], [17], [273], [1, 5, 17, 33, 120]])
-def test_short_documents_are_packed_with_little_padding(spark, lengths):
-    rows = [(i, 0, lengths[i % len(lengths)], 0, 0) for i in range(6000)]
-    pieces = spark.createDataFrame(rows, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
-    sums = {}
-    for r in pack_cutting_stock.assign_sequences(pieces, "doc_id").collect():
-        sums.setdefault(r.sequence_id, []).append((r.offset, r.length))
-    for parts in sums.values():
-        ends = [o + n for o, n in sorted(parts)]
-        assert [o for o, _ in sorted(parts)] == [0, *ends[:-1]] and ends[-1] <= 4096
-    used = sum(r[2] for r in rows)
-    assert sum(map(len, sums.values())) == 6000
-    assert len(sums) <= -(-used // 4096) + 1 and min(sorted(sum(n for _, n in p) for p in sums.values())[1:]) > 0.98 * 4096
+@pytest.mark.parametrize("lengths", [[5] * 6000, [17] * 6000, [273] * 3000, [1, 5, 17, 33, 120] * 1200, [585] * 2000,
+                                     [3500] * 500 + [300] * 1000, [4096, 4000, 33, 600] * 100, [2049] * 300])
+def test_lengths_are_packed_with_little_padding(spark, lengths):
+    """One program and free cuts whatever the lengths: fewest sequences, every id once, padding under 1 %."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for i, n in enumerate(lengths):
+        ids = rng.integers(0, 2 ** 32, n, dtype=np.uint32).tobytes()
+        rows.append((i, 0, n, zlib.crc32(ids), n, bytearray(ids), i))
+    pieces = spark.createDataFrame(rows, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
+                                         "ids binary, __pid long")
+    got = pack_cutting_stock.pack_pieces(staged(pieces, "test-pieces")).collect()
+    ids = {r[0]: np.frombuffer(bytes(r[5]), dtype="<u4") for r in rows}
+    check_packing(got, ids)
+    used = sum(lengths)
+    assert len({r.sequence_id for r in got}) <= -(-used // 4096) * 1.01 + 1
+    cuts = len(got) - len(rows)
+    assert cuts <= 1.2 * -(-used // 4096)                      # about one cut a sequence at most
+
+
+def test_dissolved_sequences_fit_the_rooms_of_the_others():
+    rng = np.random.default_rng(5)
+    for _ in range(200):
+        fills = {int(u): int(n) for u, n in zip(rng.integers(1, 101, 12), rng.integers(1, 40, 12))}
+        gone = pack_cutting_stock.dissolved(fills, 100, least_room=4)
+        rooms = pack_cutting_stock.Rooms(fills, gone, 100, least_room=4)
+        held = sum(u * n for u, n in gone.items())
+        assert held <= rooms.base[-1] and all(n <= fills[u] for u, n in gone.items())
+        placed, at = {}, 0
+        for u in sorted(gone):
+            for _ in range(gone[u]):
+                for done, part, used, rank, offset in rooms.cut(at, u):
+                    assert rank >= gone.get(used, 0) and rank < fills[used]
+                    assert offset == used + placed.get((used, rank), 0) and offset + part <= 100
+                    placed[used, rank] = placed.get((used, rank), 0) + part
+                at += u
+        assert sum(placed.values()) == held
 
 
 def test_pack_sequences_hold_the_ids(spark):
