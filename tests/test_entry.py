@@ -51,7 +51,7 @@ def test_entry_smoke(spark):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
-    assert len(QUERIES) == 46
+    assert len(QUERIES) == 56
     assert set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
 
 

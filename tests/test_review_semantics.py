@@ -31,15 +31,15 @@ def test_defaults_leave_explicit_nulls(spark):
 def test_tables_of_a_refresh_switch_together(spark, tmp_dir, monkeypatch):
     one = spark.createDataFrame([(1,)], "k int")
     W.refresh(spark, tmp_dir, {"a": one, "b": one})
-    write, calls = W.counted_write, []
+    save, calls = W._save, []
 
-    def dies(df, path, *rest, **more):
-        calls.append(path)
+    def dies(*args, **more):
+        calls.append(args)
         if len(calls) == 2:
             raise RuntimeError("lost")
-        return write(df, path, *rest, **more)
+        return save(*args, **more)
 
-    monkeypatch.setattr(W, "counted_write", dies)
+    monkeypatch.setattr(W, "_save", dies)
     try:
         W.refresh(spark, tmp_dir, {"a": one.limit(0), "b": one.limit(0)})
     except RuntimeError:
