@@ -67,7 +67,10 @@ def normalize_name(c) -> Column:
     x = as_col(c)
     table = F.create_map(*[F.lit(v) for pair in multi.items() for v in pair])
     spelled = F.array_join(F.transform(F.split(x, ""), lambda ch: F.coalesce(F.try_element_at(table, ch), ch)), "")
-    x = F.when(x.rlike(_ranges("".join(multi))), spelled).otherwise(x)
+    # A class of few ranges settles nearly all texts before the class of all such characters is tried.
+    low = "".join(ch for ch in multi if ord(ch) < 0x180)
+    maybe = _ranges(low).removesuffix("]") + r"\x{180}-\x{10FFFF}]"
+    x = F.when(x.rlike(maybe) & x.rlike(_ranges("".join(multi))), spelled).otherwise(x)
     x = F.regexp_replace(F.translate(x, src, dst), r"[^\x00-\x7F]", "")
     return F.upper(F.btrim(x, F.lit(ASCII_WHITESPACE)))
 
