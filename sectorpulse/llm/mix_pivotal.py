@@ -17,7 +17,7 @@ left at the end is small.
 Targets: source i (in code point order, null last) has a weight; targets share
 ``total`` by weight, none above ``max_copies`` times its source's size, the
 excess shared again by weight. That is ``min(cap, level * weight)`` with one
-common level, solved on one row per source.
+common level, solved in rounds of aggregates over one row per source.
 
 All randomness comes from hashes of the keys, so reruns agree.
 
@@ -33,9 +33,11 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..operators.order import positions as ordered_places
 from .common import staged, word_count
 
 WEIGHTS = (5, 2, 1)     # repeating, by source in code point order
@@ -48,23 +50,34 @@ CERTAIN = 1e-9          # a probability this near 0 or 1 counts as reached
 def source_targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, max_copies: int = MAX_COPIES,
                    share: float = 1.0) -> DataFrame:
     """(source, source_size, source_rows, target) from rows of (source, size).
-    Windows here run over one row per source."""
-    per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("source_rows"))
-    everything = Window.partitionBy()
-    rank = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
-    per = per.withColumn("weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]),
-                                                (rank % len(weights) + 1).cast("int")))
-    per = per.withColumn("cap", F.col("source_size") * F.lit(float(max_copies)))
-    per = per.withColumn("total", F.sum("source_size").over(everything) * F.lit(float(share)))
-    by_ratio = Window.orderBy(F.col("cap") / F.col("weight"), F.col("source").asc_nulls_last())
-    capped = F.coalesce(F.sum("cap").over(by_ratio.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    open_weight = F.sum("weight").over(by_ratio.rowsBetween(0, Window.unboundedFollowing))
-    per = per.withColumn("level", (F.col("total") - capped) / open_weight)
-    fits = F.col("level") <= F.col("cap") / F.col("weight")
-    # The level falls until it fits; past that point every source is open.
-    per = per.withColumn("common", F.min(F.when(fits, F.struct(F.col("cap") / F.col("weight"), "level")))
-                         .over(everything)["level"])
-    target = F.least(F.col("cap"), F.coalesce(F.col("common") * F.col("weight"), F.col("cap")))
+
+    No task holds all sources: their places come from range partitions, and the
+    common level rises in rounds of one small aggregate each. A round's level is
+    what the open sources would share if only those capped so far stopped; it
+    never passes the final level, and open weight times missing words falls at
+    least fourfold a round, so rounds grow with the logarithm of the sizes."""
+    # Written first, as finding range bounds reads its input once more.
+    per = staged(sizes.groupBy("source").agg(F.sum("size").alias("source_size"),
+                                             F.count(F.lit(1)).alias("source_rows")), "mix-per-source")
+    per = staged(ordered_places(per, [F.col("source").asc_nulls_last()])
+                 .select("source", "source_size", "source_rows",
+                         ((F.col("posicao") - 1) % len(weights)).cast("int").alias("kind")), "mix-sources")
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), F.col("kind") + 1)
+    cap = F.col("source_size") * F.lit(float(max_copies))
+    level, stopped = float("-inf"), -1
+    while True:
+        # Whole numbers by kind of weight, at most one row a weight: sums do not depend on their order.
+        over = cap < F.lit(level) * weight
+        rows = (per.groupBy("kind").agg(F.sum("source_size"), F.sum(F.when(over, F.col("source_size")).otherwise(0)),
+                                        F.count_if(over), F.count(F.lit(1))).orderBy("kind").collect())
+        total = share * sum(r[1] for r in rows)
+        missing = total - max_copies * sum(r[2] for r in rows)
+        open_weight = sum((r[4] - r[3]) * float(weights[r[0]]) for r in rows)
+        now = sum(r[3] for r in rows)
+        if now == stopped or not open_weight:
+            break
+        level, stopped = missing / open_weight, now
+    target = F.least(cap, F.lit(level) * weight) if open_weight else cap
     return per.select("source", "source_size", "source_rows", target.alias("target"))
 
 
@@ -118,7 +131,7 @@ def plan_mix(docs: DataFrame, keys: Sequence[str] = ("doc_id",), text: str = "te
     keys = list(keys)
     sizes = staged(docs.select(*keys, F.col(source).alias("source"),
                                (size if size is not None else word_count(F.col(text))).alias("size")), "mix-sizes")
-    targets = staged(source_targets(sizes, weights, max_copies), "mix-targets")
+    targets = source_targets(sizes, weights, max_copies)
     largest = targets.agg(F.max("source_rows")).first()[0] or 0
     levels = [max(1, -(-largest // LEAF_ROWS))]
     while levels[-1] > 1:
@@ -151,16 +164,25 @@ def plan_mix(docs: DataFrame, keys: Sequence[str] = ("doc_id",), text: str = "te
                           (amount * F.col("size")).alias("taken"))
 
 
+def _content(docs: DataFrame) -> list[Column]:
+    """What tells two rows apart under a hash that passes over nulls: every
+    column, which of them are null, and nested values spelt out."""
+    nested = (T.ArrayType, T.MapType, T.StructType)
+    values = [F.to_json(F.struct(f.name), {"ignoreNullFields": "false"}) if isinstance(f.dataType, nested)
+              else F.col(f.name) for f in docs.schema.fields]
+    return [*values, *[F.col(c).isNull() for c in docs.columns]]
+
+
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The mixed corpus: every row of ``docs`` as often as the plan takes it.
 
-    Rows are matched to the plan by id and content hash; rows equal in all
-    columns are interchangeable, so their copies are summed and one of them is
-    repeated. The texts are shuffled once."""
-    columns = docs.columns
-    hashed = docs.withColumn("__row", F.xxhash64(*[F.col(c) for c in columns]))
-    plan = (plan_mix(hashed, keys=["__row"], **options).groupBy("__row")
+    Rows are matched to the plan by 128 bits of two content hashes; rows equal
+    in all columns are interchangeable, so their copies are summed and one of
+    them is repeated. The texts are shuffled once."""
+    columns, content, row = docs.columns, _content(docs), ["__row", "__row2"]
+    hashed = docs.withColumns({name: F.xxhash64(F.lit(i), *content) for i, name in enumerate(row)})
+    plan = (plan_mix(hashed, keys=row, **options).groupBy(*row)
             .agg(F.sum("copies").alias("__copies")).where("__copies > 0"))
-    return (hashed.dropDuplicates(["__row"]).join(plan, "__row")
+    return (hashed.dropDuplicates(row).join(plan, row)
                   .withColumn("__n", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
                   .select(*columns))

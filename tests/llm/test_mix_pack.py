@@ -46,6 +46,34 @@ def test_targets_match_resharing(spark):
             assert got[s] == pytest.approx(want[s], rel=1e-9, abs=1e-6)
 
 
+def test_targets_of_many_sources(spark):
+    """Sizes over nine powers of ten: several rounds, no window in one task."""
+    sizes = {f"h{i:04}": int(10 ** (i % 10) * (1 + i % 7) + i) for i in range(600)} | {None: 0, "": 3}
+    df = spark.createDataFrame(list(sizes.items()), "source string, size long")
+    made = mix_pivotal.source_targets(df)
+    got, want = {r.source: r.target for r in made.collect()}, brute_targets(sizes)
+    assert got.keys() == want.keys()
+    assert all(got[s] == pytest.approx(want[s], rel=1e-9, abs=1e-6) for s in want)
+    assert "Window" not in made._jdf.queryExecution().executedPlan().toString()
+    # More than every source's limit: all stop there.
+    full = {r.source: r.target for r in mix_pivotal.source_targets(df, share=5.0).collect()}
+    assert full == {s: 3.0 * n for s, n in sizes.items()}
+
+
+def test_mix_tells_rows_apart_by_place_of_nulls(spark):
+    """Rows whose values are equal but for the column that is null, and nested extra columns."""
+    schema = f"{DOCS}, tags array<string>, notes map<string,string>"
+    rows = [(1, "a b", "x", None, 3, ["t", None], {"k": "v"}), (1, "a b", None, "x", 3, ["t", None], {"k": "v"}),
+            (1, "a b", None, "x", 3, [None, "t"], {"k": "v"}), (1, "a b", None, "x", 3, [None, "t"], None)]
+    df = spark.createDataFrame(rows, schema)
+    keys = df.select(F.xxhash64(F.lit(0), *mix_pivotal._content(df)).alias("a")).distinct().count()
+    assert keys == 4
+    out = mix_pivotal.mix(df)
+    assert out.columns == df.columns
+    taken = out.groupBy("source").count().collect()
+    assert sum(r["count"] for r in taken) == 4 and all(r["count"] > 0 for r in taken)
+
+
 def test_pivotal_keeps_mass():
     rng = np.random.default_rng(1)
     for n in (1, 2, 50, 3000):
