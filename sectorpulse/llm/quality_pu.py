@@ -52,6 +52,7 @@ THRESHOLD = 0.7
 QUANTILES = (0.01, 0.02, 0.04, 0.08, 0.92, 0.96, 0.98, 0.99)
 RIDGE = 0.3            # over the square root of the number of trusted positives
 RATIO_BINS = 400
+FAN_IN = 32            # matrices of moments that one group adds
 MARGIN = 0.75         # standard errors by which a tail has to undercut the prior
 # Bytes counted as marks of junk, each group a feature (fixed values).
 SYMBOLS = b"#$%&*+/<=>@\\^_`{}~"
@@ -137,26 +138,30 @@ def _moments(edges: list[np.ndarray]):
     return run
 
 
-def _add(table: pa.Table) -> pa.Table:
-    total = np.zeros(len(table["sums"][0].as_py()) // 8)
-    for x in table["sums"]:
-        total += np.frombuffer(x.as_py())
-    return pa.table({"part": pa.array([table["part"][0].as_py()], pa.int64()),
-                     "sums": pa.array([total.tobytes()], pa.binary())})
+def _add(fan_in: int):
+    """One sum of at most ``fan_in`` sums, numbered for the next level."""
+    def run(table: pa.Table) -> pa.Table:
+        total = np.zeros(len(table["sums"][0].as_py()) // 8)
+        for x in table["sums"]:
+            total += np.frombuffer(x.as_py())
+        return pa.table({"part": pa.array([table["part"][0].as_py() // fan_in], pa.int64()),
+                         "sums": pa.array([total.tobytes()], pa.binary())})
+    return run
 
 
-def second_moments(data: DataFrame, edges: list[np.ndarray]) -> np.ndarray:
+def second_moments(data: DataFrame, edges: list[np.ndarray], fan_in: int = FAN_IN) -> np.ndarray:
     """By half: summed outer products over all rows and over the trusted ones
-    (the constant's row holds the first moments). Task sums meet in about the
-    square root of their number before the driver adds the rest."""
+    (the constant's row holds the first moments). Task sums meet in a tree of
+    fixed fan-in: no group holds more than ``fan_in``, the driver gets one."""
     d = 1 + sum(len(e) + 1 for e in edges)
-    parts = max(1, data.rdd.getNumPartitions())
     schema = "part long, sums binary"
-    met = (data.select("features", "trusted", "half").mapInArrow(_moments(edges), schema)
-               .groupBy(F.pmod(F.col("part"), F.lit(max(1, int(parts ** 0.5)))).alias("__g"))
-               .applyInArrow(_add, schema))
+    met = data.select("features", "trusted", "half").mapInArrow(_moments(edges), schema)
+    left = data.rdd.getNumPartitions()
+    while left > 1:
+        met = met.groupBy(F.floor(F.col("part") / fan_in).alias("__g")).applyInArrow(_add(fan_in), schema)
+        left = -(-left // fan_in)
     total = np.zeros((2, 2, d, d))
-    for row in met.toLocalIterator():
+    for row in met.collect():
         total += np.frombuffer(row["sums"]).reshape(2, 2, d, d)
     return total
 

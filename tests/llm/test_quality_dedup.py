@@ -214,6 +214,23 @@ def test_quality_on_held_out_labels(spark):
     assert (m.predicted == m.quality).mean() > 0.9
 
 
+def test_moments_meet_in_a_tree(spark):
+    """The sums of 11 tasks, added two by two, against one sum in plain numpy."""
+    rng = np.random.default_rng(6)
+    x = rng.random((90, len(quality_pu.FEATURES))).astype("float32")
+    trusted, half = rng.random(90) < 0.4, rng.random(90) < 0.5
+    rows = [(v.tolist(), bool(t), bool(h)) for v, t, h in zip(x, trusted, half)]
+    data = spark.createDataFrame(rows, "features array<float>, trusted boolean, half boolean").repartition(11)
+    edges = [np.array([0.2, 0.6])] * len(quality_pu.FEATURES)
+    got = quality_pu.second_moments(data, edges, fan_in=2)
+    coded = quality_pu.encode(x.astype("float64"), edges)
+    for i, mine in enumerate((~half, half)):
+        assert np.array_equal(got[i, 0], coded[mine].T @ coded[mine])
+        assert np.array_equal(got[i, 1], coded[mine & trusted].T @ coded[mine & trusted])
+    none = quality_pu.second_moments(data.limit(0), edges)
+    assert none.shape == got.shape and not none.any()
+
+
 def test_least_risk_is_the_minimum():
     """Bisection against direct descent on the clamped risk."""
     rng = np.random.default_rng(0)
