@@ -15,6 +15,9 @@ from ..session import staged
 from .embed import embed_left
 from .growth import ranking_order
 
+# Statistics rows (two short codes, a month and a number each) that a ranking sends to every task.
+PAIRED_ROWS = 10_000
+
 
 def _active(establishments: DataFrame) -> DataFrame:
     return establishments.where(F.col("situacao_cadastral") == STATUS_ACTIVE)
@@ -40,6 +43,21 @@ def best_month(stats: DataFrame) -> DataFrame:
                  .select("cnae_codigo", "codigo_municipio", "b.*"))
 
 
+def _ranked_pairs(establishments: DataFrame, companies: DataFrame, municipalities: DataFrame,
+                  top: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` pairs of the at most ``n`` statistics rows ``top`` with the leads of their cells. The
+    establishments are cut down to these cells before any name is joined, so only their leads shuffle."""
+    if n <= PAIRED_ROWS:
+        top = F.broadcast(top)
+    cell = [F.col("cnae_principal") == F.col("cnae_codigo"), F.col("codigo_municipio") == F.col("__cidade")]
+    cells = top.select("cnae_codigo", F.col("codigo_municipio").alias("__cidade")).distinct()
+    leads = lead_candidates(establishments.join(cells, cell, "left_semi"), companies, municipalities)
+    pairs = leads.join(top.withColumnRenamed("codigo_municipio", "__cidade"), cell)
+    return (pairs.select("cnpj", "razao_social", "municipio", "cnae_codigo", "codigo_municipio",
+                         "ano_mes", "variacao_pct")
+                 .orderBy(*ranking_order(), "cnpj", "razao_social", "municipio").limit(n))
+
+
 def lead_ranking(establishments: DataFrame, companies: DataFrame, municipalities: DataFrame,
                  stats: DataFrame, n: int = ENRICHMENT_LIMIT, best_month_only: bool = False) -> DataFrame:
     """The ``n`` (lead, month) pairs with the highest variation.
@@ -47,26 +65,25 @@ def lead_ranking(establishments: DataFrame, companies: DataFrame, municipalities
     Every month of a lead's (sector, municipality) joins (C5), so a lead can
     fill several slots. The full pairing grows to leads x months; instead:
 
-    1. count joinable leads per cell (an aggregate over the lead side);
-    2. keep the top ``n`` stats rows among cells with leads -- each has at
-       least one lead, so the first ``n`` pairs come from them;
-    3. join the leads to those <= n rows (the limit tells the planner their
-       size) and take the top ``n`` pairs (per-partition top-k, no global sort).
+    1. the first ``n`` statistics rows are written and paired with the leads of
+       their cells. Pairs rank by their statistics rows, so ``n`` pairs from
+       these rows, or no rows beyond them, are the answer;
+    2. only when cells without joinable leads leave fewer pairs: keep the
+       statistics of cells with leads (an aggregate over all leads). Each row
+       has at least one lead, so the first ``n`` of them are enough.
     """
-    leads = lead_candidates(establishments, companies, municipalities)
     if best_month_only:
         stats = best_month(stats)
-    cells = leads.groupBy(F.col("cnae_principal").alias("cnae_codigo"), "codigo_municipio").count()
-    top = staged(stats.join(cells.select("cnae_codigo", "codigo_municipio"),
-                            ["cnae_codigo", "codigo_municipio"], "left_semi")
-                      .orderBy(*ranking_order()).limit(n)
-                      .select("cnae_codigo", "codigo_municipio", "ano_mes", "variacao_pct"), "cells")
-    top = F.broadcast(top)                     # n rows
-    pairs = leads.join(top, (leads.cnae_principal == top.cnae_codigo)
-                       & (leads.codigo_municipio == top.codigo_municipio))
-    return (pairs.select("cnpj", "razao_social", "municipio", top.cnae_codigo, top.codigo_municipio,
-                         "ano_mes", "variacao_pct")
-                 .orderBy(*ranking_order(), "cnpj", "razao_social", "municipio").limit(n))
+    stats = stats.select("cnae_codigo", "codigo_municipio", "ano_mes", "variacao_pct")
+    top = staged(stats.orderBy(*ranking_order()).limit(n), "cells")
+    first = staged(_ranked_pairs(establishments, companies, municipalities, top, n), "pairs")
+    if first.count() < n and top.count() == n:
+        leads = lead_candidates(establishments, companies, municipalities)
+        cells = leads.select(F.col("cnae_principal").alias("cnae_codigo"), "codigo_municipio").distinct()
+        top = staged(stats.join(cells, ["cnae_codigo", "codigo_municipio"], "left_semi")
+                          .orderBy(*ranking_order()).limit(n), "cells")
+        return _ranked_pairs(establishments, companies, municipalities, top, n)
+    return first.orderBy(*ranking_order(), "cnpj", "razao_social", "municipio").limit(n)
 
 
 def recent_leads(establishments: DataFrame, companies: DataFrame, sectors: DataFrame,

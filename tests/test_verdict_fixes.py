@@ -31,6 +31,14 @@ def test_embed_shuffles_no_dimension(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
+def test_embed_of_a_repeated_key_doubles_no_row(spark):
+    top = spark.createDataFrame([(1,), (2,), (None,)], "k int")
+    dim = spark.createDataFrame([(1, "b"), (1, "a"), (1, None), (None, "n"), (3, "z")], "code int, name string")
+    out = embed_left(top, dim.where("name IS NOT NULL"), {"k": "code"}, "d", ["name"]).collect()
+    assert sorted((r.k or 0, r.d and r.d.name) for r in out) == [(0, None), (1, "a"), (2, None)]
+    assert [r.d.name for r in embed_left(top, dim, {"k": "code"}, "d", ["name"]).collect() if r.k == 1] == [None]
+
+
 def test_semi_join_combines_hot_keys_first(spark):
     companies = spark.range(20).select(F.col("id").cast("string").alias("cnpj_basico"))
     branches = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 50)
