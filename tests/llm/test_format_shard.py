@@ -1,9 +1,12 @@
 """Chat formatting and rendezvous sharding against plain Python."""
 
 import hashlib
+import math
+import struct
 import zlib
 
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -95,6 +98,33 @@ def test_shard_query(spark):
     assert all(sorted(s) == list(range(len(s))) for s in slots.values())
 
 
+def brute_shard(key, weights):
+    """Highest weighted score over the shards; the chained 64-bit hash of the key (if any) and the shard number."""
+    best = None
+    for shard, weight in enumerate(weights):
+        seed = 42 if key is None else xxhash.xxh64_intdigest(struct.pack("<q", key), 42)
+        bits = xxhash.xxh64_intdigest(struct.pack("<i", shard), seed) >> 11
+        if weight > 0:
+            best = max(best or (-math.inf, -1), (-weight / math.log((bits + 0.5) * 2.0 ** -53), shard))
+    return best[1]
+
+
+def test_shard_query_equals_brute_force(spark):
+    """All columns but the slot, whose order inside a shard is free: it has to be gapless (test_shard_query)."""
+    docs = [(r.doc_id, (r.text or "").encode()) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    want = [(k, len(t) + 1, zlib.crc32(t), "key", brute_shard(k, [1.0] * 16), brute_shard(k, [1.0] * 17))
+            for k, t in docs]
+    got = queries.op10_shard(spark, SF).select("doc_id", "size", "text_crc32", "law", "shard", "grown_shard")
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
+def test_weighted_shards_equal_brute_force(spark):
+    keys = [None, 0, 1, -1, 2 ** 62, *range(100, 900)]
+    weights = [0.5, 0.0, 3.0, 1.0, 1.0]
+    got = shard_rendezvous.assign_shards(spark.createDataFrame([(k,) for k in keys], "k long"), "k", weights).collect()
+    assert {r.k: r.shard for r in got} == {k: brute_shard(k, weights) for k in keys}
+
+
 def test_rendezvous_weights_and_growth(spark):
     keys = spark.range(40_000).withColumnRenamed("id", "k")
     weights = [1.0, 2.0, 0.0, 5.0]
