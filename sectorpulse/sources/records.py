@@ -24,7 +24,7 @@ between records are no records.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence, Set
 
 import numpy as np
 import pyarrow as pa
@@ -98,9 +98,10 @@ RANGE_SCHEMA = "arquivo string, inicio long, aspas long, fora long, dentro long"
 
 
 def range_table(measured: DataFrame, per_folder: bool = False) -> DataFrame:
-    """(arquivo, inicio, estado, primeira): whether each range starts inside a field, and the number of its
-    first record. Prefix sums over the ranges of one file; with ``per_folder`` records are numbered through all
-    files of a folder in order of their names (a shard written as several files)."""
+    """(arquivo, inicio, estado, primeira, registros, aberto): whether each range starts inside a field, the number
+    of its first record, its records, and whether it ends inside a field. Prefix sums over the ranges of one file;
+    with ``per_folder`` records are numbered through all files of a folder in order of their names (a shard written
+    as several files)."""
     before = Window.partitionBy("arquivo").orderBy("inicio").rowsBetween(Window.unboundedPreceding, -1)
     through = before if not per_folder else Window.partitionBy(F.regexp_extract("arquivo", "^(.*)/", 1)).orderBy(
         "arquivo", "inicio").rowsBetween(Window.unboundedPreceding, -1)
@@ -109,7 +110,8 @@ def range_table(measured: DataFrame, per_folder: bool = False) -> DataFrame:
     starts = F.when(F.col("estado") == 0, F.col("fora")).otherwise(F.col("dentro"))
     return (known.withColumn("registros", starts)
                  .withColumn("primeira", F.coalesce(F.sum("registros").over(through), F.lit(0)))
-                 .select("arquivo", "inicio", "estado", "primeira", "registros"))
+                 .withColumn("aberto", (F.col("estado") + F.col("aspas")) % 2)
+                 .select("arquivo", "inicio", "estado", "primeira", "registros", "aberto"))
 
 
 class _Range:
@@ -162,8 +164,8 @@ class _Range:
             self.parts.append((self.number - 1 if self.head else self.number, text))
 
 
-def _glued(lines: Lines, table: dict, parts: bool) -> Iterator[pa.RecordBatch]:
-    """Whole records of all ranges, or the parts that their borders cut."""
+def _glued(lines: Lines, table: dict, parts: bool, cut: Set[str] = frozenset()) -> Iterator[pa.RecordBatch]:
+    """Whole records of all ranges, or the parts that borders cut, of the files ``cut``."""
     now, part = None, None
 
     def out(file: str, start: int, numbers: pa.Array, texts: pa.Array) -> pa.RecordBatch:
@@ -181,15 +183,18 @@ def _glued(lines: Lines, table: dict, parts: bool) -> Iterator[pa.RecordBatch]:
         else:
             for number, texts in part.done:
                 yield out(*now, pa.array(np.arange(number, number + len(texts), dtype=np.int64)), texts)
-            part.done = []
+        part.done = []
 
     for file, start, some in lines:
         if (file, start) != now:
             if now is not None:
                 yield from told(True)
             if (file, start) not in table:
-                raise ValueError(f"{file} was split otherwise in the first pass (no range at {start})")
+                raise ValueError(f"{file} was split otherwise in the first pass (no range at {start}): its size or "
+                                 "the cores changed in between; spark.sql.files.minPartitionNum holds the splits")
             now, part = (file, start), _Range(*table[file, start])
+        if parts and file not in cut:
+            continue
         part.feed(some)
         yield from told(False)
     if now is not None:
@@ -208,12 +213,12 @@ def _records(spark: SparkSession, lines: DataFrame, split: Callable, encoding: s
     schema = "arquivo string, linha long, inicio long, registro binary"
     text = F.decode("registro", encoding)
     whole = lines.mapInArrow(lambda b: _glued(split(b), known, False), schema).select("arquivo", "linha", text.alias("registro"))
-    cut = {k for k, (state, _) in known.items() if state}
-    if not cut:                                        # no border inside a field: nothing to put together
+    cut = {r["arquivo"] for r in rows if r["estado"] or r["aberto"]}
+    if not cut:                                        # no border or end inside a field: nothing to put together
         return whole
-    files = sorted({f for f, _ in cut})
-    some = lines.where(F.col("arquivo").isin(files)) if len(files) <= 1000 else lines
-    parts = some.mapInArrow(lambda b: _glued(split(b), known, True), schema)
+    # The tasks pass over the other files. A filter here would make Spark leave these files out, and it sizes its
+    # splits by the bytes of all files that it reads: they would not be those of the first pass.
+    parts = lines.mapInArrow(lambda b: _glued(split(b), known, True, cut), schema)
     pieces = F.array_sort(F.collect_list(F.struct("inicio", text.alias("texto"))))
     return whole.unionByName(parts.groupBy("arquivo", "linha").agg(pieces.alias("p")).select(
         "arquivo", "linha", F.array_join(F.transform("p", lambda x: x["texto"]), "\n").alias("registro")))
