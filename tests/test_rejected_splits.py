@@ -35,3 +35,18 @@ def test_rejected_counts_of_shards_in_several_splits(spark, orders_dir):
         return (len(kinds), kinds.count(""), kinds.count("curto") + kinds.count("solto"), kinds.count("longo"), 0)
 
     assert got == {None: told(KEYS), 0: told(k for k in KEYS if k % 4 == 0), 1: told(k for k in KEYS if k % 4 == 1)}
+
+
+def test_rejected_records_of_shards_in_several_splits(spark, orders_dir):
+    got = sorted(tuple(r) for r in QUERIES["rejected_records"](spark, orders_dir).collect())
+    want = []
+    for key in KEYS:
+        head = f'"{key}";"PEDIDO {key}' + ('\nsala; ""x""' if key % 3 == 0 else "") + '"'
+        if _kind(key) == "curto":
+            want.append((key % 4, "campos a menos", head))
+        elif _kind(key) == "longo":
+            want.append((key % 4, "campos a mais", f'{head};"19950307";"sobra"'))
+        elif _kind(key) == "solto":
+            want.append((key % 4, "campos a menos", f"### {key}"))
+    assert got == sorted(want)
+    assert {shard for shard, _, _ in got} == {0, 1}
