@@ -29,6 +29,7 @@ from collections.abc import Callable, Iterator, Sequence, Set
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -190,8 +191,7 @@ def _glued(lines: Lines, table: dict, parts: bool, cut: Set[str] = frozenset())
             if now is not None:
                 yield from told(True)
             if (file, start) not in table:
-                raise ValueError(f"{file} was split otherwise in the first pass (no range at {start}): its size or "
-                                 "the cores changed in between; spark.sql.files.minPartitionNum holds the splits")
+                raise ValueError(f"{file} was split otherwise in the first pass (no range at {start})")
             now, part = (file, start), _Range(*table[file, start])
         if parts and file not in cut:
             continue
@@ -224,15 +224,34 @@ def _records(spark: SparkSession, lines: DataFrame, split: Callable, encoding: s
         "arquivo", "linha", F.array_join(F.transform("p", lambda x: x["texto"]), "\n").alias("registro")))
 
 
+def _text_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """The lines of text files (arquivo, fonte, inicio, valor), in the same splits whenever they are read. Spark
+    sizes splits by the settings and cores at hand when a pass starts, of the session that made the reader; cores
+    change as executors come and go. So the reader is of a session of its own, with the present settings and cores."""
+    held = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if held.conf.get(key, None) != value:
+            try:
+                held.conf.set(key, value)
+            except AnalysisException:  # pragma: no cover - static, the same for all sessions
+                pass
+    least = (spark.conf.get("spark.sql.files.minPartitionNum", None) or spark.conf.get("spark.sql.leafNodeDefaultParallelism", None)
+             or spark.sparkContext.defaultParallelism)
+    held.conf.set("spark.sql.files.minPartitionNum", str(least))
+    lines = held.read.text(paths if isinstance(paths, str) else list(paths)).select(
+        F.col("_metadata.file_path").alias("arquivo"), F.xxhash64("_metadata.file_path").alias("fonte"),
+        F.col("_metadata.file_block_start").alias("inicio"), F.col("value").cast("binary").alias("valor"))
+    # What follows belongs to the caller's session, that of the first side; the optimizer drops the empty one.
+    none = spark.range(1).where(F.lit(False)).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in lines.schema])
+    return none.unionByName(lines)
+
+
 def text_records(spark: SparkSession, paths: str | Sequence[str], encoding: str = "ISO-8859-1",
                  per_folder: bool = False) -> DataFrame:
     """(arquivo, linha, registro): the records of text files, split by Spark's text reader."""
     if encoding.upper().replace("_", "-").startswith(("UTF-16", "UTF-32")):
         raise ValueError("the encoding must be a superset of ASCII")
-    lines = spark.read.text(paths if isinstance(paths, str) else list(paths)).select(
-        F.col("_metadata.file_path").alias("arquivo"), F.xxhash64("_metadata.file_path").alias("fonte"),
-        F.col("_metadata.file_block_start").alias("inicio"), F.col("value").cast("binary").alias("valor"))
-    return _records(spark, lines, _of_text, encoding, per_folder)
+    return _records(spark, _text_lines(spark, paths), _of_text, encoding, per_folder)
 
 
 def block_records(blocks: DataFrame, encoding: str = "ISO-8859-1") -> DataFrame:

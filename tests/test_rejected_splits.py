@@ -50,3 +50,23 @@ def test_rejected_records_of_shards_in_several_splits(spark, orders_dir):
             want.append((key % 4, "campos a menos", f"### {key}"))
     assert got == sorted(want)
     assert {shard for shard, _, _ in got} == {0, 1}
+
+
+@pytest.fixture
+def cores_change(spark, orders_dir, monkeypatch):
+    """The text is split for two cores in the first pass; five are there when the records are read."""
+    from sectorpulse.sinks import writes
+    plain = writes.land_parted
+
+    def late(rows, *args):
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", "5")
+        return plain(rows, *args)
+
+    monkeypatch.setattr(writes, "land_parted", late)
+    spark.conf.set("spark.sql.leafNodeDefaultParallelism", "2")
+    yield orders_dir
+    spark.conf.unset("spark.sql.leafNodeDefaultParallelism")
+
+
+def test_rejected_counts_though_cores_change_between_the_passes(spark, cores_change):
+    test_rejected_counts_of_shards_in_several_splits(spark, cores_change)
