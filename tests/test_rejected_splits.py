@@ -70,3 +70,7 @@ def cores_change(spark, orders_dir, monkeypatch):
 
 def test_rejected_counts_though_cores_change_between_the_passes(spark, cores_change):
     test_rejected_counts_of_shards_in_several_splits(spark, cores_change)
+
+
+def test_rejected_records_though_cores_change_between_the_passes(spark, cores_change):
+    test_rejected_records_of_shards_in_several_splits(spark, cores_change)
