@@ -530,8 +530,8 @@ def text_keep_first(t):
     return S.keep_first_record(_numbered(t), ["cnpj_basico"]).select("cnpj_basico", "shard", "cnpj", "data")
 
 
-def _landed_with_rejected(t) -> DataFrame:
-    """Text of the orders with planted short, long and unreadable records, accepted and rejected parted."""
+def _landed_with_rejected(t) -> tuple[str, T.StructType]:
+    """Text of the orders with planted short, long and unreadable records, accepted and rejected parted: folder, columns."""
     from ..sources.records import scan_ranges as scan, with_reason
     key = F.col("o_orderkey")
     name = F.concat(F.lit("PEDIDO "), key.cast("string"), F.when(key % 3 == 0, F.lit("\nsala; \"\"x\"\"")).otherwise(F.lit("")))
@@ -542,21 +542,24 @@ def _landed_with_rejected(t) -> DataFrame:
     raw, out = scratch_path(t.spark, "pedidos_texto"), scratch_path(t.spark, "pedidos_aceitos")
     t.orders.select(line.alias("value"), (key % B.SHARDS_G).alias("shard")).write.partitionBy("shard").text(raw)
     rows = scan(t.spark, raw, ("pedido", "nome", "data"), encoding="UTF-8", keep_corrupt=True)
-    shard = F.regexp_extract("arquivo", "shard=([0-9]+)/", 1).cast("long")
-    W.land_parted(with_reason(rows.withColumn("shard", shard), 3), out)
-    return t.spark.read.parquet(out)
+    shard = F.regexp_extract("arquivo", "shard=(-?[0-9]+)/", 1).cast("long")
+    parted = with_reason(rows.withColumn("shard", shard), 3)
+    W.land_parted(parted, out)
+    return out, T.StructType(parted.schema.fields + [T.StructField("rejeitado", T.StringType())])
 
 
 @query
 def rejected_counts(t):
     """Records read, accepted and rejected by reason, per shard and in all."""
-    return S.record_counts(_landed_with_rejected(t))
+    return S.record_counts(t.spark.read.parquet(_landed_with_rejected(t)[0]))
 
 
 @query
 def rejected_records(t):
     """C17: the rejected records with their text and reason; accepted ones are typed as usual."""
-    return _landed_with_rejected(t).where("rejeitado = 'true'").select("shard", "motivo", F.col("_corrupt_record").alias("texto"))
+    path, schema = _landed_with_rejected(t)
+    landed = t.spark.read.schema(schema).parquet(path)       # without any record there is no file that tells the columns
+    return landed.where("rejeitado = 'true'").select("shard", "motivo", F.col("_corrupt_record").alias("texto"))
 
 
 # ------------------------------------------------------- order, clocks, batches

@@ -74,3 +74,18 @@ def test_rejected_counts_though_cores_change_between_the_passes(spark, cores_cha
 
 def test_rejected_records_though_cores_change_between_the_passes(spark, cores_change):
     test_rejected_records_of_shards_in_several_splits(spark, cores_change)
+
+
+def test_rejected_records_of_negative_keys(spark, tmp_dir):
+    os.makedirs(local_dir(tmp_dir))
+    rows = spark.createDataFrame([(k, DAY) for k in (-3, -95, -96, 2, 98)], "o_orderkey long, o_orderdate date")
+    rows.write.parquet(f"{tmp_dir}/orders.parquet")
+    got = sorted(tuple(r) for r in QUERIES["rejected_records"](spark, tmp_dir).collect())
+    assert got == [(2, "campos a mais", '"2";"PEDIDO 2";"19950307";"sobra"'), (2, "campos a menos", '"98";"PEDIDO 98"')]
+
+
+def test_rejected_records_without_orders(spark, tmp_dir):
+    os.makedirs(local_dir(tmp_dir))
+    spark.createDataFrame([], "o_orderkey long, o_orderdate date").write.parquet(f"{tmp_dir}/orders.parquet")
+    got = QUERIES["rejected_records"](spark, tmp_dir)
+    assert got.columns == ["shard", "motivo", "texto"] and got.collect() == []
